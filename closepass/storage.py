@@ -1,0 +1,20 @@
+"""Folders that every executor can reach."""
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_SETTING = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name below the cluster's checkpoint folder.
+
+    A session without that setting, as in tests on one machine, uses a temporary
+    folder of this machine.
+    """
+    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="closepass-")
+    return f"{root.rstrip('/')}/closepass/{purpose}-{uuid.uuid4().hex}"

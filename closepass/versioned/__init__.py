@@ -1,0 +1,5 @@
+"""Append-only versioned table."""
+
+from closepass.versioned.table import VersionedTable
+
+__all__ = ["VersionedTable"]

@@ -1,0 +1,193 @@
+"""A versioned table on plain Parquet: snapshots, as-of reads, added columns.
+
+Rows live under ``data/_snapshot_id=<n>/``; ``log/`` holds one row per commit.  A
+commit writes its data folder first and its log row last, so a writer that dies in
+between leaves rows no reader looks at, and the next append overwrites them.  There
+is one writer at a time.  Reads are plain partition-filtered Parquet scans; the log
+has one small row per commit and is the only thing the driver reads.
+"""
+
+import json
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SNAPSHOT = "_snapshot_id"
+
+LOG = T.StructType(
+    [
+        T.StructField("sequence", T.LongType()),
+        T.StructField("snapshot_id", T.LongType()),
+        T.StructField("parent_id", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("schema_json", T.StringType()),
+        T.StructField("added_records", T.LongType()),
+        T.StructField("total_records", T.LongType()),
+    ]
+)
+
+
+class VersionedTable:
+    """Create a table, or open the one at ``path``; ``schema`` is needed to create."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        if not self._exists():
+            if schema is None:
+                raise FileNotFoundError(f"No versioned table at {path}")
+            if SNAPSHOT in schema.fieldNames():
+                raise ValueError(f"{SNAPSHOT} is reserved")
+            nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+            self._commit("create", nullable, None, 0, 0)
+
+    # -- log --
+
+    def _exists(self) -> bool:
+        context = self.spark.sparkContext
+        log = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
+        return log.getFileSystem(context._jsc.hadoopConfiguration()).exists(log)
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG).json(f"{self.path}/log")
+
+    def _last(self) -> T.Row | None:
+        return self._log().orderBy(F.desc("sequence")).first() if self._exists() else None
+
+    def _commit(self, operation, schema, snapshot_id, added, total) -> None:
+        last = self._last()
+        row = (
+            (last["sequence"] + 1) if last else 0,
+            snapshot_id if snapshot_id is not None else (last["snapshot_id"] if last else None),
+            last["snapshot_id"] if last else None,
+            datetime.now(UTC),
+            operation,
+            schema.json(),
+            added,
+            total,
+        )
+        entry = self.spark.createDataFrame([row], LOG).coalesce(1)
+        entry.write.mode("append").json(f"{self.path}/log")
+
+    def _schema_of(self, entry: T.Row) -> T.StructType:
+        return T.StructType.fromJson(json.loads(entry["schema_json"]))
+
+    # -- writing --
+
+    def append(self, rows: DataFrame) -> int:
+        """Add rows as a new snapshot and return its id.
+
+        Columns are matched by name; absent ones become NULL, unknown ones are an
+        error.  The row count is taken from the footers of the written files.
+        """
+        last = self._last()
+        schema = self._schema_of(last)
+        unknown = set(rows.columns) - set(schema.fieldNames())
+        if unknown:
+            raise ValueError(f"Columns not in the table: {sorted(unknown)}")
+        have = set(rows.columns)
+        typed = rows.select(
+            *[
+                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema
+            ]
+        )
+        snapshot_id = (last["snapshot_id"] or 0) + 1
+        folder = f"{self.path}/data/{SNAPSHOT}={snapshot_id}"
+        typed.write.mode("overwrite").parquet(folder)
+        added = self.spark.read.schema(schema).parquet(folder).count()
+        self._commit("append", schema, snapshot_id, added, last["total_records"] + added)
+        return snapshot_id
+
+    def add_column(self, name: str, data_type: T.DataType) -> None:
+        """Add a nullable column; no data is rewritten and no snapshot is made."""
+        last = self._last()
+        schema = self._schema_of(last)
+        if name in schema.fieldNames() or name == SNAPSHOT:
+            raise ValueError(f"Column exists: {name}")
+        widened = T.StructType([*schema.fields, T.StructField(name, data_type, True)])
+        self._commit("add_column", widened, None, 0, last["total_records"])
+
+    # -- reading --
+
+    def _scan(self, schema: T.StructType, upto: int | None, keep_id: bool = False) -> DataFrame:
+        if upto is None:
+            return self.spark.createDataFrame([], schema)
+        with_id = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.LongType())])
+        rows = self.spark.read.schema(with_id).parquet(f"{self.path}/data")
+        rows = rows.filter(F.col(SNAPSHOT) <= upto)
+        return rows if keep_id else rows.drop(SNAPSHOT)
+
+    def read(self) -> DataFrame:
+        """Current rows under the current schema."""
+        last = self._last()
+        return self._scan(self._schema_of(last), last["snapshot_id"])
+
+    def read_as_of(self, snapshot_id: int) -> DataFrame:
+        """Rows of a snapshot under the schema of that snapshot."""
+        entry = self._log().filter(
+            (F.col("operation") == "append") & (F.col("snapshot_id") == snapshot_id)
+        ).first()
+        if entry is None:
+            raise ValueError(f"No snapshot {snapshot_id}")
+        return self._scan(self._schema_of(entry), snapshot_id)
+
+    def read_as_of_time(self, moment: datetime) -> DataFrame:
+        """Rows of the last snapshot committed at or before a moment."""
+        entry = (
+            self._log()
+            .filter((F.col("operation") == "append") & (F.col("committed_at") <= F.lit(moment)))
+            .orderBy(F.desc("snapshot_id"))
+            .first()
+        )
+        if entry is None:
+            raise ValueError(f"No snapshot at or before {moment}")
+        return self._scan(self._schema_of(entry), entry["snapshot_id"])
+
+    # -- inspection --
+
+    def history(self) -> DataFrame:
+        """One row per snapshot, oldest first."""
+        return (
+            self._log()
+            .filter(F.col("operation") == "append")
+            .select("snapshot_id", "parent_id", "committed_at", "added_records", "total_records")
+            .orderBy("snapshot_id")
+        )
+
+    def snapshot_counts(self) -> DataFrame:
+        """Rows added by and visible at every snapshot, counted from the data in one pass."""
+        last = self._last()
+        rows = self._scan(self._schema_of(last), last["snapshot_id"], keep_id=True)
+        added = rows.groupBy(F.col(SNAPSHOT).alias("snapshot_id")).agg(
+            F.count(F.lit(1)).alias("added_records")
+        )
+        known = self.history().select("snapshot_id")
+        w = Window.orderBy("snapshot_id").rowsBetween(Window.unboundedPreceding, 0)
+        counts = known.join(added, "snapshot_id", "left").withColumn(
+            "added_records", F.coalesce("added_records", F.lit(0))
+        )
+        return counts.withColumn("record_count", F.sum("added_records").over(w))
+
+    def column_counts(self, column: str) -> DataFrame:
+        """Rows and non-NULL values of a column per snapshot that added them."""
+        last = self._last()
+        rows = self._scan(self._schema_of(last), last["snapshot_id"], keep_id=True)
+        return rows.groupBy(F.col(SNAPSHOT).alias("snapshot_id")).agg(
+            F.count(F.lit(1)).alias("records"), F.count(column).alias("with_value")
+        )
+
+    def info(self) -> dict:
+        """Location, fields, partition fields and current snapshot."""
+        last = self._last()
+        schema = self._schema_of(last)
+        return {
+            "location": self.path,
+            "fields": [(f.name, f.dataType.simpleString()) for f in schema],
+            "partition_fields": [],
+            "current_snapshot": last["snapshot_id"],
+            "total_records": last["total_records"],
+        }

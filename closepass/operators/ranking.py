@@ -9,6 +9,7 @@ from closepass.functions.numeric import dround, hash_key
 from closepass.functions.risk import raw_risk_score, risk_category, risk_score
 from closepass.operators.reports import (
     IDENTITY,
+    TIES,
     asc,
     discovery_columns,
     named,
@@ -22,18 +23,21 @@ def distance_rank_with_size_percentile(df: DataFrame, limit: int = 25) -> DataFr
     """Nearest rows, their position, and the ``percent_rank`` of h (falling) over all rows.
 
     A global ``percent_rank`` window would sort the whole table in one task.  Only
-    ``limit`` rows are reported, so every row is instead counted under the largest
-    reported h below its own: at most ``limit + 1`` counters, combined map-side.
-    The percentile of a reported h is then the rows above it over all rows less one.
+    ``limit`` rows are reported, so rows are counted per value of h, map-side first,
+    and every value is added to the largest reported h below it: at most
+    ``limit + 1`` counters.  The percentile of a reported h is then the rows above it
+    over all rows less one.
     """
     rows = df.filter(not_null("h", "dist"))
-    nearest = top_rows(rows, named(rows, "des", "h", "dist", "v_rel"), [asc("dist")], limit)
+    nearest = top_rows(rows, named(rows, "des", "h", "dist", "v_rel"), [asc("dist")], limit, TIES)
     marks = nearest.agg(F.collect_set("h").alias("m")).scalar()
-    below = F.array_max(F.filter(marks, lambda m: m < F.col("h")))
+    below = F.array_max(F.filter("__marks", lambda m: m < F.col("h")))
     counters = (
-        rows.select(below.alias("mark"))
-        .groupBy("mark")
+        rows.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("__marks", marks)
+        .groupBy(below.alias("mark"))
+        .agg(F.sum("n").alias("n"))
         .agg(F.collect_list(F.struct("mark", "n")).alias("c"))
         .scalar()
     )
@@ -67,6 +71,14 @@ def best_per_object(df: DataFrame, ordered: bool = True) -> DataFrame:
     shuffle, so an object with very many approaches is no hot spot.
     """
     rows = df.filter(not_null("h", "dist", "v_rel"))
+    ties = [F.col(n).asc_nulls_last() for n in ("h", "dist", "v_rel", "cd")]
+    w = Window.partitionBy("des").orderBy(F.desc("__raw"), *ties)
+    best = (
+        rows.select(*present(rows, "des", "fullname", "h", "dist", "v_rel", "cd"))
+        .withColumn("__raw", raw_risk_score())
+        .withColumn("__rn", F.row_number().over(w))
+        .filter("__rn = 1")
+    )
     outputs = {
         **named(rows, "des", "fullname", "h"),
         "distance_au": dround("dist", 6),
@@ -75,13 +87,7 @@ def best_per_object(df: DataFrame, ordered: bool = True) -> DataFrame:
         "risk_score": risk_score(),
         "risk_category": risk_category(),
     }
-    scored = rows.select(
-        *[c.alias(n) for n, c in outputs.items()], raw_risk_score().alias("__raw")
-    )
-    ties = [F.col(n).asc_nulls_last() for n in outputs if n != "des"]
-    w = Window.partitionBy("des").orderBy(F.desc("__raw"), *ties)
-    best = scored.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-    best = best.select(*outputs)
+    best = best.select(*[c.alias(n) for n, c in outputs.items()])
     return best.orderBy(F.desc("risk_score"), "des") if ordered else best
 
 
@@ -100,17 +106,16 @@ def discovery_sample(
     rows = df.filter(
         F.col("approach_year").between(first_year, last_year) & not_null("h", "dist", "v_rel")
     )
-    outputs = discovery_columns()
-    scored = rows.select(
-        *[c.alias(n) for n, c in outputs.items()],
+    keyed = rows.select(
+        *TIES,
+        "approach_year",
         hash_key(rows, present(rows, *identity), seed).alias("__h"),
     )
-    ties = [F.col(n).asc_nulls_last() for n in outputs if n != "year"]
-    w = Window.partitionBy("year").orderBy("__h", *ties)
+    w = Window.partitionBy("approach_year").orderBy("__h", *[asc(n) for n in TIES])
     return (
-        scored.withColumn("__rn", F.row_number().over(w))
+        keyed.withColumn("__rn", F.row_number().over(w))
         .filter(F.col("__rn") <= per_year)
-        .select(*outputs)
+        .select(*[c.alias(n) for n, c in discovery_columns().items()])
         .orderBy("year", F.desc("risk_score"), "object_name")
     )
 

@@ -22,38 +22,37 @@ IDENTITY = ("des", "orbit_id", "cd", "dist", "v_rel")
 
 
 def top_rows(
-    df: DataFrame, outputs: dict[str, Column], order: Sequence[Column], limit: int | None
+    df: DataFrame,
+    outputs: dict[str, Column],
+    order: Sequence[Column],
+    limit: int | None,
+    ties: Sequence[str],
 ) -> DataFrame:
-    """Project, order and limit.
+    """Order, limit, then project.
 
-    The output columns themselves break ties, so the result is the same for any
-    partitioning and no column is read just to make it so.  Spark plans the limit as
-    a per-task top-k; ``limit=None`` gives a range-partitioned sort.
+    ``ties`` are the source columns of the outputs: they make the result the same
+    for any partitioning, and no column is read just to do so.  Spark plans the
+    limit as a per-task top-k and computes the outputs for the kept rows only;
+    ``limit=None`` gives a range-partitioned sort.
     """
-    hidden = {f"__k{i}": key for i, key in enumerate(_bare(order))}
-    rows = df.select(
-        *[c.alias(n) for n, c in outputs.items()], *[c.alias(n) for n, c in hidden.items()]
-    )
-    sort = [
-        F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_last()
-        for n, descending in zip(hidden, [d for _, d in order])
-    ]
-    rows = rows.orderBy(*sort, *[F.col(n).asc_nulls_last() for n in outputs])
+    sort = [*order, *[F.col(c).asc_nulls_last() for c in present(df, *ties)]]
+    rows = df.orderBy(*sort)
     if limit is not None:
         rows = rows.limit(limit)
-    return rows.select(*outputs)
+    return rows.select(*[c.alias(n) for n, c in outputs.items()])
 
 
-def _bare(order):
-    return [key for key, _ in order]
+#: Source columns behind the outputs of most lists.
+TIES = ("des", "h", "dist", "v_rel")
+DATED_TIES = (*TIES, "cd")
 
 
-def asc(c: Column | str) -> tuple[Column, bool]:
-    return (F.col(c) if isinstance(c, str) else c, False)
+def asc(c: str) -> Column:
+    return F.col(c).asc_nulls_last()
 
 
-def desc(c: Column | str) -> tuple[Column, bool]:
-    return (F.col(c) if isinstance(c, str) else c, True)
+def desc(c: Column) -> Column:
+    return c.desc_nulls_last()
 
 
 def named(df: DataFrame, *names: str) -> dict[str, Column]:
@@ -95,7 +94,7 @@ def source_window(
         order=[F.col("__h"), *[F.col(c).asc_nulls_last() for c in rows.columns]],
         quota=limit,
     )
-    return chosen.orderBy("cd", "__h").drop("__h")
+    return chosen.drop("__h").orderBy("cd")
 
 
 def full_source_window(df: DataFrame, limit: int = 200_000) -> DataFrame:
@@ -111,7 +110,7 @@ def limited_source_window(df: DataFrame, limit: int = 50_000) -> DataFrame:
 def dangerous_objects(df: DataFrame, limit: int | None = 10) -> DataFrame:
     rows = df.filter((F.col("h") < 18) & (F.col("dist") < 0.05))
     outputs = named(rows, "des", "fullname", "h", "dist", "v_rel")
-    return top_rows(rows, outputs, [asc("dist")], limit)
+    return top_rows(rows, outputs, [asc("dist")], limit, TIES)
 
 
 def recent_close_approaches(
@@ -127,7 +126,7 @@ def recent_close_approaches(
         "velocity_kms": dround("v_rel", 2),
         "magnitude": F.col("h"),
     }
-    return top_rows(rows, outputs, [asc("dist")], limit)
+    return top_rows(rows, outputs, [asc("dist")], limit, DATED_TIES)
 
 
 def large_and_near(df: DataFrame, limit: int | None = 25) -> DataFrame:
@@ -136,7 +135,7 @@ def large_and_near(df: DataFrame, limit: int | None = 25) -> DataFrame:
         not_null("h", "dist", "v_rel") & (F.col("h") < 22) & (F.col("dist") < 0.1)
     )
     outputs = named(rows, "des", "fullname", "h", "dist", "v_rel")
-    return top_rows(rows, outputs, [asc("dist")], limit)
+    return top_rows(rows, outputs, [asc("dist")], limit, TIES)
 
 
 def nearest_with_category(df: DataFrame, limit: int | None = 50) -> DataFrame:
@@ -146,7 +145,7 @@ def nearest_with_category(df: DataFrame, limit: int | None = 50) -> DataFrame:
         **named(rows, "des", "fullname", "h", "dist", "v_rel"),
         "risk_category": coarse_risk_category(),
     }
-    return top_rows(rows, outputs, [asc("dist")], limit)
+    return top_rows(rows, outputs, [asc("dist")], limit, TIES)
 
 
 def risk_ranking(df: DataFrame, limit: int = 100) -> DataFrame:
@@ -174,7 +173,7 @@ def presentation_top(df: DataFrame, limit: int = 10) -> DataFrame:
         "Velocity (km/s)": dround("v_rel", 1),
     }
     weight = (F.lit(30.0) - F.col("h")) + (F.lit(0.1) - F.col("dist")) * F.lit(100.0)
-    return top_rows(rows, outputs, [desc(weight)], limit)
+    return top_rows(rows, outputs, [desc(weight)], limit, TIES)
 
 
 def _scored(df: DataFrame, with_date: bool = True) -> dict[str, Column]:
@@ -191,13 +190,13 @@ def _scored(df: DataFrame, with_date: bool = True) -> dict[str, Column]:
 def risky_objects(df: DataFrame, limit: int | None = 20) -> DataFrame:
     """Approaches of the highest score."""
     rows = df.filter(not_null("h", "dist", "v_rel"))
-    return top_rows(rows, _scored(rows), [desc(risk_score())], limit)
+    return top_rows(rows, _scored(rows), [desc(risk_score())], limit, DATED_TIES)
 
 
 def risk_overview(df: DataFrame, limit: int | None = 100) -> DataFrame:
     """As :func:`risky_objects`, without the date and not one row per object."""
     rows = df.filter(not_null("h", "dist", "v_rel"))
-    return top_rows(rows, _scored(rows, with_date=False), [desc(risk_score())], limit)
+    return top_rows(rows, _scored(rows, with_date=False), [desc(risk_score())], limit, TIES)
 
 
 def top_risks_first_version(df: DataFrame, limit: int | None = 20) -> DataFrame:
@@ -205,15 +204,15 @@ def top_risks_first_version(df: DataFrame, limit: int | None = 20) -> DataFrame:
     rows = df.filter(not_null("h", "dist", "v_rel"))
     score = raw_risk_score(weights=FIRST_VERSION)
     outputs = {**named(rows, "des", "fullname", "h", "dist", "v_rel"), "risk_score": score}
-    return top_rows(rows, outputs, [desc(score)], limit)
+    return top_rows(rows, outputs, [desc(score)], limit, TIES)
 
 
 def top_by_sql_function(df: DataFrame, limit: int | None = 5) -> DataFrame:
     """Top list through the registered SQL function."""
     name = register_sql_functions(df.sparkSession)
-    score = F.expr(f"{name}(h, dist, v_rel)")
-    outputs = {**named(df, "des", "fullname"), "risk": score}
-    return top_rows(df, outputs, [desc(score)], limit)
+    scored = df.withColumn("risk", F.expr(f"{name}(h, dist, v_rel)"))
+    outputs = named(scored, "des", "fullname", "risk")
+    return top_rows(scored, outputs, [desc(F.col("risk"))], limit, ("des",))
 
 
 def top_by_size_and_distance(df: DataFrame, limit: int | None = 20) -> DataFrame:
@@ -226,7 +225,7 @@ def top_by_size_and_distance(df: DataFrame, limit: int | None = 20) -> DataFrame
         "approach_date": F.col("cd"),
         "risk_category": risk_category(),
     }
-    return top_rows(rows, outputs, [asc("h"), asc("dist")], limit)
+    return top_rows(rows, outputs, [asc("h"), asc("dist")], limit, DATED_TIES)
 
 
 def nearest(df: DataFrame, limit: int = 10) -> DataFrame:
@@ -235,6 +234,7 @@ def nearest(df: DataFrame, limit: int = 10) -> DataFrame:
         named(df, "des", "fullname", "cd", "dist", "h"),
         [asc("dist")],
         limit,
+        ("des", "cd", "h"),
     )
 
 
@@ -246,7 +246,7 @@ def timeline_slice(
         F.col("approach_year").between(first_year, last_year) & not_null("h", "dist", "v_rel")
     )
     return top_rows(
-        rows, discovery_columns(), [asc("approach_year"), desc(risk_score())], limit
+        rows, discovery_columns(), [asc("approach_year"), desc(risk_score())], limit, TIES
     )
 
 

@@ -65,62 +65,57 @@ def first_rows(
     keyed = df.withColumns(dict(zip(path, levels)))
     cut: DataFrame | None = None
 
-    def with_cut(rows: DataFrame, found: DataFrame) -> DataFrame:
+    def with_cut(rows: DataFrame) -> DataFrame:
         if groups:
-            return _match(rows, found, groups, small=bounded_groups)
-        return rows.withColumn("__cut", found.select("__cut").scalar())
+            return _match(rows, cut, groups, small=bounded_groups)
+        return rows.withColumn("__cut", cut.select("__cut").scalar())
+
+    def at_cut(depth: int) -> Column:
+        condition = F.lit(True)
+        for cell in path[:depth]:
+            condition = condition & (F.col(cell) == F.col(f"__cut.{cell}"))
+        return condition
 
     for i, cell in enumerate(path):
         rows = keyed.select(*groups, *path[: i + 1])
-        if cut is None:
+        if i == 0:
             counts = rows.groupBy(*groups, cell).agg(F.count(F.lit(1)).alias("__n"))
             total = F.sum("__n").over(Window.partitionBy(*groups))
-            wanted = quota(total) if callable(quota) else F.lit(quota)
-            counts = counts.withColumn("__wanted", wanted.cast("bigint"))
-            earlier_path: list[Column] = []
+            wanted = (quota(total) if callable(quota) else F.lit(quota)).cast("bigint")
         else:
-            inside = F.struct(*path[:i]) == F.col("__cut.path")
-            counts = (
-                with_cut(rows, cut)
-                .filter(inside)
-                .groupBy(*groups, cell)
-                .agg(
-                    F.count(F.lit(1)).alias("__n"),
-                    F.first("__cut").alias("__cut"),
-                )
-                .withColumn("__wanted", F.col("__cut.need"))
-            )
-            earlier_path = [F.col(f"__cut.path.{p}").alias(p) for p in path[:i]]
-        located = (
-            counts.withColumn("__before", _rows_before(groups, cell))
-            .filter(F.col("__before") < F.col("__wanted"))
-            .select(
-                *groups,
-                F.col(cell).alias("__cell"),
-                F.struct(
-                    F.struct(*earlier_path, F.col(cell)).alias("path"),
-                    F.least(F.col("__wanted") - F.col("__before"), F.col("__n")).alias("need"),
-                    F.col("__n").alias("size"),
-                ).alias("__cut"),
-            )
+            inside = with_cut(rows).filter(at_cut(i))
+            counts = inside.groupBy(*groups, cell, "__cut").agg(F.count(F.lit(1)).alias("__n"))
+            wanted = F.col("__cut.need")
+        counts = counts.withColumn("__wanted", wanted).withColumn(
+            "__before", _rows_before(groups, cell)
+        )
+        need = F.least(F.col("__wanted") - F.col("__before"), F.col("__n"))
+        found = F.struct(
+            *[F.col(f"__cut.{c}").alias(c) for c in path[:i]], F.col(cell), need.alias("need")
+        )
+        cut = (
+            counts.filter(F.col("__before") < F.col("__wanted"))
+            .groupBy(*groups)
+            .agg(F.max_by(found, cell).alias("__cut"))
         )
-        cut = located.groupBy(*groups).agg(F.max_by("__cut", "__cell").alias("__cut"))
 
-    here = F.struct(*path)
-    candidates = with_cut(keyed, cut)
-    is_whole = F.col("__cut.need") == F.col("__cut.size")
-    sure = candidates.filter(
-        (here < F.col("__cut.path")) | ((here == F.col("__cut.path")) & is_whole)
-    ).select(*columns)
+    # Compare level by level, so a costly fine level is computed for few rows.
+    below = F.lit(False)
+    for cell in reversed(path):
+        bound = F.col(f"__cut.{cell}")
+        below = (F.col(cell) < bound) | ((F.col(cell) == bound) & below)
+    candidates = with_cut(keyed)
+    sure = candidates.filter(below).select(*columns)
 
     copies = Window.partitionBy(*groups).orderBy(*order)
     before = F.coalesce(
         F.sum("__n").over(copies.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     edge = (
-        candidates.filter((here == F.col("__cut.path")) & ~is_whole)
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__n"), F.first("__cut.need").alias("__need"))
+        candidates.filter(at_cut(len(path)))
+        .select(*columns, F.col("__cut.need").alias("__need"))
+        .groupBy(*columns, "__need")
+        .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__before", before)
         .filter(F.col("__before") < F.col("__need"))
         .withColumn("__take", F.least(F.col("__n"), F.col("__need") - F.col("__before")))
@@ -146,13 +141,20 @@ def log_cell(value: Column) -> Column:
     """
     size = F.floor(F.log2(F.abs(value)) * 4096.0) + F.lit(1100 * 4096)
     return (
-        F.when(value == 0.0, F.lit(0))
-        .when(value > 0.0, size)
-        .otherwise(-size)
-        .cast("bigint")
+        F.when(value == 0.0, F.lit(0)).when(value > 0.0, size).otherwise(-size).cast("bigint")
     )
 
 
+def linear_cell(value: Column, cell: Column) -> Column:
+    """Division of a logarithmic cell into equal widths, in the order of the values."""
+    size = F.abs(value)
+    low = F.pow(F.lit(2.0), (F.abs(cell) - F.lit(1100 * 4096)) / 4096.0)
+    step = low * F.lit((2.0 ** (1 / 4096) - 1) / LINEAR_CELLS)
+    position = F.floor(F.try_divide(size - low, step))
+    inside = F.greatest(F.lit(0), F.least(F.lit(LINEAR_CELLS - 1), position))
+    return F.when(cell < 0, -inside).otherwise(inside).cast("bigint")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -165,93 +167,74 @@ def exact_quantiles(
     Built-in ``median`` and ``percentile`` keep a map of all distinct values in one
     task.  Here three pruned scans count rows per logarithmic cell, then per linear
     cell inside the cells that hold a wanted rank, then per value.  The last step
-    sees at most 2^24 distinct doubles and normally a handful.
+    sees at most 2^25 distinct doubles and normally a handful.
 
     ``bounded_groups`` says that the number of groups is small by construction, so
     the table of cut-offs (a few rows per group) may be broadcast.
     """
     groups = list(groups)
-    small = bounded_groups or not groups
-    values = (
+    path = ["__c1", "__c2", "__v"]
+    rows = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
         .select(*groups, F.col(value).alias("__v"))
         .withColumn("__c1", log_cell(F.col("__v")))
+        .withColumn("__c2", linear_cell(F.col("__v"), F.col("__c1")))
     )
-
-    def wanted_ranks(total: Column) -> Column:
-        ranks = []
-        for i, p in enumerate(probabilities):
-            position = F.lit(float(p)) * (total - 1).cast("double")
-            for side, rank in ((0, F.floor(position)), (1, F.ceil(position))):
-                ranks.append(
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.lit(side).alias("side"),
-                        rank.cast("bigint").alias("rank"),
-                    )
-                )
-        return F.array(*ranks)
-
-    coarse = values.groupBy(*groups, "__c1").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    )
-    found = (
-        coarse.withColumn("__before", _rows_before(groups, "__c1"))
-        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*groups)))
-        .withColumn("__t", F.explode(wanted_ranks(F.col("__total"))))
-        .withColumn("__rank", F.col("__t.rank") - F.col("__before"))
-        .filter((F.col("__rank") >= 0) & (F.col("__rank") < F.col("__n")))
-        .select(*groups, "__c1", "__lo", "__hi", "__total", "__t.i", "__t.side", "__rank")
-    )
-
-    cells = found.select(*groups, "__c1", "__lo", "__hi").distinct()
-    width = F.col("__hi") - F.col("__lo")
-    linear = F.when(
-        width > 0.0,
-        F.least(
-            F.floor((F.col("__v") - F.col("__lo")) / width * float(LINEAR_CELLS)),
-            F.lit(LINEAR_CELLS - 1),
-        ),
-    ).otherwise(0)
-    inside = _match(values, cells, [*groups, "__c1"], small).withColumn(
-        "__c2", linear.cast("bigint")
-    )
-    found = _narrow(found, inside, groups, ["__c1"], "__c2", small)
-
-    fine_cells = found.select(*groups, "__c1", "__c2").distinct()
-    last = _match(inside, fine_cells, [*groups, "__c1", "__c2"], small)
-    found = _narrow(found, last, groups, ["__c1", "__c2"], "__v", small)
+    found: DataFrame | None = None
+    for i, cell in enumerate(path):
+        keys = [*groups, *path[:i]]
+        if found is None:
+            counts = rows.groupBy(*keys, cell).agg(F.count(F.lit(1)).alias("__n"))
+            total = F.sum("__n").over(Window.partitionBy(*groups))
+            counts = counts.withColumn("__total", total).withColumn(
+                "__ranks", _wanted_ranks(F.col("__total"), probabilities)
+            )
+        else:
+            inside = _match(rows, found, keys, bounded_groups or not groups)
+            counts = inside.groupBy(*keys, cell, "__total", "__ranks").agg(
+                F.count(F.lit(1)).alias("__n")
+            )
+        here = F.filter(
+            "__ranks",
+            lambda r: (r["rank"] >= F.col("__before"))
+            & (r["rank"] < F.col("__before") + F.col("__n")),
+        )
+        moved = F.transform(
+            here, lambda r: r.withField("rank", r["rank"] - F.col("__before"))
+        )
+        found = (
+            counts.withColumn("__before", _rows_before(keys, cell))
+            .withColumn("__ranks", moved)
+            .filter(F.size("__ranks") > 0)
+            .select(*keys, cell, "__total", "__ranks")
+        )
 
     results = []
     for i, p in enumerate(probabilities):
         position = F.lit(float(p)) * (F.max("__total") - 1).cast("double")
         low, high = (
-            F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("__v")))
+            F.max(F.when((F.col("__r.i") == i) & (F.col("__r.side") == side), F.col("__v")))
             for side in (0, 1)
         )
         results.append(low + (high - low) * (position - F.floor(position)))
-    return found.groupBy(*groups).agg(
-        F.max("__total").alias("n"), F.array(*results).alias("quantiles")
+    return (
+        found.withColumn("__r", F.explode("__ranks"))
+        .groupBy(*groups)
+        .agg(F.max("__total").alias("n"), F.array(*results).alias("quantiles"))
     )
 
 
-def _narrow(
-    found: DataFrame,
-    rows: DataFrame,
-    groups: Sequence[str],
-    path: Sequence[str],
-    cell: str,
-    small: bool,
-) -> DataFrame:
-    """Replace each wanted rank in a cell by its finer cell and the rank inside that."""
-    keys = [*groups, *path]
-    counts = (
-        rows.groupBy(*keys, cell)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", _rows_before(keys, cell))
-    )
-    joined = _match(counts, found, keys, small)
-    inner = F.col("__rank") - F.col("__before")
-    return joined.filter((inner >= 0) & (inner < F.col("__n"))).select(
-        *keys, cell, "__total", "i", "side", inner.alias("__rank")
-    )
+def _wanted_ranks(total: Column, probabilities: Sequence[float]) -> Column:
+    """The two neighbouring ranks of every interpolated quantile."""
+    ranks = []
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (total - 1).cast("double")
+        for side, rank in ((0, F.floor(position)), (1, F.ceil(position))):
+            ranks.append(
+                F.struct(
+                    F.lit(i).alias("i"),
+                    F.lit(side).alias("side"),
+                    rank.cast("bigint").alias("rank"),
+                )
+            )
+    return F.array(*ranks)

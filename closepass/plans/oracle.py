@@ -54,9 +54,10 @@ _SPEED = (
 )
 _COMPLETE = "h IS NOT NULL AND dist IS NOT NULL AND v_rel IS NOT NULL"
 _HASH = (
-    "md5(concat_ws('|', des, orbit_id, CAST(cd AS VARCHAR),"
-    " coalesce(CAST(CAST(round(dist * 1e9::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
-    " coalesce(CAST(CAST(round(v_rel * 1e9::DOUBLE) AS BIGINT) AS VARCHAR), ''), '42'))"
+    "md5(concat_ws('|', des, orbit_id, CAST(epoch_us(cd) AS VARCHAR),"
+    " coalesce(CAST(CAST(floor(dist * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
+    " coalesce(CAST(CAST(floor(v_rel * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
+    " '42'))"
 )
 _SEGMENT = (
     "CASE WHEN approach_year <= 1998 THEN 'historical'"
@@ -68,8 +69,7 @@ _BEST = f"""
 best AS (
   SELECT des, fullname, h, round(dist, 6) AS distance_au, round(v_rel, 2) AS velocity_kms,
          cd AS approach_date, {_SCORE} AS risk_score, {_CATEGORY} AS risk_category,
-         row_number() OVER (PARTITION BY des ORDER BY {_RAW_SCORE} DESC, h, round(dist, 6),
-                            round(v_rel, 2), cd) AS rn
+         row_number() OVER (PARTITION BY des ORDER BY {_RAW_SCORE} DESC, h, dist, v_rel, cd) AS rn
   FROM approaches WHERE {_COMPLETE}
 ),
 risk_rows AS (
@@ -165,8 +165,8 @@ def _projections() -> str:
 
     return _q(
         f"""
-SELECT 'PROJ-' || y || '-' || lpad(CAST(i AS VARCHAR), greatest(3, length(CAST(i AS VARCHAR))), '0') AS des,
-       'Projected Object ' || y || '-' || lpad(CAST(i AS VARCHAR), greatest(3, length(CAST(i AS VARCHAR))), '0') AS fullname,
+SELECT 'PROJ-' || y || '-' || lpad(CAST(i AS VARCHAR), CAST(greatest(3, length(CAST(i AS VARCHAR))) AS INTEGER), '0') AS des,
+       'Projected Object ' || y || '-' || lpad(CAST(i AS VARCHAR), CAST(greatest(3, length(CAST(i AS VARCHAR))) AS INTEGER), '0') AS fullname,
        h,
        round(greatest(0.001::DOUBLE, distance_au * {factor('x', 0.1)}), 4) AS distance_au,
        round(greatest(1::DOUBLE, velocity_kms * {factor('v', 0.05)}), 4) AS velocity_kms,
@@ -207,7 +207,6 @@ def _text(c: str) -> str:
 
 
 _LIST_TIES = "des, h, dist, v_rel"
-_BY_OUTPUT = "des, h, distance_au, velocity_kms"
 
 ORACLE: dict[str, str] = {
     "window_full": _source_window("2100-12-31", 0.5, 200_000),
@@ -253,7 +252,7 @@ WHERE rn = 1"""
         "cd >= TIMESTAMP '1999-01-01' AND dist < 0.01::DOUBLE",
         "dist",
         15,
-        "des, approach_date, distance_au, velocity_kms, magnitude",
+        "des, h, dist, v_rel, cd",
     ),
     "complex_filter": _top(
         "des, fullname, h, dist, v_rel",
@@ -275,11 +274,11 @@ WHERE rn = 1"""
         "h IS NOT NULL AND dist IS NOT NULL",
         "(30::DOUBLE - h) + (0.1::DOUBLE - dist) * 100::DOUBLE DESC",
         10,
-        '"Object", "Distance (AU)", "Size (H mag)", "Velocity (km/s)"',
+        _LIST_TIES,
     ),
-    "risky_objects": _top(_SCORED, _COMPLETE, "risk_score DESC", 20, _BY_OUTPUT + ", approach_date"),
+    "risky_objects": _top(_SCORED, _COMPLETE, "risk_score DESC", 20, _LIST_TIES + ", cd"),
     "risk_top100": _top(
-        _SCORED.replace(" cd AS approach_date,", ""), _COMPLETE, "risk_score DESC", 100, _BY_OUTPUT
+        _SCORED.replace(" cd AS approach_date,", ""), _COMPLETE, "risk_score DESC", 100, _LIST_TIES
     ),
     "top_risks_v0": _top(
         "des, fullname, h, dist, v_rel, (greatest(0::DOUBLE, 30::DOUBLE - h) * 2::DOUBLE"
@@ -295,7 +294,7 @@ WHERE rn = 1"""
         "h IS NOT NULL AND dist IS NOT NULL",
         "h, dist",
         20,
-        _BY_OUTPUT + ", approach_date",
+        _LIST_TIES + ", cd",
     ),
     "nearest10": _top(
         "des, fullname, cd, dist, h", "dist IS NOT NULL", "dist", 10, "des, cd, h NULLS LAST"
@@ -306,7 +305,7 @@ WHERE rn = 1"""
         f"approach_year BETWEEN 1996 AND 1999 AND {_COMPLETE}",
         "year, risk_score DESC",
         500,
-        "object_name, distance_au, magnitude, velocity_kms",
+        _LIST_TIES,
     ),
     "record_holders": _q(
         """
@@ -566,11 +565,10 @@ FROM events WHERE value IS NOT NULL GROUP BY 1""",
         _BEST,
     ),
     "discovery_sample": _q(
-        f"""SELECT * EXCLUDE (k, rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY year ORDER BY k, object_name, distance_au, magnitude,
-      velocity_kms, risk_score, risk_category) AS rn
-  FROM (SELECT {_DISCOVERY}, {_HASH} AS k FROM approaches
-        WHERE approach_year BETWEEN 1900 AND 2100 AND {_COMPLETE})) WHERE rn <= 50"""
+        f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT {_DISCOVERY},
+      row_number() OVER (PARTITION BY approach_year ORDER BY {_HASH}, des, h, dist, v_rel) AS rn
+  FROM approaches WHERE approach_year BETWEEN 1900 AND 2100 AND {_COMPLETE}) WHERE rn <= 50"""
     ),
     "sample_random": _q(
         f"SELECT {_COLUMNS} FROM approaches ORDER BY {_HASH},"

@@ -386,7 +386,7 @@ def distance_statistics_short(df: DataFrame, approximate: bool = False) -> DataF
 
 
 def measure_stats(
-    df: DataFrame, value: str, groups: Sequence[str], bounded_groups: bool = False
+    df: DataFrame, value: str, groups: Sequence[str], few_groups: bool | None = None
 ) -> DataFrame:
     """Mean, median, extremes, sample deviation (0 for one value) and count per group."""
     rows = df.filter(F.col(value).isNotNull())
@@ -397,7 +397,7 @@ def measure_stats(
         dround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 6).alias("std"),
         _rows().alias("n"),
     )
-    medians = exact_quantiles(rows, value, [0.5], groups, bounded_groups).select(
+    medians = exact_quantiles(rows, value, [0.5], groups, few_groups).select(
         *[F.col(g).alias(f"__{g}") for g in groups], dround(F.col("quantiles")[0], 6).alias("median")
     )
     same = F.lit(True)
@@ -409,10 +409,10 @@ def measure_stats(
 
 
 def box_summary(
-    df: DataFrame, value: str, group: str, bounded_groups: bool = False
+    df: DataFrame, value: str, group: str, few_groups: bool | None = None
 ) -> DataFrame:
     """Minimum, quartiles and maximum per group."""
-    quantiles = exact_quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], bounded_groups)
+    quantiles = exact_quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], few_groups)
     names = ("min", "q1", "median", "q3", "max")
     return quantiles.select(
         group, *[dround(F.col("quantiles")[i], 6).alias(n) for i, n in enumerate(names)], "n"

@@ -126,7 +126,7 @@ def future_projections(
         order=[F.col("__h"), *ties],
         quota=quota,
         groups=["approach_year"],
-        bounded_groups=True,
+        few_groups=True,
     )
     return _vary(_number(chosen, *ties))
 

@@ -50,8 +50,9 @@ def clean(df: DataFrame, strict: bool = False) -> DataFrame:
     rows = rows.withColumns(typed)
     if "dist" in rows.columns:
         rows = rows.filter(F.col("dist") > 0)
+    # The year follows from the date, so rows are compared without it.
     year = F.year("cd").cast("bigint") if "cd" in rows.columns else F.lit(None).cast("bigint")
-    result = rows.withColumn("approach_year", year).dropDuplicates()
+    result = rows.dropDuplicates().withColumn("approach_year", year)
     if strict and result.isEmpty():
         raise ValueError("All data was filtered out during cleaning")
     return result

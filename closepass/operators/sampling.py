@@ -25,7 +25,7 @@ def _by_hash(
     seed: int,
     identity: Sequence[str],
     groups: Sequence[str] = (),
-    bounded_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     names = present(df, *identity) or df.columns
     keyed = df.withColumn("__h", hash_key(df, names, seed))
@@ -36,7 +36,7 @@ def _by_hash(
         order=[F.col("__h"), *ties],
         quota=quota,
         groups=groups,
-        bounded_groups=bounded_groups,
+        few_groups=few_groups,
     ).drop("__h")
 
 
@@ -54,12 +54,12 @@ def sample_stratified(
     strata: int = 4,
     seed: int = SEED,
     identity: Sequence[str] = IDENTITY,
-    bounded_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Up to ``size // strata`` rows of every stratum; temporal if the column is absent.
 
-    A table of at most ``size`` rows is returned whole.  ``bounded_groups`` says that
-    the column takes few values by construction, as a risk category does.
+    A table of at most ``size`` rows is returned whole.  ``few_groups`` is
+    True for a column that takes few values by construction, as a risk category does.
     """
     if column not in df.columns:
         return sample_temporal(df, size, seed, identity)
@@ -68,7 +68,7 @@ def sample_stratified(
     def quota(group_total: Column) -> Column:
         return F.when(total <= size, group_total).otherwise(F.lit(size // strata))
 
-    return _by_hash(df, quota, seed, identity, [column], bounded_groups)
+    return _by_hash(df, quota, seed, identity, [column], few_groups)
 
 
 def sample_temporal(
@@ -106,7 +106,7 @@ def sample_temporal(
         )
 
     return _by_hash(
-        df.withColumn("__year", year), quota, seed, identity, ["__year"], bounded_groups=True
+        df.withColumn("__year", year), quota, seed, identity, ["__year"], few_groups=True
     ).drop("__year")
 
 

@@ -16,12 +16,23 @@ from pyspark.sql import functions as F
 #: Cells a value range is divided into at the second step of a quantile search.
 LINEAR_CELLS = 65536
 
+#: Up to so many groups, the table of cut-offs (a few small rows per group) is broadcast.
+BROADCAST_GROUPS = 10_000
+
+
+def has_few_groups(df: DataFrame, groups: Sequence[str]) -> bool:
+    """Whether the groups are at most ``BROADCAST_GROUPS``; runs a count of them."""
+    if not groups:
+        return True
+    distinct = df.select(*groups).distinct().limit(BROADCAST_GROUPS + 1)
+    return distinct.count() <= BROADCAST_GROUPS
+
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Inner join on null-safe equal keys, keeping the left key columns.
 
-    ``small`` marks a right side whose row count is bounded by construction; any
-    other size is left to the optimizer, which measures it at run time.
+    ``small`` marks a right side of bounded or counted size; any other size is left
+    to the optimizer.
     """
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     if small:
@@ -45,7 +56,7 @@ def first_rows(
     order: Sequence[Column],
     quota: int | Callable[[Column], Column],
     groups: Sequence[str] = (),
-    bounded_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """The first ``quota`` rows (of every group) in the order of levels, then ``order``.
 
@@ -54,12 +65,15 @@ def first_rows(
     before it.  ``quota`` is a row count or a function of the group's row count.
     ``order`` breaks the ties inside the last level; rows equal in all of it are
     exchangeable only if it covers every column that differs, so pass all of them.
+    ``few_groups`` says whether one cut-off per group may be broadcast; None counts
+    the groups first.
 
-    One pruned scan counts each level, then rows below the cut-off are emitted
-    without a shuffle and only the rows of the cut-off cell are ordered.  Copies of
-    one row are counted, not sorted, so a large group of copies is one entry.
+    One pruned scan counts each level, one more keeps the rows up to the cut-off
+    cell; only kept rows are shuffled, and ordered only inside their cell.  Copies
+    of one row are counted, not sorted, so a large group of copies is one entry.
     """
     groups = list(groups)
+    small = has_few_groups(df, groups) if few_groups is None else few_groups
     columns = df.columns
     path = [f"__c{i}" for i in range(len(levels))]
     keyed = df.withColumns(dict(zip(path, levels)))
@@ -67,7 +81,7 @@ def first_rows(
 
     def with_cut(rows: DataFrame) -> DataFrame:
         if groups:
-            return _match(rows, cut, groups, small=bounded_groups)
+            return _match(rows, cut, groups, small)
         return rows.withColumn("__cut", cut.select("__cut").scalar())
 
     def at_cut(depth: int) -> Column:
@@ -100,27 +114,25 @@ def first_rows(
         )
 
     # Compare level by level, so a costly fine level is computed for few rows.
-    below = F.lit(False)
+    upto = F.lit(True)
     for cell in reversed(path):
         bound = F.col(f"__cut.{cell}")
-        below = (F.col(cell) < bound) | ((F.col(cell) == bound) & below)
-    candidates = with_cut(keyed)
-    sure = candidates.filter(below).select(*columns)
-
-    copies = Window.partitionBy(*groups).orderBy(*order)
-    before = F.coalesce(
-        F.sum("__n").over(copies.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    edge = (
-        candidates.filter(at_cut(len(path)))
-        .select(*columns, F.col("__cut.need").alias("__need"))
-        .groupBy(*columns, "__need")
+        upto = (F.col(cell) < bound) | ((F.col(cell) == bound) & upto)
+    edge = F.col("__need").isNotNull()
+    kept = (
+        with_cut(keyed)
+        .filter(upto)
+        .withColumn("__need", F.when(at_cut(len(path)), F.col("__cut.need")))
+        .groupBy(*columns, *path, "__need")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", before)
-        .filter(F.col("__before") < F.col("__need"))
-        .withColumn("__take", F.least(F.col("__n"), F.col("__need") - F.col("__before")))
     )
-    return sure.unionByName(_repeat(edge, "__take").select(*columns))
+    in_cell = Window.partitionBy(*groups, *path).orderBy(*order)
+    before = F.sum("__n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1))
+    left = F.col("__need") - F.coalesce(before, F.lit(0))
+    taken = kept.withColumn(
+        "__take", F.when(edge, F.least(F.col("__n"), left)).otherwise(F.col("__n"))
+    )
+    return _repeat(taken.filter(F.col("__take") > 0), "__take").select(*columns)
 
 
 def _repeat(df: DataFrame, times: str, chunk: int = 10_000) -> DataFrame:
@@ -160,7 +172,7 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     groups: Sequence[str] = (),
-    bounded_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group: ``groups..., n, quantiles array<double>``.
 
@@ -169,10 +181,11 @@ def exact_quantiles(
     cell inside the cells that hold a wanted rank, then per value.  The last step
     sees at most 2^25 distinct doubles and normally a handful.
 
-    ``bounded_groups`` says that the number of groups is small by construction, so
-    the table of cut-offs (a few rows per group) may be broadcast.
+    ``few_groups`` says whether the cut-offs of all groups may be broadcast; None
+    counts the groups first.
     """
     groups = list(groups)
+    small = has_few_groups(df, groups) if few_groups is None else few_groups
     path = ["__c1", "__c2", "__v"]
     rows = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
@@ -190,7 +203,7 @@ def exact_quantiles(
                 "__ranks", _wanted_ranks(F.col("__total"), probabilities)
             )
         else:
-            inside = _match(rows, found, keys, bounded_groups or not groups)
+            inside = _match(rows, found, keys, small or not groups)
             counts = inside.groupBy(*keys, cell, "__total", "__ranks").agg(
                 F.count(F.lit(1)).alias("__n")
             )

@@ -125,7 +125,7 @@ def _with_category(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample_stratified(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_stratified(_with_category(spark, sf), 8000, bounded_groups=True)
+    return sampling.sample_stratified(_with_category(spark, sf), 8000, few_groups=True)
 
 
 def _pivot_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +139,7 @@ def _cumulative_frames(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _box_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return agg.box_summary(_with_category(spark, sf), "dist", "risk_category", bounded_groups=True)
+    return agg.box_summary(_with_category(spark, sf), "dist", "risk_category", few_groups=True)
 
 
 def _group_speedup(spark: SparkSession, sf: str) -> DataFrame:

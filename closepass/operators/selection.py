@@ -13,9 +13,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cells a value range is divided into at the second step of a quantile search.
-LINEAR_CELLS = 65536
-
 #: Up to so many groups, the table of cut-offs (a few small rows per group) is broadcast.
 BROADCAST_GROUPS = 10_000
 
@@ -84,11 +81,8 @@ def first_rows(
             return _match(rows, cut, groups, small)
         return rows.withColumn("__cut", cut.select("__cut").scalar())
 
-    def at_cut(depth: int) -> Column:
-        condition = F.lit(True)
-        for cell in path[:depth]:
-            condition = condition & (F.col(cell) == F.col(f"__cut.{cell}"))
-        return condition
+    def at_cut(depth: int) -> str:
+        return " AND ".join(f"{cell} = __cut.{cell}" for cell in path[:depth])
 
     for i, cell in enumerate(path):
         rows = keyed.select(*groups, *path[: i + 1])
@@ -100,71 +94,59 @@ def first_rows(
             inside = with_cut(rows).filter(at_cut(i))
             counts = inside.groupBy(*groups, cell, "__cut").agg(F.count(F.lit(1)).alias("__n"))
             wanted = F.col("__cut.need")
-        counts = counts.withColumn("__wanted", wanted).withColumn(
-            "__before", _rows_before(groups, cell)
-        )
-        need = F.least(F.col("__wanted") - F.col("__before"), F.col("__n"))
-        found = F.struct(
-            *[F.col(f"__cut.{c}").alias(c) for c in path[:i]], F.col(cell), need.alias("need")
+        known = "".join(f"'{c}', __cut.{c}, " for c in path[:i])
+        found = (
+            f"max_by(named_struct({known}'{cell}', {cell},"
+            f" 'need', least(__wanted - __before, __n)), {cell})"
         )
         cut = (
-            counts.filter(F.col("__before") < F.col("__wanted"))
+            counts.select(
+                "*", wanted.alias("__wanted"), _rows_before(groups, cell).alias("__before")
+            )
+            .filter("__before < __wanted")
             .groupBy(*groups)
-            .agg(F.max_by(found, cell).alias("__cut"))
+            .agg(F.expr(found).alias("__cut"))
         )
 
     # Compare level by level, so a costly fine level is computed for few rows.
-    upto = F.lit(True)
+    upto = "true"
     for cell in reversed(path):
-        bound = F.col(f"__cut.{cell}")
-        upto = (F.col(cell) < bound) | ((F.col(cell) == bound) & upto)
-    edge = F.col("__need").isNotNull()
+        upto = f"{cell} < __cut.{cell} OR ({cell} = __cut.{cell} AND ({upto}))"
+    need = F.expr(f"CASE WHEN {at_cut(len(path))} THEN __cut.need END")
     kept = (
         with_cut(keyed)
         .filter(upto)
-        .withColumn("__need", F.when(at_cut(len(path)), F.col("__cut.need")))
+        .select(*columns, *path, need.alias("__need"))
         .groupBy(*columns, *path, "__need")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     in_cell = Window.partitionBy(*groups, *path).orderBy(*order)
     before = F.sum("__n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1))
-    left = F.col("__need") - F.coalesce(before, F.lit(0))
-    taken = kept.withColumn(
-        "__take", F.when(edge, F.least(F.col("__n"), left)).otherwise(F.col("__n"))
+    taken = kept.select("*", F.coalesce(before, F.lit(0)).alias("__before")).select(
+        *columns, F.expr("least(__n, __need - __before)").alias("__take")
     )
-    return _repeat(taken.filter(F.col("__take") > 0), "__take").select(*columns)
+    return _repeat(taken.filter("__take > 0"), "__take").select(*columns)
 
 
 def _repeat(df: DataFrame, times: str, chunk: int = 10_000) -> DataFrame:
     """Every row as often as ``times`` says, in two steps so no array grows large."""
-    last_block = ((F.col(times) - 1) / chunk).cast("bigint")
-    blocks = df.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-    in_block = F.least(F.lit(chunk).cast("bigint"), F.col(times) - F.col("__block") * chunk)
-    return blocks.withColumn(
-        "__i", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block))
-    ).drop("__block", "__i")
-
+    blocks = F.expr(f"explode(sequence(0L, CAST(({times} - 1) DIV {chunk} AS bigint)))")
+    copies = F.expr(f"explode(sequence(1L, least({chunk}L, {times} - __block * {chunk})))")
+    return df.select("*", blocks.alias("__block")).select("*", copies.alias("__copy"))
 
-def log_cell(value: Column) -> Column:
-    """Cell number that never decreases with the value, for any finite double.
-
-    4096 cells per power of two on each side of zero: under 18 million cells in
-    all, a few ten thousand for values within a few orders of magnitude.
-    """
-    size = F.floor(F.log2(F.abs(value)) * 4096.0) + F.lit(1100 * 4096)
-    return (
-        F.when(value == 0.0, F.lit(0)).when(value > 0.0, size).otherwise(-size).cast("bigint")
-    )
 
+#: Cell number that never decreases with the value, for any finite double: 4096 cells per
+#: power of two on each side of zero, under 18 million in all, a few ten thousand for
+#: values within a few orders of magnitude.
+LOG_CELL = """CAST(CASE
+    WHEN {v} = 0D THEN 0
+    WHEN {v} > 0D THEN floor(log2({v}) * 4096D) + 4505600
+    ELSE -(floor(log2(-{v}) * 4096D) + 4505600) END AS bigint)"""
 
-def linear_cell(value: Column, cell: Column) -> Column:
-    """Division of a logarithmic cell into equal widths, in the order of the values."""
-    size = F.abs(value)
-    low = F.pow(F.lit(2.0), (F.abs(cell) - F.lit(1100 * 4096)) / 4096.0)
-    step = low * F.lit((2.0 ** (1 / 4096) - 1) / LINEAR_CELLS)
-    position = F.floor(F.try_divide(size - low, step))
-    inside = F.greatest(F.lit(0), F.least(F.lit(LINEAR_CELLS - 1), position))
-    return F.when(cell < 0, -inside).otherwise(inside).cast("bigint")
+#: Division of such a cell into 65,536 equal widths, in the order of the values.
+LINEAR_CELL = """CAST(sign({c}) * greatest(0, least(65535, floor(try_divide(
+    abs({v}) - pow(2D, (abs({c}) - 4505600) / 4096D),
+    pow(2D, (abs({c}) - 4505600) / 4096D) * (pow(2D, 1D / 4096D) - 1D) / 65536D)))) AS bigint)"""
 
 
 def exact_quantiles(
@@ -190,8 +172,15 @@ def exact_quantiles(
     rows = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
         .select(*groups, F.col(value).alias("__v"))
-        .withColumn("__c1", log_cell(F.col("__v")))
-        .withColumn("__c2", linear_cell(F.col("__v"), F.col("__c1")))
+        .select("*", F.expr(LOG_CELL.format(v="__v")).alias("__c1"))
+        .select("*", F.expr(LINEAR_CELL.format(v="__v", c="__c1")).alias("__c2"))
+    )
+    # The two neighbouring ranks of every interpolated quantile.
+    positions = [f"{float(p)}D * (__total - 1)" for p in probabilities]
+    ranks = ", ".join(
+        f"named_struct('i', {i}, 'side', {side}, 'rank', CAST({side_of}({position}) AS bigint))"
+        for i, position in enumerate(positions)
+        for side, side_of in ((0, "floor"), (1, "ceil"))
     )
     found: DataFrame | None = None
     for i, cell in enumerate(path):
@@ -199,55 +188,37 @@ def exact_quantiles(
         if found is None:
             counts = rows.groupBy(*keys, cell).agg(F.count(F.lit(1)).alias("__n"))
             total = F.sum("__n").over(Window.partitionBy(*groups))
-            counts = counts.withColumn("__total", total).withColumn(
-                "__ranks", _wanted_ranks(F.col("__total"), probabilities)
+            counts = counts.select("*", total.alias("__total")).select(
+                "*", F.expr(f"array({ranks})").alias("__ranks")
             )
         else:
             inside = _match(rows, found, keys, small or not groups)
             counts = inside.groupBy(*keys, cell, "__total", "__ranks").agg(
                 F.count(F.lit(1)).alias("__n")
             )
-        here = F.filter(
-            "__ranks",
-            lambda r: (r["rank"] >= F.col("__before"))
-            & (r["rank"] < F.col("__before") + F.col("__n")),
-        )
-        moved = F.transform(
-            here, lambda r: r.withField("rank", r["rank"] - F.col("__before"))
+        moved = F.expr(
+            "transform(filter(__ranks, r -> r.rank >= __before AND r.rank < __before + __n),"
+            " r -> named_struct('i', r.i, 'side', r.side, 'rank', r.rank - __before))"
         )
         found = (
-            counts.withColumn("__before", _rows_before(keys, cell))
-            .withColumn("__ranks", moved)
-            .filter(F.size("__ranks") > 0)
-            .select(*keys, cell, "__total", "__ranks")
+            counts.select("*", _rows_before(keys, cell).alias("__before"))
+            .select(*keys, cell, "__total", moved.alias("__ranks"))
+            .filter("size(__ranks) > 0")
         )
 
+    def neighbour(i: int, side: int) -> str:
+        return f"max(CASE WHEN r.i = {i} AND r.side = {side} THEN __v END)"
+
     results = []
     for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.max("__total") - 1).cast("double")
-        low, high = (
-            F.max(F.when((F.col("__r.i") == i) & (F.col("__r.side") == side), F.col("__v")))
-            for side in (0, 1)
-        )
-        results.append(low + (high - low) * (position - F.floor(position)))
+        position = f"{float(p)}D * (max(__total) - 1)"
+        low, high = neighbour(i, 0), neighbour(i, 1)
+        results.append(f"{low} + ({high} - {low}) * ({position} - floor({position}))")
     return (
-        found.withColumn("__r", F.explode("__ranks"))
+        found.select(*groups, "__v", "__total", F.explode("__ranks").alias("r"))
         .groupBy(*groups)
-        .agg(F.max("__total").alias("n"), F.array(*results).alias("quantiles"))
+        .agg(
+            F.max("__total").alias("n"),
+            F.expr(f"array({', '.join(results)})").alias("quantiles"),
+        )
     )
-
-
-def _wanted_ranks(total: Column, probabilities: Sequence[float]) -> Column:
-    """The two neighbouring ranks of every interpolated quantile."""
-    ranks = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (total - 1).cast("double")
-        for side, rank in ((0, F.floor(position)), (1, F.ceil(position))):
-            ranks.append(
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(side).alias("side"),
-                    rank.cast("bigint").alias("rank"),
-                )
-            )
-    return F.array(*ranks)

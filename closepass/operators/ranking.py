@@ -31,7 +31,7 @@ def distance_rank_with_size_percentile(df: DataFrame, limit: int = 25) -> DataFr
     rows = df.filter(not_null("h", "dist"))
     nearest = top_rows(rows, named(rows, "des", "h", "dist", "v_rel"), [asc("dist")], limit, TIES)
     marks = nearest.agg(F.collect_set("h").alias("m")).scalar()
-    below = F.array_max(F.filter("__marks", lambda m: m < F.col("h")))
+    below = F.expr("array_max(filter(__marks, m -> m < h))")
     counters = (
         rows.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -41,26 +41,17 @@ def distance_rank_with_size_percentile(df: DataFrame, limit: int = 25) -> DataFr
         .agg(F.collect_list(F.struct("mark", "n")).alias("c"))
         .scalar()
     )
-    none = F.lit(0).cast("bigint")
-
-    def add(total, counter):
-        return total + counter["n"]
-
-    everything = F.aggregate("__counters", none, add)
-    above = F.aggregate(
-        F.filter("__counters", lambda c: c["mark"] >= F.col("h")), none, add
-    )
-    position = F.row_number().over(
-        Window.orderBy("dist", "des", "h", F.col("v_rel").asc_nulls_last())
-    )
-    percentile = F.coalesce(F.try_divide(above.cast("double"), everything - 1), F.lit(0.0))
-    return nearest.withColumn("__counters", counters).select(
-        "des",
-        "h",
-        "dist",
-        "v_rel",
-        position.cast("bigint").alias("distance_rank"),
-        percentile.alias("size_percentile"),
+    position = F.row_number().over(Window.orderBy(*[asc(c) for c in ("dist", *TIES)]))
+    everything = "aggregate(__counters, 0L, (t, c) -> t + c.n)"
+    above = "aggregate(filter(__counters, c -> c.mark >= h), 0L, (t, c) -> t + c.n)"
+    percentile = f"coalesce(try_divide(CAST({above} AS double), {everything} - 1), 0D)"
+    # The counters join after the position: between limit and sort they would keep
+    # Spark from planning a top-k.
+    return (
+        nearest.select("*", position.cast("bigint").alias("distance_rank"))
+        .select("*", counters.alias("__counters"))
+        .select("*", F.expr(percentile).alias("size_percentile"))
+        .drop("__counters")
     )
 
 

@@ -81,22 +81,24 @@ def first_rows(
             return _match(rows, cut, groups, small)
         return rows.withColumn("__cut", cut.select("__cut").scalar())
 
-    def at_cut(depth: int) -> str:
-        return " AND ".join(f"{cell} = __cut.{cell}" for cell in path[:depth])
-
     for i, cell in enumerate(path):
         rows = keyed.select(*groups, *path[: i + 1])
+        coarse = f"struct({', '.join(path[:i])})"
         if i == 0:
             counts = rows.groupBy(*groups, cell).agg(F.count(F.lit(1)).alias("__n"))
             total = F.sum("__n").over(Window.partitionBy(*groups))
             wanted = (quota(total) if callable(quota) else F.lit(quota)).cast("bigint")
+            before_cell = ""
         else:
-            inside = with_cut(rows).filter(at_cut(i))
-            counts = inside.groupBy(*groups, cell, "__cut").agg(F.count(F.lit(1)).alias("__n"))
-            wanted = F.col("__cut.need")
-        known = "".join(f"'{c}', __cut.{c}, " for c in path[:i])
+            inside = with_cut(rows).filter(f"{coarse} = __cut.at")
+            counts = inside.groupBy(*groups, *path[: i + 1], "__cut.need").agg(
+                F.count(F.lit(1)).alias("__n")
+            )
+            wanted = F.col("need")
+            before_cell = f"'coarse', {coarse}, "
         found = (
-            f"max_by(named_struct({known}'{cell}', {cell},"
+            f"max_by(named_struct({before_cell}'last', {cell},"
+            f" 'at', struct({', '.join(path[: i + 1])}),"
             f" 'need', least(__wanted - __before, __n)), {cell})"
         )
         cut = (
@@ -108,11 +110,16 @@ def first_rows(
             .agg(F.expr(found).alias("__cut"))
         )
 
-    # Compare level by level, so a costly fine level is computed for few rows.
-    upto = "true"
-    for cell in reversed(path):
-        upto = f"{cell} < __cut.{cell} OR ({cell} = __cut.{cell} AND ({upto}))"
-    need = F.expr(f"CASE WHEN {at_cut(len(path))} THEN __cut.need END")
+    # The coarse levels decide for most rows, so a costly last level is seldom computed.
+    last = path[-1]
+    if len(path) == 1:
+        upto, at_cut = f"{last} <= __cut.last", f"{last} = __cut.last"
+    else:
+        upto = (
+            f"{coarse} < __cut.coarse OR ({coarse} = __cut.coarse AND {last} <= __cut.last)"
+        )
+        at_cut = f"{coarse} = __cut.coarse AND {last} = __cut.last"
+    need = F.expr(f"CASE WHEN {at_cut} THEN __cut.need END")
     kept = (
         with_cut(keyed)
         .filter(upto)

@@ -164,13 +164,14 @@ def _partition_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The whole table in three batches of years."""
+    """The whole table in three batches of years; the date ranges reach the scan."""
     rows = inputs.approaches(spark, sf)
-    year = F.col("approach_year")
+    date = F.col("cd")
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in ("1998-01-01", "1999-01-01"))
     return [
-        rows.filter(year <= 1997),
-        rows.filter(year == 1998),
-        rows.filter((year >= 1999) | year.isNull()),
+        rows.filter(date < first),
+        rows.filter((date >= first) & (date < second)),
+        rows.filter((date >= second) | date.isNull()),
     ]
 
 

@@ -2,7 +2,6 @@
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +29,18 @@ def save(df: DataFrame, fmt: str, path: str, mode: str = "overwrite", strict: bo
 def save_all(
     df: DataFrame, base_path: str, formats: Sequence[str] = FORMATS, mode: str = "overwrite"
 ) -> dict[str, str]:
-    """Write every format; the rows are computed once and kept, spilling to disk."""
-    kept = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        return {f: save(kept, f, f"{base_path}.{f}", mode) for f in formats}
-    finally:
-        kept.unpersist()
+    """Write every format, computing the rows once.
+
+    Parquet is written first and the other formats are copied from it, so nothing is
+    cached and a lost executor costs one file copy at most.
+    """
+    paths = {}
+    rows = df
+    for fmt in sorted(formats, key=lambda f: f != "parquet"):
+        paths[fmt] = save(rows, fmt, f"{base_path}.{fmt}", mode, strict=not paths)
+        if fmt == "parquet":
+            rows = df.sparkSession.read.schema(df.schema).parquet(paths[fmt])
+    return {f: paths[f] for f in formats}
 
 
 def save_by_year(

@@ -9,12 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from closepass.operators import aggregates as agg
 from closepass.operators import cleaning
+from closepass.operators.ranking import distance_rank_with_size_percentile
 from closepass.operators.reports import nearest_with_category
 from closepass.schema import APPROACHES
 from closepass.sinks import files as sinks
 from closepass.sources import files as sources
 from closepass.sources.payload import parse_payload
+from closepass.versioned import VersionedTable
 
 # The three-row example payload.
 FIELDS = "des orbit_id jd cd dist dist_min dist_max v_rel v_inf t_sigma_f h fullname".split()
@@ -174,17 +177,29 @@ def test_latest_file(spark, tmp_path):
         sources.latest_file(spark, str(tmp_path), "c_*")
 
 
+BENCHMARK = {
+    "simple_count": agg.simple_count,
+    "filtered_count": agg.filtered_count,
+    "aggregation": agg.yearly_counts,
+    "complex_filtering": nearest_with_category,
+    "analytical_window": distance_rank_with_size_percentile,
+}
+
+
 def test_formats_agree_and_footprint(spark, approaches, tmp_path):
     df = approaches.select(*APPROACHES.fieldNames())
     paths = sinks.save_all(df, str(tmp_path / "t"))
     paths["by_year"] = sinks.save_by_year(df, str(tmp_path / "by_year"))
-    results = []
-    for fmt in ("csv", "parquet", "json"):
-        loaded = sources.load_table(spark, paths[fmt], view=None)
-        results.append([tuple(r) for r in nearest_with_category(loaded).collect()])
-    by_year = sources.read_parquet(spark, paths["by_year"])
-    results.append([tuple(r) for r in nearest_with_category(by_year).collect()])
-    assert all(r == results[0] for r in results) and len(results[0]) == 50
+    versions = VersionedTable(spark, str(tmp_path / "versions"), APPROACHES)
+    versions.append(df.filter("approach_year <= 1998"))
+    versions.append(df.filter("approach_year > 1998"))
+    tables = {f: sources.load_table(spark, paths[f], view=None) for f in ("csv", "parquet", "json")}
+    tables["by_year"] = sources.read_parquet(spark, paths["by_year"])
+    tables["versioned"] = versions.read()
+    for query in BENCHMARK.values():
+        expected = [tuple(r) for r in query(df).collect()]
+        for table in tables.values():
+            assert [tuple(r) for r in query(table).collect()] == expected
 
     sizes = {r["format"]: r for r in sinks.storage_footprint(spark, paths).collect()}
     on_disk = sum(

@@ -55,7 +55,8 @@ def test_key_dedupe_limits_before_the_shuffle(stored):
 
 def test_percent_rank_has_no_global_sort_of_the_table(stored):
     text = plan(ranking.distance_rank_with_size_percentile(stored))
-    assert "percent_rank" not in text
+    assert "percent_rank" not in text and "rangepartitioning" not in text
+    assert text.count("TakeOrderedAndProject") == 2
 
 
 def test_lists_do_not_shuffle_for_names(spark):

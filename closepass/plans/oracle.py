@@ -140,13 +140,15 @@ def _source_window(last_day: str, max_dist: float, limit: int) -> str:
     )
 
 
-def _per_stratum(source: str, stratum: str, quota: str, columns: str) -> str:
+def _per_stratum(source: str, stratum: str, size: int, quota: str, columns: str) -> str:
+    """Rows per stratum up to a quota; a table of at most ``size`` rows whole."""
     ties = ", ".join(f"{c} NULLS LAST" for c in _COLUMNS.split(", "))
     return _q(
         f"""
 SELECT {columns} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY {_HASH}, {ties}) AS rn
-  FROM ({source})) WHERE rn <= {quota}"""
+  SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY {_HASH}, {ties}) AS rn,
+         count(*) OVER () AS n
+  FROM ({source})) WHERE n <= {size} OR rn <= {quota}"""
     )
 
 
@@ -578,12 +580,14 @@ FROM events WHERE value IS NOT NULL GROUP BY 1""",
         f"SELECT *, {_CATEGORY} AS risk_category FROM approaches"
         " WHERE h IS NOT NULL AND dist IS NOT NULL",
         "risk_category",
+        8000,
         "2000",
         f"{_COLUMNS}, risk_category",
     ),
     "sample_temporal": _per_stratum(
         "SELECT * FROM approaches",
         "year(cd)",
+        7000,
         "7000 // (SELECT count(DISTINCT year(cd)) FROM approaches)",
         _COLUMNS,
     ),

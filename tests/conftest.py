@@ -31,11 +31,11 @@ def spark(tmp_path_factory):
 def small(spark):
     """Five approaches with scores from low to high."""
     rows = [
-        ("NEO1", "NEO Object 1", 18.5, 0.02, 25.5, "2020-01-15", 2020),
-        ("NEO2", "NEO Object 2", 22.1, 0.15, 18.2, "2021-03-22", 2021),
-        ("NEO3", "NEO Object 3", 15.3, 0.008, 35.7, "2022-05-10", 2022),
-        ("NEO4", "NEO Object 4", 25.0, 0.3, 12.1, "2023-07-08", 2023),
-        ("NEO5", "NEO Object 5", 19.8, 0.045, 28.3, "2024-02-14", 2024),
+        ("OBJ1", "Object 1", 18.5, 0.02, 25.5, "2020-01-15", 2020),
+        ("OBJ2", "Object 2", 22.1, 0.15, 18.2, "2021-03-22", 2021),
+        ("OBJ3", "Object 3", 15.3, 0.008, 35.7, "2022-05-10", 2022),
+        ("OBJ4", "Object 4", 25.0, 0.3, 12.1, "2023-07-08", 2023),
+        ("OBJ5", "Object 5", 19.8, 0.045, 28.3, "2024-02-14", 2024),
     ]
     schema = (
         "des string, fullname string, h double, dist double, v_rel double, cd string,"

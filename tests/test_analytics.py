@@ -77,16 +77,16 @@ def test_categories(spark, small):
             risk.speed_category().alias("d"),
         ).collect()
     }
-    assert rows["NEO3"] == ("VERY_HIGH", "HIGH_RISK", "Very Large (>1km)", "Very Fast (>30 km/s)")
-    assert rows["NEO1"] == ("HIGH", "MEDIUM_RISK", "Large (140m-1km)", "Fast (20-30 km/s)")
-    assert rows["NEO2"] == ("MEDIUM", "LOW_RISK", "Medium (30-140m)", "Moderate (10-20 km/s)")
-    assert rows["NEO4"] == ("LOW", "LOW_RISK", "Small (<30m)", "Moderate (10-20 km/s)")
+    assert rows["OBJ3"] == ("VERY_HIGH", "HIGH_RISK", "Very Large (>1km)", "Very Fast (>30 km/s)")
+    assert rows["OBJ1"] == ("HIGH", "MEDIUM_RISK", "Large (140m-1km)", "Fast (20-30 km/s)")
+    assert rows["OBJ2"] == ("MEDIUM", "LOW_RISK", "Medium (30-140m)", "Moderate (10-20 km/s)")
+    assert rows["OBJ4"] == ("LOW", "LOW_RISK", "Small (<30m)", "Moderate (10-20 km/s)")
 
 
 def test_risky_objects_order(small):
     rows = reports.risky_objects(small, 3).collect()
     scores = [r["risk_score"] for r in rows]
-    assert [r["des"] for r in rows] == ["NEO3", "NEO1", "NEO5"][:1] + [r["des"] for r in rows][1:]
+    assert [r["des"] for r in rows] == ["OBJ3", "OBJ1", "OBJ5"][:1] + [r["des"] for r in rows][1:]
     assert scores == sorted(scores, reverse=True) and all(0 <= s <= 100 for s in scores)
     assert reports.risky_objects(small, None).count() == 5
 

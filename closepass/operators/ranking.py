@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closepass.functions.numeric import dround, hash_key
+from closepass.functions.numeric import dround, mix_key
 from closepass.functions.risk import raw_risk_score, risk_category, risk_score
 from closepass.operators.reports import (
     IDENTITY,
@@ -90,7 +90,7 @@ def discovery_sample(
     seed: int = 42,
     identity: Sequence[str] = IDENTITY,
 ) -> DataFrame:
-    """Up to ``per_year`` scored rows of every year, chosen by hash order.
+    """Up to ``per_year`` scored rows of every year, chosen in a reproducible random order.
 
     The small constant quota is applied per task before the shuffle.
     """
@@ -100,9 +100,9 @@ def discovery_sample(
     keyed = rows.select(
         *TIES,
         "approach_year",
-        hash_key(rows, present(rows, *identity), seed).alias("__h"),
+        mix_key(rows, present(rows, *identity), seed).alias("__key"),
     )
-    w = Window.partitionBy("approach_year").orderBy("__h", *[asc(n) for n in TIES])
+    w = Window.partitionBy("approach_year").orderBy("__key", *[asc(n) for n in TIES])
     return (
         keyed.withColumn("__rn", F.row_number().over(w))
         .filter(F.col("__rn") <= per_year)

@@ -1,6 +1,7 @@
 """Reproducible samples of exact size.
 
-All samples take the first rows of a hash order (see ``hash_key``): the same rows
+All samples take the first rows of a random order made from the rows' values: by an
+arithmetic key (``mix_key``), then by a digest (``hash_key``).  They are the same rows
 for any partitioning, executor loss included.
 """
 
@@ -9,13 +10,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closepass.functions.numeric import hash_key
+from closepass.functions.numeric import MIX_KEY_BITS, hash_key, mix_key
 from closepass.operators.reports import IDENTITY, not_null
 from closepass.operators.selection import first_rows
 from closepass.schema import present
 
 SEED = 42
-#: Hex digits of the hash that make one cell: 65,536 cells.
+#: High bits of the key that number the counting cell: 65,536 cells.
+CELL_BITS = 16
+#: Digits of the digest that divide one cell.
 CELL_DIGITS = 4
 
 
@@ -30,9 +33,10 @@ def _by_hash(
     names = present(df, *identity) or df.columns
     keyed = df.withColumn("__h", hash_key(df, names, seed))
     ties = [F.col(c).asc_nulls_last() for c in df.columns]
+    cell = F.shiftright(mix_key(df, names, seed), MIX_KEY_BITS - CELL_BITS)
     return first_rows(
         keyed,
-        levels=[F.substring("__h", 1, CELL_DIGITS)],
+        levels=[cell, F.substring("__h", 1, CELL_DIGITS)],
         order=[F.col("__h"), *ties],
         quota=quota,
         groups=groups,
@@ -138,10 +142,10 @@ def scatter_sample(
     rows = df.filter(not_null("h", "dist", "v_rel"))
     if seed is None:
         return rows.select("h", "dist", "v_rel").limit(limit)
-    key = hash_key(rows, present(rows, *identity), seed)
+    key = mix_key(rows, present(rows, *identity), seed)
     return (
-        rows.select("h", "dist", "v_rel", key.alias("__h"))
-        .orderBy("__h", "dist", "v_rel", "h")
+        rows.select("h", "dist", "v_rel", key.alias("__key"))
+        .orderBy("__key", "dist", "v_rel", "h")
         .limit(limit)
         .select("h", "dist", "v_rel")
     )

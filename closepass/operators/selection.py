@@ -47,6 +47,11 @@ def _rows_before(groups: Sequence[str], order: str | Column, n: str = "__n") ->
     return F.coalesce(earlier, F.lit(0)).cast("bigint")
 
 
+def _key(columns: Sequence[str]) -> str:
+    """One comparable value of some columns."""
+    return columns[0] if len(columns) == 1 else f"struct({', '.join(columns)})"
+
+
 def first_rows(
     df: DataFrame,
     levels: Sequence[Column],
@@ -83,7 +88,7 @@ def first_rows(
 
     for i, cell in enumerate(path):
         rows = keyed.select(*groups, *path[: i + 1])
-        coarse = f"struct({', '.join(path[:i])})"
+        coarse = _key(path[:i])
         if i == 0:
             counts = rows.groupBy(*groups, cell).agg(F.count(F.lit(1)).alias("__n"))
             total = F.sum("__n").over(Window.partitionBy(*groups))
@@ -98,7 +103,7 @@ def first_rows(
             before_cell = f"'coarse', {coarse}, "
         found = (
             f"max_by(named_struct({before_cell}'last', {cell},"
-            f" 'at', struct({', '.join(path[: i + 1])}),"
+            f" 'at', {_key(path[: i + 1])},"
             f" 'need', least(__wanted - __before, __n)), {cell})"
         )
         cut = (
@@ -116,7 +121,7 @@ def first_rows(
         upto, at_cut = f"{last} <= __cut.last", f"{last} = __cut.last"
     else:
         upto = (
-            f"{coarse} < __cut.coarse OR ({coarse} = __cut.coarse AND {last} <= __cut.last)"
+            f"{coarse} <= __cut.coarse AND ({coarse} < __cut.coarse OR {last} <= __cut.last)"
         )
         at_cut = f"{coarse} = __cut.coarse AND {last} = __cut.last"
     need = F.expr(f"CASE WHEN {at_cut} THEN __cut.need END")

@@ -59,6 +59,14 @@ _HASH = (
     " coalesce(CAST(CAST(floor(v_rel * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
     " '42'))"
 )
+# The arithmetic key for seed 42 over cd, dist and v_rel.
+_MIX = (
+    "((213780523 + (epoch_us(cd) & 1073741823) * 740726033"
+    " + (CAST(floor(dist * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) & 1073741823) * 1057382353"
+    " + (CAST(floor(v_rel * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) & 1073741823) * 585933319"
+    ") & 70368744177663)"
+)
+_CELL = f"({_MIX} >> 30)"
 _SEGMENT = (
     "CASE WHEN approach_year <= 1998 THEN 'historical'"
     " WHEN approach_year >= 1999 THEN 'future' END"
@@ -146,7 +154,7 @@ def _per_stratum(source: str, stratum: str, size: int, quota: str, columns: str)
     return _q(
         f"""
 SELECT {columns} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY {_HASH}, {ties}) AS rn,
+  SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY {_CELL}, {_HASH}, {ties}) AS rn,
          count(*) OVER () AS n
   FROM ({source})) WHERE n <= {size} OR rn <= {quota}"""
     )
@@ -323,7 +331,7 @@ FROM approaches WHERE h = (SELECT min(h) FROM approaches)"""
     ),
     "scatter_sample": _q(
         f"SELECT h, dist, v_rel FROM approaches WHERE {_COMPLETE}"
-        f" ORDER BY {_HASH}, dist, v_rel, h LIMIT 1000"
+        f" ORDER BY {_MIX}, dist, v_rel, h LIMIT 1000"
     ),
     "risk_score": _q(
         f"SELECT {_CATEGORY} AS risk_category, {_SCORE} AS risk_score, count(*) AS count"
@@ -569,11 +577,11 @@ FROM events WHERE value IS NOT NULL GROUP BY 1""",
     "discovery_sample": _q(
         f"""SELECT * EXCLUDE (rn) FROM (
   SELECT {_DISCOVERY},
-      row_number() OVER (PARTITION BY approach_year ORDER BY {_HASH}, des, h, dist, v_rel) AS rn
+      row_number() OVER (PARTITION BY approach_year ORDER BY {_MIX}, des, h, dist, v_rel) AS rn
   FROM approaches WHERE approach_year BETWEEN 1900 AND 2100 AND {_COMPLETE}) WHERE rn <= 50"""
     ),
     "sample_random": _q(
-        f"SELECT {_COLUMNS} FROM approaches ORDER BY {_HASH},"
+        f"SELECT {_COLUMNS} FROM approaches ORDER BY {_CELL}, {_HASH},"
         f" {', '.join(c + ' NULLS LAST' for c in _COLUMNS.split(', '))} LIMIT 5000"
     ),
     "sample_stratified": _per_stratum(

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from closepass.functions.numeric import mix_key
 from closepass.operators import sampling
 from closepass.operators.selection import exact_quantiles, first_rows
 
@@ -152,3 +153,16 @@ def test_scatter_sample(spark, approaches):
     assert sampling.scatter_sample(approaches, 50).count() == 50
     seeded = sampling.scatter_sample(approaches, 50, seed=1)
     assert seeded.collect() == sampling.scatter_sample(approaches.repartition(5), 50, seed=1).collect()
+
+
+def test_sampling_key_spreads_rows(approaches):
+    key = mix_key(approaches, ["cd", "dist", "v_rel"], seed=42)
+    groups = approaches.groupBy(F.shiftright(key, 42).alias("g")).count().collect()
+    total = sum(r["count"] for r in groups)
+    assert len(groups) == 16
+    assert all(abs(r["count"] - total / 16) < 5 * (total / 16) ** 0.5 for r in groups)
+
+
+def test_sampling_key_without_numbers(spark):
+    df = spark.createDataFrame([(f"a{i}",) for i in range(2000)], "des string")
+    assert sampling.sample_random(df, 100).distinct().count() == 100

@@ -59,12 +59,18 @@ def fixed_text(c: Column | str, digits: int) -> Column:
 
 
 def _whole(name: str, data_type: str) -> Column:
-    """A number or time as a whole number: doubles in billionths, times in microseconds."""
+    """A number or time as a whole number, the same under any session time zone.
+
+    Doubles count in billionths, times without a zone in seconds, others in microseconds.
+    """
     c = F.col(name)
     if data_type in ("double", "float"):
         return F.floor(c * F.lit(1e9) + F.lit(0.5))
-    if data_type.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp"))
+    if data_type == "timestamp_ntz":
+        days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    if data_type == "timestamp":
+        return F.unix_micros(c)
     return c.cast("bigint")
 
 

@@ -166,3 +166,13 @@ def test_sampling_key_spreads_rows(approaches):
 def test_sampling_key_without_numbers(spark):
     df = spark.createDataFrame([(f"a{i}",) for i in range(2000)], "des string")
     assert sampling.sample_random(df, 100).distinct().count() == 100
+
+
+def test_sample_is_the_same_in_any_time_zone(spark, approaches):
+    rows = approaches.select("des", "orbit_id", "cd", "dist", "v_rel")
+    expected = sorted(sampling.sample_random(rows, 200).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert sorted(sampling.sample_random(rows, 200).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

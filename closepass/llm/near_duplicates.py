@@ -211,8 +211,11 @@ def near_duplicates(
     members = texts.where("n > 0 and text_id is not null").select(
         "text_id", "n", F.posexplode("sketches").alias("band", "value")
     )
-    shared = members.groupBy("band", "value").agg(F.count("*").alias("size"), F.min("text_id").alias("least")).where("size > 1")
-    buckets = stored(members.join(shared, ["band", "value"]).select("band", "value", "text_id", "least"))
+    # each bucket draws its pivot by a hash, so that a text meets another one in each of its buckets
+    drawn = F.min(F.struct(F.xxhash64("text_id", "band").alias("draw"), "text_id")).alias("drawn")
+    shared = stored(members.groupBy("band", "value").agg(F.count("*").alias("size"), drawn).where("size > 1"))
+    shared = shared.select("band", "value", F.col("drawn.text_id").alias("pivot"))
+    buckets = stored(members.join(shared, ["band", "value"]).select("band", "value", "text_id", "pivot"))
     bounded = texts.select("text_id", "n", *parity)
 
     def sides(pairs: DataFrame) -> DataFrame:
@@ -225,7 +228,9 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    stars = buckets.where("text_id > least").select(F.col("text_id").alias("a"), F.col("least").alias("b")).distinct()
+    stars = buckets.where("text_id <> pivot").select(
+        F.greatest("text_id", "pivot").alias("a"), F.least("text_id", "pivot").alias("b")
+    ).distinct()
     links = _verified(stored(sides(stars)), documents, similarity)
     roots = stored(components(links))
 
@@ -234,10 +239,11 @@ def near_duplicates(
         buckets.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
         .join(bounded, "text_id")
         .withColumn("root", F.coalesce("root", "text_id"))
-        .drop("least")
+        .drop("pivot")
     )
     several = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_buckets = stored(placed.join(several.select("band", "value"), ["band", "value"]))
+    several = stored(several.select("band", "value"))
+    open_buckets = stored(placed.join(several, ["band", "value"]))
     x, y = open_buckets.alias("x"), open_buckets.alias("y")
     across = (
         x.join(

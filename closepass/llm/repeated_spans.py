@@ -216,7 +216,8 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, spans (maximal removed byte runs), kept (remaining bytes)."""
     documents = documents.select("doc_id", F.xxhash64("text").alias("key"), "text")
     runs = stored(documents.mapInArrow(_find_runs, RUN_SCHEMA))
-    groups = (
+    # written first, so that the join below deals runs by itself and Spark can split a large group
+    groups = stored(
         runs.groupBy("grp")
         .agg(F.count("*").alias("n"), (F.min("cls") != F.max("cls")).alias("mixed"))
         .where("n > 1")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closepass.llm import words as W
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 
 WINDOW = 10
 SHINGLE = 5
@@ -155,14 +155,14 @@ def occurrences(
     """(rows, found): rows has doc_id, key, n_words for each document; found has doc_id, key, item_id,
     start (word), length for each window of an item that occurs in a document."""
     items = items.select("item_id", "text")
-    item_windows = stored(items.mapInArrow(_item_windows(window, shingle), ITEM_SCHEMA))
+    item_windows = stored(items.transform(mapped, _item_windows(window, shingle), ITEM_SCHEMA))
     grams = item_windows.select(F.explode("shingles").alias("s")).select("s.*").distinct()
     sizes = sorted(r[0] for r in grams.select("size").distinct().collect())  # at most `shingle` values
     docs = documents.select("doc_id", F.xxhash64("text").alias("key"), "text")
     known = _filter(grams, filter_bits)
     counts = (
         docs.select("text")
-        .mapInArrow(_counts(sizes, known, filter_bits), "hash long, n long")
+        .transform(mapped, _counts(sizes, known, filter_bits), "hash long, n long")
         .groupBy("hash")
         .agg(F.sum("n").alias("n"))
     )
@@ -186,7 +186,8 @@ def occurrences(
     chosen = _filter(prefixes.select("hash").distinct(), filter_bits)
     arrow = "array<struct<hash: long, at: long, from: long, near: string>>"
     rows = stored(
-        docs.mapInArrow(
+        docs.transform(
+            mapped,
             _places(sizes, chosen, filter_bits, window, shingle), f"doc_id long, key long, n_words long, places {arrow}"
         )
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from closepass.llm import words as W
 from closepass.llm.samples import about
+from closepass.llm.store import mapped
 
 FIT_ROWS = 1500
 BINS = 1 << 15
@@ -107,7 +108,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     counts = np.zeros((3, len(languages), BINS), dtype=np.int64)
     cells = (
         rows.select("lang", "text")
-        .mapInArrow(_count(languages), "level long, lang long, cell long, n long")
+        .transform(mapped, _count(languages), "level long, lang long, cell long, n long")
         .groupBy("level", "lang", "cell")
         .agg(F.sum("n").alias("n"))
     )
@@ -225,7 +226,8 @@ def _predict(model: Model):
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, lang_pred, score (its share of the words), mixture (lang, share)."""
-    return documents.select("doc_id", "text").mapInArrow(
+    return documents.select("doc_id", "text").transform(
+            mapped,
         _predict(model), "doc_id long, lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
     )
 

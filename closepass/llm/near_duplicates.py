@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from closepass.llm import words as W
 from closepass.llm.components import components
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -179,7 +179,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     texts = stored(texts.join(wanted, "doc_id").select("doc_id", "text"))
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
-    rows = pairs.mapInArrow(_linked(similarity), "a long, b long, similarity double")
+    rows = pairs.transform(mapped, _linked(similarity), "a long, b long, similarity double")
     return stored(rows.where(F.col("similarity") >= similarity))
 
 
@@ -200,7 +200,7 @@ def near_duplicates(
     the least of all that are linked to it, directly or through others."""
     documents = documents.select("doc_id", "text")
     schema = "doc_id long, same1 long, same2 long, n long, sketches array<long>, parity array<long>"
-    rows = stored(documents.mapInArrow(_sketch_rows(sketches, take), schema))
+    rows = stored(documents.transform(mapped, _sketch_rows(sketches, take), schema))
     same = ["same1", "same2", "n"]
     texts = stored(
         rows.groupBy(*same)

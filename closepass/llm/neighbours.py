@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 
 K = 10
 FIT_ROWS = 12_000
@@ -197,14 +197,14 @@ def nearest(rows: DataFrame, is_query, k: int = K, recall: float = RECALL, fit_r
     entries = vectors.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
     entries = entries.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("vec_ids"))
     entries = stored(
-        entries.select("vec_ids", "vector").mapInArrow(_assign(placing), "vec_ids array<long>, vector array<double>, cell long")
+        entries.select("vec_ids", "vector").transform(mapped, _assign(placing), "vec_ids array<long>, vector array<double>, cell long")
     )
     held = entries.groupBy("cell").agg(F.sum(F.size("vec_ids")).alias("n"), F.count("*").alias("rows"))
     index.counts = np.zeros_like(index.counts)
     for cell, n, _ in held.collect():  # at most codes x codes rows
         index.counts[cell] = n
     probing = spark.sparkContext.broadcast(index)
-    queries = vectors.where(is_query).mapInArrow(_probe(probing, k + 1), f"{VECTOR}, cells array<long>")
+    queries = vectors.where(is_query).transform(mapped, _probe(probing, k + 1), f"{VECTOR}, cells array<long>")
     queries = stored(queries.select("vec_id", "vector", F.explode("cells").alias("cell")))
     asked = queries.groupBy("cell").agg(F.count("*").alias("asked"))
     # a block is a part of the rows of a cell with a part of its queries

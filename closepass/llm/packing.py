@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closepass.llm import tokens as T
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 
 SIZE = 2048
 SALTED_ROWS = 50_000  # pieces of one length that a task numbers
@@ -136,7 +136,7 @@ def _place(places: Places):
 def packed(documents: DataFrame, path: str, end_id: int = 0, size: int = SIZE, ids: bool = True) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, unless told otherwise,
     ids (unsigned 32-bit, little-endian)."""
-    pieces = stored(documents.select("doc_id", "text").mapInArrow(_pieces(path, end_id, size), PIECE_SCHEMA))
+    pieces = stored(documents.select("doc_id", "text").transform(mapped, _pieces(path, end_id, size), PIECE_SCHEMA))
     if not ids:
         pieces = pieces.drop("ids")
     counts = np.zeros(size + 1, dtype=np.int64)
@@ -152,7 +152,7 @@ def packed(documents: DataFrame, path: str, end_id: int = 0, size: int = SIZE, i
     numbered = salted.withColumn("number", F.row_number().over(group) - 1).join(before, ["length", "salt"])
     numbered = numbered.select(*pieces.columns, (F.col("number") + F.col("before")).alias("number"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.mapInArrow(_place(places), f"{kinds}, sequence_id long, offset long")
+    return numbered.transform(mapped, _place(places), f"{kinds}, sequence_id long, offset long")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closepass.llm import words as W
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 from closepass.llm.suffix_sort import ranked
 
 LENGTH = 400
@@ -215,7 +215,7 @@ def _cut(batches):
 def without_repeats(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, spans (maximal removed byte runs), kept (remaining bytes)."""
     documents = documents.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    runs = stored(documents.mapInArrow(_find_runs, RUN_SCHEMA))
+    runs = stored(documents.transform(mapped, _find_runs, RUN_SCHEMA))
     # written first, so that the join below deals runs by itself and Spark can split a large group
     groups = stored(
         runs.groupBy("grp")
@@ -234,7 +234,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     )
     # equal rows fetch their runs once each, which only adds to copies that n counts already
     here = [documents.doc_id.eqNullSafe(F.col("_doc")), documents.key == F.col("_key")]
-    suffixes = stored(documents.join(wanted, here).select("text", "wanted").mapInArrow(_fetch, CLASS_SCHEMA))
+    suffixes = stored(documents.join(wanted, here).select("text", "wanted").transform(mapped, _fetch, CLASS_SCHEMA))
     # a bucket holds whole groups; a group beyond BUCKET_ROWS is split by ranges of bytes before the anchor
     sizes = suffixes.groupBy("grp").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET_ROWS)
     parts = F.least(F.lit(LENGTH - GRAM + 1), F.ceil(F.col("m") / BUCKET_ROWS)).cast("int")
@@ -276,7 +276,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     return (
         documents.join(ranges, here, "left")
         .select("doc_id", "text", "ranges")
-        .mapInArrow(_cut, f"doc_id long, n_bytes long, n_removed long, spans {kind}, kept binary")
+        .transform(mapped, _cut, f"doc_id long, n_bytes long, n_removed long, spans {kind}, kept binary")
     )
 
 

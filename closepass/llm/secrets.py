@@ -23,6 +23,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from closepass.llm.store import mapped
 
 KINDS = ("assign", "access", "hex", "der", "ssh", "jwt")
 BASE = KINDS[:3]
@@ -206,7 +207,8 @@ def _scan(batches):
 
 def scan(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, found (start, end, kind), spans (as text)."""
-    return documents.select("doc_id", "text").mapInArrow(
+    return documents.select("doc_id", "text").transform(
+            mapped,
         _scan,
         "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string,"
         " found array<struct<start: long, end: long, kind: string>>, spans string",
@@ -246,7 +248,7 @@ def without_secrets(documents: DataFrame) -> DataFrame:
                 columns[k] = pa.array(counts, columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.transform(mapped, run, documents.schema)
 
 
 def op2_structural_secrets(spark, sf_dir: str) -> DataFrame:

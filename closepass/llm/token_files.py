@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from closepass.llm import tokens as T
 from closepass.llm import words as W
-from closepass.llm.store import stored
+from closepass.llm.store import mapped, stored
 
 BLOCK = 128
 PERCENT = 90
@@ -174,7 +174,7 @@ def write_token_files(documents: DataFrame, path: str, end_id: int) -> DataFrame
     """
     documents = documents.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
     ordered = documents.sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInArrow(_write(path, end_id), FILE_SCHEMA))
+    return stored(ordered.transform(mapped, _write(path, end_id), FILE_SCHEMA))
 
 
 def _read(batches):
@@ -218,8 +218,8 @@ def read_token_files(files: DataFrame, ids: bool = True) -> DataFrame:
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     rows = placed(files).select("start", "image")
     if ids:
-        return rows.mapInArrow(_read, f"{schema}, ids array<int>")
-    return rows.mapInArrow(_read_digests, schema)
+        return rows.transform(mapped, _read, f"{schema}, ids array<int>")
+    return rows.transform(mapped, _read_digests, schema)
 
 
 def op7_patched_frame_token_files(spark, sf_dir: str) -> DataFrame:

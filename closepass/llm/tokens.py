@@ -16,8 +16,8 @@ import pyarrow as pa
 from closepass.llm import words as W
 
 VOCABULARY = "byte_bpe_50k.json"
-BLOCK_BYTES = 1 << 21
-KEPT_PIECES = 3_000_000
+BLOCK_BYTES = 1 << 20
+KEPT_PIECES = 2_000_000
 
 LETTER, NUMBER, SPACE, OTHER, UNSURE = range(5)
 #: What may follow an apostrophe to make a piece with it.

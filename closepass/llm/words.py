@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 

@@ -10,9 +10,10 @@ Documents that share a sketch are candidates.  A pair is linked if the alignment
 sequences (longest common subsequence m within the band that the similarity leaves) has
 m / (n1 + n2 - m) >= `SIMILARITY`.
 
-Equal word sequences are one text from the start.  In a bucket of one sketch, every text is compared with
-one pivot, and after the links are joined, all pairs of the bucket whose texts are still in different
-components: nothing is left out, and a large group of copies costs one comparison a member.  Exact
+Equal word sequences are one text from the start.  In the buckets of the first sketches every text is compared
+with one pivot, then, in all buckets, the texts whose pivot is in another component, and last all pairs
+of a bucket whose texts are still in different components: nothing is left out, and a large group of copies
+costs a few comparisons a member.  Exact
 necessary bounds (lengths; differing bits of a shingle parity map, at most the number of differing
 shingles) cut pairs inside the join.
 
@@ -34,6 +35,7 @@ SIMILARITY = 0.8
 SKETCHES = 24
 TAKE = 4
 PARITY_LONGS = 8
+FIRST_BANDS = 4  # sketches whose pivots are compared before any component is known
 
 
 def sequences(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,6 +195,10 @@ def _could_reach(similarity: float) -> Column:
     return (F.abs(F.col("x.n") - F.col("y.n")) <= slack) & (differing <= slack)
 
 
+def _ordered(rows: DataFrame, one: str, other: str) -> DataFrame:
+    return rows.select(F.greatest(one, other).alias("a"), F.least(one, other).alias("b")).distinct()
+
+
 def near_duplicates(
     documents: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, take: int = TAKE
 ) -> DataFrame:
@@ -228,36 +234,42 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    stars = buckets.where("text_id <> pivot").select(
-        F.greatest("text_id", "pivot").alias("a"), F.least("text_id", "pivot").alias("b")
-    ).distinct()
-    links = _verified(stored(sides(stars)), documents, similarity)
+    first = buckets.where((F.col("text_id") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
+    tested = stored(_ordered(first, "text_id", "pivot"))
+    links = _verified(stored(sides(tested)), documents, similarity).select("a", "b")
     roots = stored(components(links))
 
-    # buckets that still hold several components: their pairs across components
-    placed = (
-        buckets.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
-        .join(bounded, "text_id")
-        .withColumn("root", F.coalesce("root", "text_id"))
-        .drop("pivot")
-    )
-    several = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    several = stored(several.select("band", "value"))
-    open_buckets = stored(placed.join(several, ["band", "value"]))
-    x, y = open_buckets.alias("x"), open_buckets.alias("y")
-    across = (
-        x.join(
-            y,
-            (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.value") == F.col("y.value"))
-            & (F.col("x.text_id") > F.col("y.text_id"))
-            & (F.col("x.root") != F.col("y.root"))
-            & _could_reach(similarity),
+    def still_open() -> DataFrame:
+        """Buckets that hold several components, with the component of each text."""
+        placed = (
+            buckets.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
+            .join(bounded, "text_id")
+            .withColumn("root", F.coalesce("root", "text_id"))
         )
-        .select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+        several = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        several = stored(several.where("lo < hi").select("band", "value"))
+        return stored(placed.join(several, ["band", "value"]))
+
+    # of all bands: texts whose pivot is in another component
+    opened = still_open()
+    heads = opened.where("text_id = pivot").select("band", "value", F.col("root").alias("pivot_root"))
+    second = opened.join(heads, ["band", "value"]).where("root <> pivot_root")
+    second = stored(_ordered(second, "text_id", "pivot").join(tested, ["a", "b"], "left_anti"))
+    links = links.unionByName(_verified(stored(sides(second)), documents, similarity).select("a", "b"))
+    roots = stored(components(links))
+
+    # what is still open: all pairs of texts of different components
+    opened = still_open()
+    x, y = opened.alias("x"), opened.alias("y")
+    across = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.value") == F.col("y.value"))
+        & (F.col("x.text_id") > F.col("y.text_id"))
+        & (F.col("x.root") != F.col("y.root"))
+        & _could_reach(similarity),
+    ).select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b"))
+    across = across.distinct().join(tested.unionByName(second), ["a", "b"], "left_anti")
     more = _verified(stored(across), documents, similarity)
     whole = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more.select("a", "b"))
     roots = components(whole).select(F.col("node").alias("text_id"), F.col("root").alias("class_id"))

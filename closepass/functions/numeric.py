@@ -58,77 +58,31 @@ def fixed_text(c: Column | str, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", _col(c))
 
 
-def _whole(name: str, data_type: str) -> Column:
-    """A number or time as a whole number, the same under any session time zone.
-
-    Doubles count in billionths, times without a zone in seconds, others in microseconds.
-    """
+def _lossless(name: str, data_type: str) -> Column:
+    """A value as text that tells all values of its type apart, the same under any session time zone."""
     c = F.col(name)
-    if data_type in ("double", "float"):
-        return F.floor(c * F.lit(1e9) + F.lit(0.5))
-    if data_type == "timestamp_ntz":
-        days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     if data_type == "timestamp":
-        return F.unix_micros(c)
-    return c.cast("bigint")
-
-
-_WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _is_whole(data_type: str) -> bool:
-    return data_type in _WHOLE_TYPES or data_type.startswith("timestamp")
+        c = F.unix_micros(c)
+    return F.coalesce(c.cast("string"), F.lit(""))
 
 
 def hash_key(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
     """Hex digest of some columns of ``df`` and a seed: a reproducible random order.
 
     The digest depends on the row's values alone, so a retried task or another
-    partitioning gives the same order, which ``rand()`` would not.  Numbers and times
-    enter as whole numbers, whose text is the same in every SQL engine.
+    partitioning gives the same order, which ``rand()`` would not.  Every column enters
+    whole, so rows that differ anywhere are ordered independently.
     """
     types = dict(df.dtypes)
-    parts = [
-        F.coalesce(
-            (_whole(c, types[c]) if _is_whole(types[c]) else F.col(c)).cast("string"), F.lit("")
-        )
-        for c in columns
-    ]
+    parts = [_lossless(c, types[c]) for c in columns]
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-#: Bits of the inputs and factors of the arithmetic key, and bits of the key kept.
-MIX_INPUT_BITS = 30
+#: Bits of the key.
 MIX_KEY_BITS = 46
-#: Prime modulus and generator from which the factors are drawn.
-_FACTOR_PRIME = 2**31 - 1
-_FACTOR_GENERATOR = 48271
-
-
-def mix_factor(seed: int, i: int) -> int:
-    """Odd factor number ``i`` for a seed, below ``2^30``."""
-    drawn = pow(_FACTOR_GENERATOR, seed + i + 1, _FACTOR_PRIME)
-    return (drawn % 2**MIX_INPUT_BITS) | 1
 
 
 def mix_key(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
-    """A reproducible random number below 2^46 from the numbers and times of a row.
-
-    A multiply-shift key: whole numbers of 30 bits times odd factors, summed, of which
-    the high bits are the random ones.  It takes nanoseconds where a digest takes
-    microseconds, and no division, which keeps generated code short.  Rows that differ
-    in text only share a key, so a digest has to order those.  Without a number or
-    time column the key is the start of the digest.
-    """
-    types = dict(df.dtypes)
-    whole = [c for c in columns if _is_whole(types[c])]
-    if not whole:
-        digits = F.substring(hash_key(df, columns, seed), 1, 11)
-        return F.conv(digits, 16, 10).cast("bigint")
-    low_bits = F.lit(2**MIX_INPUT_BITS - 1).cast("bigint")
-    total = F.lit(mix_factor(seed, 0)).cast("bigint")
-    for i, c in enumerate(whole):
-        part = F.coalesce(_whole(c, types[c]), F.lit(0).cast("bigint")).bitwiseAND(low_bits)
-        total = total + part * F.lit(mix_factor(seed, i + 1)).cast("bigint")
-    return total.bitwiseAND(F.lit(2**MIX_KEY_BITS - 1))
+    """The first 46 bits of the digest as a number."""
+    digits = F.substring(hash_key(df, columns, seed), 1, 12)
+    return F.shiftright(F.conv(digits, 16, 10).cast("bigint"), 48 - MIX_KEY_BITS)

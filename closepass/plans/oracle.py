@@ -54,18 +54,11 @@ _SPEED = (
 )
 _COMPLETE = "h IS NOT NULL AND dist IS NOT NULL AND v_rel IS NOT NULL"
 _HASH = (
-    "md5(concat_ws('|', des, orbit_id, CAST(epoch_us(cd) // 1000000 AS VARCHAR),"
-    " coalesce(CAST(CAST(floor(dist * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
-    " coalesce(CAST(CAST(floor(v_rel * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR), ''),"
-    " '42'))"
-)
-# The arithmetic key for seed 42 over cd, dist and v_rel.
-_MIX = (
-    "((213780523 + ((epoch_us(cd) // 1000000) & 1073741823) * 740726033"
-    " + (CAST(floor(dist * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) & 1073741823) * 1057382353"
-    " + (CAST(floor(v_rel * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT) & 1073741823) * 585933319"
-    ") & 70368744177663)"
+    "md5(concat_ws('|', des, orbit_id, CAST(CAST(cd AS TIMESTAMP) AS VARCHAR),"
+    " coalesce(CAST(dist AS VARCHAR), ''), coalesce(CAST(v_rel AS VARCHAR), ''), '42'))"
 )
+# The first 46 bits of the digest.
+_MIX = f"(CAST('0x' || substr({_HASH}, 1, 12) AS BIGINT) >> 2)"
 _CELL = f"({_MIX} >> 30)"
 _SEGMENT = (
     "CASE WHEN approach_year <= 1998 THEN 'historical'"

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from closepass.functions.numeric import mix_key
+from closepass.functions.numeric import hash_key, mix_key
 from closepass.operators import sampling
 from closepass.operators.selection import exact_quantiles, first_rows
 
@@ -163,6 +163,22 @@ def test_sampling_key_spreads_rows(approaches):
     assert all(abs(r["count"] - total / 16) < 5 * (total / 16) ** 0.5 for r in groups)
 
 
+@pytest.mark.parametrize(
+    "value",
+    ["id", "1e12 + id * 1e-3", "id * 1e-15", "timestamp_micros(id)", "timestamp_micros(id * 60000000)", "'t' || id"],
+)
+def test_sample_is_no_run_of_neighbours(spark, value):
+    rows = spark.range(20_000).selectExpr("id", f"{value} AS v").select("v", "id")
+    assert rows.select(hash_key(rows, ["v"], 1)).distinct().count() == 20_000
+    ids = sorted(r.id for r in sampling.sample_random(rows, 200, identity=["v"]).collect())
+    assert len(ids) == 200 and sum(b - a == 1 for a, b in zip(ids, ids[1:])) < 20
+
+
+def test_sampling_key_of_many_wide_columns(spark):
+    wide = spark.range(100).select(*(((F.col("id") - 50) * (2**56) + i).alias(f"c{i}") for i in range(40)))
+    assert wide.select(mix_key(wide, wide.columns, 1)).distinct().count() == 100
+
+
 def test_sampling_key_without_numbers(spark):
     df = spark.createDataFrame([(f"a{i}",) for i in range(2000)], "des string")
     assert sampling.sample_random(df, 100).distinct().count() == 100

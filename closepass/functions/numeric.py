@@ -27,10 +27,11 @@ def to_number(c: Column | str) -> Column:
     """Text to double; text that is not a plain number becomes NULL.
 
     The pattern keeps out forms that a bare cast accepts: ``1d``, ``1.5f``,
-    ``nan`` and ``inf``.
+    ``nan`` and ``inf``.  A number too large for a double is NULL as well.
     """
     text = F.trim(_col(c))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(number) < float("inf")), number)
 
 
 def clip(c: Column | str, low: float, high: float) -> Column:

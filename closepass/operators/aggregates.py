@@ -195,13 +195,15 @@ def yearly_trends(
     return _per_year(rows, "year", metrics).orderBy(F.desc("year")).limit(limit)
 
 
-def trend_stats(df: DataFrame, recent: int = 10, limit: int = 25) -> DataFrame:
+def trend_stats(
+    df: DataFrame, recent: int = 10, limit: int = 25, first_year: int = 1900, last_year: int = 2030
+) -> DataFrame:
     """Mean count of the newest years, and the year of the highest count.
 
     Among years of equal count the newest wins.
     """
     counts = _per_year(
-        df.filter(F.col("approach_year").between(1900, 2030)), "year", {"total": _rows()}
+        df.filter(F.col("approach_year").between(first_year, last_year)), "year", {"total": _rows()}
     )
     newest = counts.orderBy(F.desc("year")).limit(limit)
     position = F.row_number().over(Window.orderBy(F.desc("year")))
@@ -457,7 +459,7 @@ def repeat_approaches(df: DataFrame) -> DataFrame:
             & (F.col("__a") > 0)
             & ((F.col("__a") > 1) | (F.col("__b") > 1))
         )
-        .select("des", F.try_multiply("__a", "__b").alias("approaches"), "closest")
+        .select("des", (F.col("__a") * F.col("__b")).alias("approaches"), "closest")
     )
 
 

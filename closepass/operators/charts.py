@@ -1,12 +1,11 @@
-"""Datasets behind charts: histograms, cumulative frames, the risk dashboard, projections."""
+"""Datasets behind charts: histograms, cumulative frames, the risk dashboard."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closepass.functions.numeric import clip, hash_key
+from closepass.functions.numeric import clip
 from closepass.functions.risk import RISK_LEVELS, RISK_REST, temporal_segment
 from closepass.operators.ranking import best_per_object
-from closepass.operators.selection import first_rows
 
 RISK_LABELS = (*[name for _, _, name in RISK_LEVELS], RISK_REST)
 
@@ -100,89 +99,3 @@ def risk_dashboard(
         .withColumn("score_marker", marker_size_by_score())
         .withColumn("size_marker", marker_size_by_magnitude())
     )
-
-
-def future_projections(
-    historical: DataFrame, first_year: int = 2026, last_year: int = 2030
-) -> DataFrame:
-    """Resampled and varied historical rows for each coming year.
-
-    Each year draws a tenth of the rows (at least ten) by its own hash order and
-    varies distance, velocity and score by normal factors.  The factors come from
-    hash digits, not from a random generator, so a recomputed task repeats them.
-    """
-    years = F.array(*[F.lit(y) for y in range(first_year, last_year + 1)])
-    base = historical.drop("approach_year").withColumn("approach_year", F.explode(years))
-    key = hash_key(base, ["des", "approach_year"], seed=0)
-    keyed = base.withColumn("__h", key)
-
-    def quota(total: Column) -> Column:
-        return F.least(F.greatest(F.lit(10), F.floor(total / 10)), total)
-
-    ties = [F.col(c).asc_nulls_last() for c in base.columns]
-    chosen = first_rows(
-        keyed,
-        levels=[F.substring("__h", 1, 4)],
-        order=[F.col("__h"), *ties],
-        quota=quota,
-        groups=["approach_year"],
-        few_groups=True,
-    )
-    return _vary(_number(chosen, *ties))
-
-
-def _number(chosen: DataFrame, *ties: Column) -> DataFrame:
-    """Position in the year's hash order, numbered per hash cell and shifted by the cells before."""
-    keyed = chosen.withColumn("__cell", F.substring("__h", 1, 4))
-    counts = keyed.groupBy("approach_year", "__cell").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(
-        Window.partitionBy("approach_year")
-        .orderBy("__cell")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        "approach_year", "__cell", F.coalesce(before, F.lit(0)).alias("__offset")
-    )
-    inside = Window.partitionBy("approach_year", "__cell").orderBy("__h", *ties)
-    return keyed.join(offsets, ["approach_year", "__cell"]).withColumn(
-        "__i", F.col("__offset") + F.row_number().over(inside) - 1
-    )
-
-
-def _uniform(salt: str) -> Column:
-    """A number in (0, 1) from the row's hash."""
-    digits = F.substring(F.md5(F.concat(F.col("__h"), F.lit(salt))), 1, 8)
-    return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**32)
-
-
-def _normal_factor(salt: str, deviation: float) -> Column:
-    """A normal number of mean 1 (Box-Muller transform of two uniform numbers)."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(_uniform(salt + "r")))
-    return F.lit(1.0) + F.lit(deviation) * radius * F.cos(
-        F.lit(2.0) * F.pi() * _uniform(salt + "a")
-    )
-
-
-def _vary(numbered: DataFrame) -> DataFrame:
-    month = (F.floor(_uniform("m") * 12) + 1).cast("int")
-    day = (F.floor(_uniform("d") * 28) + 1).cast("int")
-    suffix = F.format_string("%d-%03d", F.col("approach_year"), F.col("__i"))
-    return numbered.select(
-        F.concat(F.lit("PROJ-"), suffix).alias("des"),
-        F.concat(F.lit("Projected Object "), suffix).alias("fullname"),
-        "h",
-        F.greatest(F.lit(0.001), F.col("distance_au") * _normal_factor("x", 0.1)).alias(
-            "distance_au"
-        ),
-        F.greatest(F.lit(1.0), F.col("velocity_kms") * _normal_factor("v", 0.05)).alias(
-            "velocity_kms"
-        ),
-        F.make_timestamp_ntz(
-            F.col("approach_year"), month, day, F.lit(0), F.lit(0), F.lit(0)
-        ).alias("approach_date"),
-        F.greatest(F.lit(0.0), F.col("risk_score") * _normal_factor("s", 0.15)).alias(
-            "risk_score"
-        ),
-        "risk_category",
-        F.col("approach_year").cast("bigint").alias("approach_year"),
-    )

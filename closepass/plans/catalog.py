@@ -4,7 +4,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from closepass.functions.numeric import dround
 from closepass.functions.risk import (
@@ -14,13 +13,8 @@ from closepass.functions.risk import (
     temporal_segment,
 )
 from closepass.operators import aggregates as agg
-from closepass.operators import charts, cleaning, ranking, reports, sampling
+from closepass.operators import charts, cleaning, ranking, reports, sampling, versions
 from closepass.plans import inputs
-from closepass.schema import APPROACHES
-from closepass.sinks.files import save_by_year
-from closepass.sources.files import read_parquet
-from closepass.storage import shared_folder
-from closepass.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,61 +145,16 @@ def _measure_stats(spark: SparkSession, sf: str) -> DataFrame:
     return agg.measure_stats(inputs.table(spark, sf, "events"), "value", ["event_type"])
 
 
-def _future_projections(spark: SparkSession, sf: str) -> DataFrame:
-    past = _risk_rows(spark, sf).filter(F.col("segment") == "historical")
-    return charts.future_projections(past)
+def _versioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Approaches in three loads by year."""
+    year = F.col("approach_year")
+    return inputs.approaches(spark, sf).withColumn("version", F.when(year <= 1997, 1).when(year == 1998, 2).otherwise(3))
 
 
-def _partition_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the table by year, then read a range of years back."""
-    path = save_by_year(inputs.approaches(spark, sf), shared_folder(spark, "by-year"))
-    schema = T.StructType([f for f in APPROACHES if f.name != "fullname"])
-    return agg.partition_scan(read_parquet(spark, path, schema), 1996, 1998)
-
-
-def _batches(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The whole table in three batches of years; the date ranges reach the scan."""
-    rows = inputs.approaches(spark, sf)
-    date = F.col("cd")
-    first, second = (F.lit(d).cast("timestamp_ntz") for d in ("1998-01-01", "1999-01-01"))
-    return [
-        rows.filter(date < first),
-        rows.filter((date >= first) & (date < second)),
-        rows.filter((date >= second) | date.isNull()),
-    ]
-
-
-def _versioned(spark: SparkSession, sf: str, evolve: bool = False) -> VersionedTable:
-    """A versioned table of three snapshots; with ``evolve`` the last has a new column."""
-    versions = VersionedTable(spark, shared_folder(spark, "versions"), APPROACHES)
-    first, second, third = _batches(spark, sf)
-    versions.append(first)
-    versions.append(second)
-    if evolve:
-        versions.add_column("risk_level", T.StringType())
-        third = third.withColumn("risk_level", F.when(F.col("h").isNotNull(), risk_category()))
-    versions.append(third)
-    return versions
-
-
-def _read_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _versioned(spark, sf, evolve=True).read_as_of(2)
+def _as_of_version(spark: SparkSession, sf: str) -> DataFrame:
+    rows = versions.as_of(_versioned(spark, sf), 2)
     return rows.groupBy("approach_year").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count("h").alias("with_h"),
-        F.min("dist").alias("closest"),
-    )
-
-
-
-def _schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
-    return _versioned(spark, sf, evolve=True).column_counts("risk_level")
-
-
-def _future_projections_rounded(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _future_projections(spark, sf)
-    return rows.withColumns(
-        {c: dround(c, 4) for c in ("distance_au", "velocity_kms", "risk_score")}
+        F.count(F.lit(1)).alias("records"), F.count("h").alias("with_h"), F.min("dist").alias("closest")
     )
 
 
@@ -213,7 +162,9 @@ QUERIES: dict[str, Query] = {
     # reading
     "window_full": _plain(reports.full_source_window),
     "window_limited": _plain(reports.limited_source_window, limit=10_000),
-    "partition_scan": _partition_scan,
+    "version_counts": lambda spark, sf: versions.version_counts(_versioned(spark, sf)),
+    "as_of_version": _as_of_version,
+    "partition_scan": _plain(agg.partition_scan, first_year=1996, last_year=1998),
     "limited_scan": lambda spark, sf: reports.limited_scan(inputs.approaches(spark, sf)).select(
         "records"
     ),
@@ -295,9 +246,4 @@ QUERIES: dict[str, Query] = {
     "histogram_risk": lambda spark, sf: charts.histogram(_risk_rows(spark, sf), "risk_score", 20),
     "box_summary": _box_summary,
     "risk_dashboard": _risk_dashboard,
-    "future_projections": _future_projections_rounded,
-    # versioned table
-    "snapshot_counts": lambda spark, sf: _versioned(spark, sf).snapshot_counts(),
-    "schema_evolution": _schema_evolution,
-    "read_as_of": _read_as_of,
 }

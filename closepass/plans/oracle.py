@@ -153,39 +153,6 @@ SELECT {columns} FROM (
     )
 
 
-def _projections() -> str:
-    def uniform(salt: str) -> str:
-        return (
-            f"((CAST('0x' || substr(md5(k || '{salt}'), 1, 8) AS UBIGINT)::DOUBLE + 0.5::DOUBLE)"
-            " / 4294967296::DOUBLE)"
-        )
-
-    def factor(salt: str, deviation: float) -> str:
-        return (
-            f"(1::DOUBLE + {deviation}::DOUBLE * sqrt(-2::DOUBLE * ln({uniform(salt + 'r')}))"
-            f" * cos(2::DOUBLE * pi() * {uniform(salt + 'a')}))"
-        )
-
-    return _q(
-        f"""
-SELECT 'PROJ-' || y || '-' || lpad(CAST(i AS VARCHAR), CAST(greatest(3, length(CAST(i AS VARCHAR))) AS INTEGER), '0') AS des,
-       'Projected Object ' || y || '-' || lpad(CAST(i AS VARCHAR), CAST(greatest(3, length(CAST(i AS VARCHAR))) AS INTEGER), '0') AS fullname,
-       h,
-       round(greatest(0.001::DOUBLE, distance_au * {factor('x', 0.1)}), 4) AS distance_au,
-       round(greatest(1::DOUBLE, velocity_kms * {factor('v', 0.05)}), 4) AS velocity_kms,
-       make_timestamp(y, CAST(floor({uniform('m')} * 12) + 1 AS BIGINT),
-                      CAST(floor({uniform('d')} * 28) + 1 AS BIGINT), 0, 0, 0) AS approach_date,
-       round(greatest(0::DOUBLE, risk_score * {factor('s', 0.15)}), 4) AS risk_score,
-       risk_category, y AS approach_year
-FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY k) - 1 AS i, count(*) OVER (PARTITION BY y) AS n
-      FROM (SELECT *, md5(concat_ws('|', des, CAST(y AS VARCHAR), '0')) AS k
-            FROM risk_rows CROSS JOIN (SELECT range AS y FROM range(2026, 2031))
-            WHERE segment = 'historical'))
-WHERE i < least(greatest(10, n // 10), n)""",
-        _BEST,
-    )
-
-
 _RAW_ROWS = """
 WITH raw AS (
   SELECT concat('  ', CAST(l_partkey AS VARCHAR), ' ') AS des, CAST(l_suppkey AS VARCHAR) AS orbit_id,
@@ -202,13 +169,14 @@ WITH raw AS (
 
 
 def _number(c: str) -> str:
-    return f"CASE WHEN regexp_matches(trim({c}), {_NUMBER}) THEN TRY_CAST(trim({c}) AS DOUBLE) END"
+    return f"CASE WHEN regexp_matches(trim({c}), {_NUMBER}) AND isfinite(TRY_CAST(trim({c}) AS DOUBLE)) THEN TRY_CAST(trim({c}) AS DOUBLE) END"
 
 
 def _text(c: str) -> str:
     return f"CASE WHEN trim({c}) NOT IN ('nan', 'None', '') THEN trim({c}) END"
 
 
+_VERSION = "CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THEN 2 ELSE 3 END"
 _LIST_TIES = "des, h, dist, v_rel"
 
 ORACLE: dict[str, str] = {
@@ -218,6 +186,14 @@ ORACLE: dict[str, str] = {
         "SELECT approach_year, count(*) AS records FROM approaches"
         " WHERE approach_year BETWEEN 1996 AND 1998 GROUP BY 1"
     ),
+    "version_counts": _q(
+        "SELECT version, records, sum(records) OVER (ORDER BY version)::BIGINT AS total FROM ("
+        f"SELECT {_VERSION} AS version, count(*) AS records FROM approaches GROUP BY 1)"
+    ),
+    "as_of_version": _q(
+        "SELECT approach_year, count(*) AS records, count(h) AS with_h, min(dist) AS closest FROM approaches"
+        f" WHERE {_VERSION} <= 2 GROUP BY 1"
+    ),
     "limited_scan": _q("SELECT count(*) AS records FROM (SELECT * FROM approaches LIMIT 1000)"),
     "table_stats": _q(
         "SELECT count(*) AS row_count, min(cd) AS min_date, max(cd) AS max_date FROM approaches"
@@ -613,22 +589,4 @@ GROUP BY 1, 2"""
         " WHERE h IS NOT NULL AND dist IS NOT NULL) GROUP BY 1"
     ),
     "risk_dashboard": _q("SELECT * FROM risk_rows", _BEST),
-    "future_projections": _projections(),
-    "snapshot_counts": _q(
-        """
-SELECT snapshot_id, added_records, sum(added_records) OVER (ORDER BY snapshot_id)::BIGINT AS record_count
-FROM (SELECT CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THEN 2 ELSE 3 END::BIGINT
-               AS snapshot_id, count(*) AS added_records FROM approaches GROUP BY 1)"""
-    ),
-    "schema_evolution": _q(
-        """
-SELECT CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THEN 2 ELSE 3 END::BIGINT
-         AS snapshot_id, count(*) AS records,
-       count(CASE WHEN approach_year >= 1999 THEN h END) AS with_value
-FROM approaches GROUP BY 1"""
-    ),
-    "read_as_of": _q(
-        "SELECT approach_year, count(*) AS records, count(h) AS with_h, min(dist) AS closest"
-        " FROM approaches WHERE approach_year <= 1998 GROUP BY 1"
-    ),
 }

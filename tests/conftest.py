@@ -29,13 +29,13 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def small(spark):
-    """Five approaches with scores from low to high."""
+    """Approaches on the thresholds of the categories: just below the first ones, then on each."""
     rows = [
-        ("OBJ1", "Object 1", 18.5, 0.02, 25.5, "2020-01-15", 2020),
-        ("OBJ2", "Object 2", 22.1, 0.15, 18.2, "2021-03-22", 2021),
-        ("OBJ3", "Object 3", 15.3, 0.008, 35.7, "2022-05-10", 2022),
-        ("OBJ4", "Object 4", 25.0, 0.3, 12.1, "2023-07-08", 2023),
-        ("OBJ5", "Object 5", 19.8, 0.045, 28.3, "2024-02-14", 2024),
+        ("below18", "Below Eighteen", 17.99, 0.0499, 30.1, "2003-02-28", 2003),
+        ("on18", "On Eighteen", 18.0, 0.0999, 20.0, "2003-03-01", 2003),
+        ("on20", "On Twenty", 20.0, 0.1, 19.99, "2004-02-29", 2004),
+        ("on22", "On Twenty-Two", 22.0, 0.2, 30.0, "2011-12-31", 2011),
+        ("on25", "On Twenty-Five", 25.0, 0.0001, 9.5, "2012-01-01", 2012),
     ]
     schema = (
         "des string, fullname string, h double, dist double, v_rel double, cd string,"

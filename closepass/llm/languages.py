@@ -238,11 +238,3 @@ def op3_mixture_language(spark, sf_dir: str) -> DataFrame:
     model = fit(documents.where(F.coalesce(fold, F.lit(0)) != 1).select("doc_id", "text", "lang"))
     held_out = F.coalesce(fold == 1, F.lit(False))
     return identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "mixture")
-
-
-def report(spark, sf_dir, rows):
-    """Held-out accuracy, for a look by hand."""
-    truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").toPandas()
-    both = rows.merge(truth, on="doc_id")
-    both = both[both.held_out]
-    print("accuracy", (both.lang_pred == both.lang).mean(), len(both))

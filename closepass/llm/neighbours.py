@@ -7,10 +7,12 @@ these cells are reranked by their exact distance.
 
 The centroids are fitted on about `FIT_ROWS` vectors and the share is measured there, by comparing with brute
 force for about `FIT_QUERIES` of them; every row is indexed.  Nearest rows of a larger table lie closer, so the share is on
-the safe side there.  The cells grow with the fourth root of the rows on each axis.
+the safe side there.  The number of centroids grows with the square root of the rows, up to `MOST_CODES`.
 
-Equal vectors are indexed as one, with their `k` + 1 least ids: no result can name more of them.  Rows of a cell
-are dealt in blocks, and so are its queries, so neither a full cell nor a popular one is one task's.
+Equal vectors are indexed as one, with their `k` + 1 least ids: no result can name more of them.  Cells are put
+together in `REGIONS` regions by their first centroid, so a query travels once to a region, with the cells it
+wants there, and returns `k` rows from it, however many cells there are.  Rows of a region are dealt in blocks, and
+so are its queries, so neither a full region nor a popular one is one task's.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and those of another
 dimension than most (the smaller one if two are as frequent), take no part; with fewer than `k` other rows all are
@@ -32,8 +34,10 @@ FIT_ROWS = 12_000
 FIT_QUERIES = 200
 FIT_ROUNDS = 10
 RECALL = 0.97
-BLOCK_ROWS = 256
-BLOCK_QUERIES = 256
+MOST_CODES = 64
+REGIONS = 16
+BLOCK_NUMBERS = 1 << 20  # vector components in a block of rows: 8 MB
+BLOCK_QUERIES = 2048
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -67,6 +71,9 @@ class MultiIndex:
         first = _squared(rows[:, : self.half], self.first).argmin(axis=1)
         return first * len(self.second) + _squared(rows[:, self.half :], self.second).argmin(axis=1)
 
+    def region(self, cell):
+        return cell // len(self.second) * REGIONS // len(self.first)
+
     def traversal(self, row: np.ndarray):
         """Cells by summed distance.  The heap holds the best pair not yet taken of each row of the sorted grid;
         a row opens when the one before it has given its first pair."""
@@ -140,18 +147,27 @@ def _assign(shared):
         for batch in batches:
             if batch.num_rows:
                 cells = index.cells(_matrix(batch.column("vector")))
-                yield batch.append_column("cell", pa.array(cells, pa.int64()))
+                batch = batch.append_column("cell", pa.array(cells, pa.int64()))
+                yield batch.append_column("region", pa.array(index.region(cells), pa.int64()))
 
     return run
 
 
+VISITS = pa.list_(pa.struct([("region", pa.int64()), ("cells", pa.list_(pa.int64()))]))
+
+
 def _probe(shared, least: int):
     def run(batches):
         index = shared.value
         for batch in batches:
             if batch.num_rows:
-                cells = [index.probed(v, least) for v in _matrix(batch.column("vector"))]
-                yield batch.append_column("cells", pa.array(cells, pa.list_(pa.int64())))
+                visits = []
+                for row in _matrix(batch.column("vector")):
+                    cells = np.sort(index.probed(row, least))
+                    regions, begin = np.unique(index.region(cells), return_index=True)
+                    parts = np.split(cells, begin[1:])
+                    visits.append([{"region": r, "cells": c} for r, c in zip(regions.tolist(), parts)])
+                yield batch.append_column("visits", pa.array(visits, VISITS))
 
     return run
 
@@ -161,16 +177,25 @@ def _rerank(k: int):
         out = {"query_id": [], "vec_id": [], "score": []}
         if queries.num_rows and rows.num_rows:
             q, v = (_matrix(t["vector"].combine_chunks()) for t in (queries, rows))
+            cell_of = rows["cell"].to_numpy()
+            wanted = np.zeros(cell_of.max() + 1, dtype=bool)
             ids = rows["vec_ids"].combine_chunks()
-            sizes = np.diff(ids.offsets.to_numpy())
-            flat, of = ids.flatten().to_numpy(), np.repeat(np.arange(len(v)), sizes)
-            for query, row in zip(queries["vec_id"].to_pylist(), q):
-                score = np.sqrt(((v - row) ** 2).sum(axis=1))[of]
-                other = flat != query
-                order = np.lexsort((flat[other], score[other]))[:k]
-                out["query_id"] += [query] * len(order)
-                out["vec_id"] += flat[other][order].tolist()
-                out["score"] += score[other][order].tolist()
+            ends = ids.offsets.to_numpy() - ids.offsets[0].as_py()
+            flat = ids.flatten().to_numpy()
+            for query, row, cells in zip(queries["vec_id"].to_pylist(), q, queries["cells"]):
+                cells = cells.values.to_numpy()
+                wanted[:] = False
+                wanted[cells[cells < len(wanted)]] = True
+                near = np.flatnonzero(wanted[cell_of])
+                score = np.sqrt(((v[near] - row) ** 2).sum(axis=1))
+                if len(near) > k + 1:  # one of the k + 1 nearest can be the query's own row
+                    close = score <= np.partition(score, k)[k]
+                    near, score = near[close], score[close]
+                found = [(d, i) for r, d in zip(near, score.tolist()) for i in flat[ends[r] : ends[r + 1]].tolist() if i != query]
+                found = sorted(found)[:k]
+                out["query_id"] += [query] * len(found)
+                out["vec_id"] += [i for _, i in found]
+                out["score"] += [d for d, _ in found]
         return pa.table(out, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
     return run
@@ -189,36 +214,37 @@ def nearest(rows: DataFrame, is_query, k: int = K, recall: float = RECALL, fit_r
     if not len(fitted):
         empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         return empty
-    codes = int(np.clip(round((total / 16) ** 0.5), 2, 64))
+    codes = int(np.clip(round((total / 16) ** 0.5), 2, MOST_CODES))
     index = MultiIndex(_matrix(fitted), codes, k, recall)
     placing = spark.sparkContext.broadcast(index)
     # equal vectors are one entry with their least ids
     first = Window.partitionBy("vector").orderBy("vec_id")
     entries = vectors.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
     entries = entries.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("vec_ids"))
-    entries = stored(
-        entries.select("vec_ids", "vector").transform(mapped, _assign(placing), "vec_ids array<long>, vector array<double>, cell long")
-    )
-    held = entries.groupBy("cell").agg(F.sum(F.size("vec_ids")).alias("n"), F.count("*").alias("rows"))
+    schema = "vec_ids array<long>, vector array<double>, cell long, region long"
+    entries = stored(entries.select("vec_ids", "vector").transform(mapped, _assign(placing), schema))
+    held = entries.groupBy("region", "cell").agg(F.sum(F.size("vec_ids")).alias("n"), F.count("*").alias("rows"))
     index.counts = np.zeros_like(index.counts)
-    for cell, n, _ in held.collect():  # at most codes x codes rows
+    rows_of = np.zeros(REGIONS, dtype=np.int64)
+    for region, cell, n, m in held.collect():  # at most codes x codes rows
         index.counts[cell] = n
+        rows_of[region] += m
     probing = spark.sparkContext.broadcast(index)
-    queries = vectors.where(is_query).transform(mapped, _probe(probing, k + 1), f"{VECTOR}, cells array<long>")
-    queries = stored(queries.select("vec_id", "vector", F.explode("cells").alias("cell")))
-    asked = queries.groupBy("cell").agg(F.count("*").alias("asked"))
-    # a block is a part of the rows of a cell with a part of its queries
-    blocks = held.join(asked, "cell").select(
-        "cell",
-        F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("row_parts"),
-        F.ceil(F.col("asked") / BLOCK_QUERIES).cast("int").alias("query_parts"),
-    )
+    schema = f"{VECTOR}, visits array<struct<region: long, cells: array<long>>>"
+    queries = vectors.where(is_query).transform(mapped, _probe(probing, k + 1), schema)
+    queries = stored(queries.select("vec_id", "vector", F.explode("visits").alias("visit")).select("vec_id", "vector", "visit.*"))
+    # a block is a part of the rows of a region with a part of its queries; one row for each region
+    asked = dict(queries.groupBy("region").count().collect())
+    block_rows = max(256, BLOCK_NUMBERS // len(fitted[0]))
+    blocks = [(r, -(-int(rows_of[r]) // block_rows), -(-asked[r] // BLOCK_QUERIES)) for r in sorted(asked)]
+    blocks = F.broadcast(spark.createDataFrame(blocks, "region long, row_parts int, query_parts int"))
     parts = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = queries.join(blocks, "cell").withColumn("query_part", F.pmod(F.xxhash64("vec_id"), F.col("query_parts")).cast("int"))
-    left = left.withColumn("row_part", parts("row_parts")).select("cell", "row_part", "query_part", "vec_id", "vector")
-    right = entries.join(blocks, "cell").withColumn("row_part", F.pmod(F.xxhash64("vector"), F.col("row_parts")).cast("int"))
-    right = right.withColumn("query_part", parts("query_parts")).select("cell", "row_part", "query_part", "vec_ids", "vector")
-    key = ["cell", "row_part", "query_part"]
+    left = queries.join(blocks, "region").withColumn("query_part", F.pmod(F.xxhash64("vec_id"), F.col("query_parts")).cast("int"))
+    left = left.withColumn("row_part", parts("row_parts")).select("region", "row_part", "query_part", "vec_id", "vector", "cells")
+    right = entries.join(blocks, "region").withColumn("row_part", F.pmod(F.xxhash64("vector"), F.col("row_parts")).cast("int"))
+    right = right.withColumn("query_part", parts("query_parts"))
+    right = right.select("region", "row_part", "query_part", "vec_ids", "vector", "cell")
+    key = ["region", "row_part", "query_part"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_rerank(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -226,15 +252,3 @@ def nearest(rows: DataFrame, is_query, k: int = K, recall: float = RECALL, fit_r
 
 def op1_inverted_multi_index(spark, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
-
-
-def report(spark, sf_dir, rows):
-    t = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").toPandas()
-    x, ids = np.array(t.embedding.tolist(), dtype=np.float64), t.vec_id.to_numpy()
-    met, worst = [], 0.0
-    for q, g in rows.groupby("query_id"):
-        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
-        o = [i for i in np.lexsort((ids, d)) if ids[i] != q][:10]
-        met.append(len(set(ids[o]) & set(g.vec_id)) / 10)
-        worst = max(worst, abs(g.sort_values("rank").score.to_numpy()[0] - d[o[0]]))
-    print("recall", np.mean(met), "queries", len(met), "of", (ids % 100 == 0).sum(), "worst first score difference", worst)

@@ -164,11 +164,3 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 def op4_best_two_fit(spark, sf_dir: str) -> DataFrame:
     return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"), T.default_path(), ids=False)
-
-
-def report(spark, sf_dir, rows):
-    used = rows.sort_values(["sequence_id", "offset"])
-    ends = used.offset + used.length
-    same = used.sequence_id.eq(used.sequence_id.shift())
-    gapless = ((used.offset == ends.shift()) | ~same).all() and (used.offset[~same] == 0).all()
-    print("gapless", gapless, "fit", ends.max() <= SIZE, "sequences", used.sequence_id.nunique(), "least", -(-int(rows.length.sum()) // SIZE))

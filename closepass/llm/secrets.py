@@ -253,15 +253,3 @@ def without_secrets(documents: DataFrame) -> DataFrame:
 
 def op2_structural_secrets(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("found")
-
-
-def report(spark, sf_dir, rows):
-    from collections import Counter
-
-    print(rows[["n_assign", "n_access", "n_hex"]].sum().to_dict())
-    print(Counter(s.split(":")[0] for r in rows.spans for s in r.split(",") if s))
-    t = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas()
-    texts = dict(zip(t.doc_id, t.text))
-    shown = [(d, s, texts[d][int(s.split(":")[1]) : int(s.split(":")[2])][:100]) for d, r in zip(rows.doc_id, rows.spans) for s in r.split(",") if s]
-    for x in shown[:16]:
-        print(x)

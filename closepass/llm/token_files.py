@@ -225,18 +225,3 @@ def read_token_files(files: DataFrame, ids: bool = True) -> DataFrame:
 def op7_patched_frame_token_files(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return read_token_files(write_token_files(documents, T.default_path(), 2), ids=False)
-
-
-def report(spark, sf_dir, rows):
-    """Against the library, document by document."""
-    from tokenizers import Tokenizer
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas().sort_values("doc_id")
-    library = Tokenizer.from_file(T.default_path())
-    start, want = 0, {}
-    for d, t in zip(docs.doc_id, docs.text):
-        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
-        want[d] = (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4")))
-        start += len(ids)
-    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows.itertuples()}
-    print("equal", got == want, len(got))

@@ -34,7 +34,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 24
 TAKE = 4
-PARITY_LONGS = 8
+PARITY_LONGS = 32  # a power of two
 FIRST_BANDS = 4  # sketches whose pivots are compared before any component is known
 
 
@@ -84,6 +84,7 @@ def order_sketches(labels: np.ndarray, seeds: np.ndarray, take: int) -> np.ndarr
 
 
 def _sketch_rows(sketches: int, take: int):
+    top = np.uint64(65 - (64 * PARITY_LONGS).bit_length())
     seeds = W.mixed(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
     def run(batches):
@@ -102,7 +103,7 @@ def _sketch_rows(sketches: int, take: int):
                     size[i] = len(own)
                     if not len(own):
                         continue
-                    odd = np.flatnonzero(np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1)
+                    odd = np.flatnonzero(np.bincount((own >> top).astype(np.int64), minlength=64 * PARITY_LONGS) & 1)
                     np.bitwise_or.at(parity[i], odd >> 6, np.uint64(1) << (odd & 63).astype(np.uint64))
                     order = W.powers(W.BASE, len(own) + 1)[1:]
                     same[0, i] = np.sum(value[at[r] : at[r + 1]] * order)

@@ -388,7 +388,7 @@ def distance_statistics_short(df: DataFrame, approximate: bool = False) -> DataF
 
 
 def measure_stats(
-    df: DataFrame, value: str, groups: Sequence[str], few_groups: bool | None = None
+    df: DataFrame, value: str, groups: Sequence[str], few_groups: bool = False
 ) -> DataFrame:
     """Mean, median, extremes, sample deviation (0 for one value) and count per group."""
     rows = df.filter(F.col(value).isNotNull())
@@ -411,7 +411,7 @@ def measure_stats(
 
 
 def box_summary(
-    df: DataFrame, value: str, group: str, few_groups: bool | None = None
+    df: DataFrame, value: str, group: str, few_groups: bool = False
 ) -> DataFrame:
     """Minimum, quartiles and maximum per group."""
     quantiles = exact_quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], few_groups)
@@ -463,7 +463,9 @@ def repeat_approaches(df: DataFrame) -> DataFrame:
     )
 
 
-def key_findings(df: DataFrame, top_n: int = 20) -> DataFrame:
+def key_findings(
+    df: DataFrame, top_n: int = 20, first_year: int = 1900, last_year: int = 2030
+) -> DataFrame:
     """Headline findings as (finding, value).
 
     One scan makes a row per year; the findings come from those rows.
@@ -478,7 +480,7 @@ def key_findings(df: DataFrame, top_n: int = 20) -> DataFrame:
         F.collect_set(sizes).alias("sizes"),
         F.min("dist").alias("closest"),
     )
-    in_range = F.when(F.col("approach_year").between(1900, 2030), F.col("approach_year"))
+    in_range = F.when(F.col("approach_year").between(first_year, last_year), F.col("approach_year"))
     one = per_year.agg(
         F.least(F.sum("complete"), F.lit(top_n)).cast("double").alias("risky_objects"),
         F.max("score").alias("highest_risk_score"),

@@ -28,7 +28,7 @@ def _by_hash(
     seed: int,
     identity: Sequence[str],
     groups: Sequence[str] = (),
-    few_groups: bool | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     names = present(df, *identity) or df.columns
     keyed = df.withColumn("__h", hash_key(df, names, seed))
@@ -58,7 +58,7 @@ def sample_stratified(
     strata: int = 4,
     seed: int = SEED,
     identity: Sequence[str] = IDENTITY,
-    few_groups: bool | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Up to ``size // strata`` rows of every stratum; temporal if the column is absent.
 

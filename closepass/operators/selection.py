@@ -13,18 +13,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Up to so many groups, the table of cut-offs (a few small rows per group) is broadcast.
-BROADCAST_GROUPS = 10_000
-
-
-def has_few_groups(df: DataFrame, groups: Sequence[str]) -> bool:
-    """Whether the groups are at most ``BROADCAST_GROUPS``; runs a count of them."""
-    if not groups:
-        return True
-    distinct = df.select(*groups).distinct().limit(BROADCAST_GROUPS + 1)
-    return distinct.count() <= BROADCAST_GROUPS
-
-
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Inner join on null-safe equal keys, keeping the left key columns.
 
@@ -58,7 +46,7 @@ def first_rows(
     order: Sequence[Column],
     quota: int | Callable[[Column], Column],
     groups: Sequence[str] = (),
-    few_groups: bool | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """The first ``quota`` rows (of every group) in the order of levels, then ``order``.
 
@@ -67,15 +55,15 @@ def first_rows(
     before it.  ``quota`` is a row count or a function of the group's row count.
     ``order`` breaks the ties inside the last level; rows equal in all of it are
     exchangeable only if it covers every column that differs, so pass all of them.
-    ``few_groups`` says whether one cut-off per group may be broadcast; None counts
-    the groups first.
+    ``few_groups`` says that the groups are few by construction, so one cut-off per
+    group may be broadcast; otherwise the join is left to the optimizer.
 
     One pruned scan counts each level, one more keeps the rows up to the cut-off
     cell; only kept rows are shuffled, and ordered only inside their cell.  Copies
     of one row are counted, not sorted, so a large group of copies is one entry.
     """
     groups = list(groups)
-    small = has_few_groups(df, groups) if few_groups is None else few_groups
+    small = few_groups or not groups
     columns = df.columns
     path = [f"__c{i}" for i in range(len(levels))]
     keyed = df.withColumns(dict(zip(path, levels)))
@@ -166,7 +154,7 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     groups: Sequence[str] = (),
-    few_groups: bool | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact interpolated quantiles per group: ``groups..., n, quantiles array<double>``.
 
@@ -175,11 +163,11 @@ def exact_quantiles(
     cell inside the cells that hold a wanted rank, then per value.  The last step
     sees at most 2^25 distinct doubles and normally a handful.
 
-    ``few_groups`` says whether the cut-offs of all groups may be broadcast; None
-    counts the groups first.
+    ``few_groups`` says that the groups are few by construction, so their cut-offs may
+    be broadcast; otherwise the join is left to the optimizer.
     """
     groups = list(groups)
-    small = has_few_groups(df, groups) if few_groups is None else few_groups
+    small = few_groups or not groups
     path = ["__c1", "__c2", "__v"]
     rows = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))

@@ -8,13 +8,16 @@ from closepass.schema import APPROACHES
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = APPROACHES) -> DataFrame:
-    """CSV with a header; columns are matched by name."""
+    """CSV with a header; columns are matched by name.
+
+    Files of one folder must have one header: a file with another order of columns raises.
+    """
     header = spark.read.option("header", True).csv(path).columns
     names = [c for c in header if c in schema.fieldNames()]
     by_position = StructType(
         [schema[c] if c in names else StructField(c, StringType()) for c in header]
     )
-    rows = spark.read.schema(by_position).option("header", True).csv(path)
+    rows = spark.read.schema(by_position).option("header", True).option("enforceSchema", False).csv(path)
     return _complete(rows, schema)
 
 

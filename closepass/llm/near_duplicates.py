@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closepass.llm import words as W
-from closepass.llm.components import components
+from closepass.llm.components import stars
 from closepass.llm.store import mapped, stored
 
 SHINGLE = 5
@@ -238,14 +238,17 @@ def near_duplicates(
     first = buckets.where((F.col("text_id") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
     tested = stored(_ordered(first, "text_id", "pivot"))
     links = _verified(stored(sides(tested)), documents, similarity).select("a", "b")
-    roots = stored(components(links))
+    roots = stars(links)
+
+    def joined_by(links: DataFrame) -> DataFrame:
+        """The components (node, root) of `roots` together with further links."""
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return stars(known.unionByName(links.select("a", "b")))
 
     def still_open() -> DataFrame:
         """Buckets that hold several components, with the component of each text."""
-        placed = (
-            buckets.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
-            .join(bounded, "text_id")
-            .withColumn("root", F.coalesce("root", "text_id"))
+        placed = buckets.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn(
+            "root", F.coalesce("root", "text_id")
         )
         several = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         several = stored(several.where("lo < hi").select("band", "value"))
@@ -256,11 +259,10 @@ def near_duplicates(
     heads = opened.where("text_id = pivot").select("band", "value", F.col("root").alias("pivot_root"))
     second = opened.join(heads, ["band", "value"]).where("root <> pivot_root")
     second = stored(_ordered(second, "text_id", "pivot").join(tested, ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(stored(sides(second)), documents, similarity).select("a", "b"))
-    roots = stored(components(links))
+    roots = joined_by(_verified(stored(sides(second)), documents, similarity))
 
     # what is still open: all pairs of texts of different components
-    opened = still_open()
+    opened = stored(still_open().join(bounded, "text_id"))
     x, y = opened.alias("x"), opened.alias("y")
     across = x.join(
         y,
@@ -272,8 +274,7 @@ def near_duplicates(
     ).select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b"))
     across = across.distinct().join(tested.unionByName(second), ["a", "b"], "left_anti")
     more = _verified(stored(across), documents, similarity)
-    whole = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more.select("a", "b"))
-    roots = components(whole).select(F.col("node").alias("text_id"), F.col("root").alias("class_id"))
+    roots = joined_by(more).select(F.col("node").alias("text_id"), F.col("root").alias("class_id"))
     named = texts.join(roots, "text_id", "left").select(
         *(F.col(k).alias(f"_{k}") for k in same), "text_id", F.coalesce("class_id", "text_id").alias("class_id")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from closepass.functions.risk import risk_category
 from closepass.operators import aggregates as agg
-from closepass.operators import charts, ranking, reports, sampling
+from closepass.operators import charts, cleaning, ranking, reports, sampling
 from closepass.plans import inputs
 from closepass.session import local_session
 
@@ -50,6 +50,12 @@ QUERIES = {
         few_groups=True,
     ),
     "histogram_dist": lambda df: charts.histogram(df, "dist"),
+    # the dearest ones
+    "window_full": reports.full_source_window,
+    "dedupe_key": lambda df: cleaning.dedupe_by_key(df, order=["dist", "v_rel", "h", "orbit_id"]),
+    "sample_temporal": lambda df: sampling.sample_temporal(df, 7000),
+    "box_summary": lambda df: agg.box_summary(df, "dist", "approach_year", few_groups=True),
+    "risk_dashboard": charts.risk_dashboard,
 }
 
 

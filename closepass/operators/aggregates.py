@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from closepass.functions.numeric import count_if, dround, fixed_text, share
 from closepass.functions.risk import (
-    RISK_LEVELS,
-    RISK_REST,
     risk_category,
     risk_score,
     size_category,
     speed_category,
 )
-from closepass.operators.selection import exact_quantiles
+from closepass.operators.selection import exact_quantiles, ordered_positions
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -331,13 +330,17 @@ def category_counts(df: DataFrame, column: str = "risk_category") -> DataFrame:
 
 
 def pivot_mean(
-    df: DataFrame, rows: str, columns: str, column_values: Sequence, value: str, digits: int = 6
+    df: DataFrame, rows: str, columns: str, column_values: Sequence, value: str, digits: int = 6,
+    rest: str = "other",
 ) -> DataFrame:
-    """Mean per row label and column value; the values are given, so no job looks them up."""
-    wide = df.groupBy(rows).pivot(columns, list(column_values)).agg(F.avg(value))
-    return wide.select(
-        rows, *[dround(F.col(f"`{v}`"), digits).alias(str(v)) for v in column_values]
-    )
+    """Mean per row label and column value; the values are given, so no job looks them up.
+
+    The column ``rest`` is the mean of the rows with any other value or none.
+    """
+    names = [str(v) for v in column_values] + [rest]
+    label = F.when(F.col(columns).isin(*column_values), F.col(columns).cast("string")).otherwise(rest)
+    wide = df.select(rows, label.alias("__label"), value).groupBy(rows).pivot("__label", names).agg(F.avg(value))
+    return wide.select(rows, *[dround(F.col(f"`{n}`"), digits).alias(n) for n in names])
 
 
 # --- statistics ---------------------------------------------------------------------
@@ -388,33 +391,46 @@ def distance_statistics_short(df: DataFrame, approximate: bool = False) -> DataF
 
 
 def measure_stats(
-    df: DataFrame, value: str, groups: Sequence[str], few_groups: bool = False
+    df: DataFrame, value: str, groups: Sequence[str], few_groups: bool = False, approximate: bool = False
 ) -> DataFrame:
-    """Mean, median, extremes, sample deviation (0 for one value) and count per group."""
+    """Mean, median, extremes, sample deviation (0 for one value) and count per group.
+
+    ``approximate`` takes the median from a sketch, one scan in all.
+    """
     rows = df.filter(F.col(value).isNotNull())
-    plain = rows.groupBy(*groups).agg(
-        dround(F.avg(value), 6).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        dround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 6).alias("std"),
-        _rows().alias("n"),
-    )
+    stats = {
+        "mean": dround(F.avg(value), 6),
+        "min": F.min(value),
+        "max": F.max(value),
+        "std": dround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 6),
+        "n": _rows(),
+    }
+    names = (*groups, "mean", "median", "min", "max", "std", "n")
+    if approximate:
+        stats["median"] = dround(F.percentile_approx(value, 0.5, 10_000), 6)
+        return rows.groupBy(*groups).agg(*[c.alias(n) for n, c in stats.items()]).select(*names)
+    plain = rows.groupBy(*groups).agg(*[c.alias(n) for n, c in stats.items()])
     medians = exact_quantiles(rows, value, [0.5], groups, few_groups).select(
         *[F.col(g).alias(f"__{g}") for g in groups], dround(F.col("quantiles")[0], 6).alias("median")
     )
     same = F.lit(True)
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-    return plain.join(medians, same, "left").select(
-        *groups, "mean", "median", "min", "max", "std", "n"
-    )
+    return plain.join(medians, same, "left").select(*names)
 
 
 def box_summary(
-    df: DataFrame, value: str, group: str, few_groups: bool = False
+    df: DataFrame, value: str, group: str, few_groups: bool = False, approximate: bool = False
 ) -> DataFrame:
-    """Minimum, quartiles and maximum per group."""
-    quantiles = exact_quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], few_groups)
+    """Minimum, quartiles and maximum per group; ``approximate`` takes them from a sketch in one scan."""
+    marks = [0.0, 0.25, 0.5, 0.75, 1.0]
+    if approximate:
+        rows = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
+        quantiles = rows.groupBy(group).agg(
+            F.percentile_approx(value, marks, 10_000).alias("quantiles"), _rows().alias("n")
+        )
+    else:
+        quantiles = exact_quantiles(df, value, marks, [group], few_groups)
     names = ("min", "q1", "median", "q3", "max")
     return quantiles.select(
         group, *[dround(F.col("quantiles")[i], 6).alias(n) for i, n in enumerate(names)], "n"
@@ -424,20 +440,28 @@ def box_summary(
 def group_speedup(df: DataFrame, group: str, value: str, baseline: str) -> DataFrame:
     """Mean per group, rank (smallest first), ratio to a baseline group and overall ratio.
 
-    Only the per-group means meet in one task.
+    The groups are counted per cell of the mean and numbered inside their cell, so they
+    need not meet in one task.  A NULL mean ranks first.
     """
     means = df.groupBy(group).agg(F.avg(value).alias("__mean"))
-    everything = Window.partitionBy()
-    base = F.max(F.when(F.col(group) == baseline, F.col("__mean"))).over(everything)
-    slowest = F.max("__mean").over(everything)
-    fastest = F.min("__mean").over(everything)
-    rank = F.row_number().over(Window.orderBy("__mean", F.col(group).asc_nulls_last()))
-    return means.select(
+    facts = (
+        means.agg(
+            F.struct(
+                F.max(F.when(F.col(group) == baseline, F.col("__mean"))).alias("base"),
+                F.max("__mean").alias("slowest"),
+                F.min("__mean").alias("fastest"),
+            ).alias("s")
+        )
+        .select("s")
+        .scalar()
+    )
+    placed = ordered_positions(means, "__mean", [F.col(group).asc_nulls_last()], "rank")
+    return placed.select(
         group,
         dround("__mean", 6).alias("mean_value"),
-        rank.cast("bigint").alias("rank"),
-        dround(F.try_divide(base, F.col("__mean")), 4).alias("speedup"),
-        dround(F.try_divide(slowest, fastest), 4).alias("slowest_over_fastest"),
+        "rank",
+        dround(F.try_divide(facts["base"], F.col("__mean")), 4).alias("speedup"),
+        dround(F.try_divide(facts["slowest"], facts["fastest"]), 4).alias("slowest_over_fastest"),
     )
 
 
@@ -446,7 +470,7 @@ def repeat_approaches(df: DataFrame) -> DataFrame:
 
     Joining the table to itself on ``des`` pairs every row that has ``h`` with every
     row of the object, so the pair count is the product of two counts.  A product
-    beyond a 64-bit count is NULL; the row stays.
+    beyond a 64-bit count raises.
     """
     counts = df.groupBy("des").agg(
         F.count("h").alias("__a"),
@@ -559,5 +583,3 @@ def segment_counts(df: DataFrame, segment: Column) -> DataFrame:
     """Rows per segment; NULL for rows that belong to neither."""
     return df.groupBy(segment.alias("segment")).agg(_rows().alias("count"))
 
-
-ALL_RISK_LEVELS = tuple(name for _, _, name in RISK_LEVELS) + (RISK_REST,)

@@ -13,7 +13,8 @@ RISK_LABELS = (*[name for _, _, name in RISK_LEVELS], RISK_REST)
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram ``(bin, low, high, count)`` with empty bins.
 
-    A column of one value gets bins over half a unit on both sides of it.
+    A column of one value gets bins over half a unit on both sides of it.  NaN and
+    infinite values have no bin: they raise.
     """
     rows = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("__x"))
     limits = (
@@ -27,7 +28,9 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         .scalar()
     )
     low, high = limits["lo"], limits["hi"]
-    position = F.floor((F.col("__x") - low) / (high - low) * float(bins))
+    position = F.when(
+        F.abs("__x") < float("inf"), F.floor((F.col("__x") - low) / (high - low) * float(bins))
+    ).otherwise(F.raise_error(F.lit(f"Value without a bin in {column}")).cast("bigint"))
     counts = (
         rows.select(F.least(position, F.lit(bins - 1)).cast("bigint").alias("__bin"))
         .groupBy("__bin")

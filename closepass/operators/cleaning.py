@@ -9,7 +9,8 @@ from closepass.functions.numeric import to_number
 from closepass.schema import NUMERIC_COLUMNS, TEXT_COLUMNS, present
 
 # Date layout of the raw text, and text that stands for "missing".
-RAW_DATE_PATTERN = "yyyy-MMM-d H:m"
+RAW_DATE = r"(?i)^(\d{4})-(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-(\d{1,2}) (\d{1,2}):(\d{1,2})$"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 MISSING_TEXT = ("nan", "None", "")
 
 
@@ -19,10 +20,15 @@ def normalize_names(df: DataFrame) -> DataFrame:
 
 
 def parse_date(c: Column | str) -> Column:
-    """``2024-Apr-13 12:00`` to a timestamp without time zone; other text to NULL."""
-    return F.try_to_timestamp(
-        F.col(c) if isinstance(c, str) else c, F.lit(RAW_DATE_PATTERN)
-    ).cast("timestamp_ntz")
+    """``2024-Apr-13 12:00`` to a timestamp without time zone; other text to NULL.
+
+    It is made of its parts, so no session time zone can shift it.
+    """
+    text = F.col(c) if isinstance(c, str) else c
+    year, month, day, hour, minute = (F.regexp_extract(text, RAW_DATE, k) for k in range(1, 6))
+    number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(month)).cast("int")
+    parts = [year.try_cast("int"), number, *(p.try_cast("int") for p in (day, hour, minute))]
+    return F.try_make_timestamp_ntz(*parts, F.lit(0).cast("decimal(16,6)"))
 
 
 def clean_text(c: Column | str) -> Column:

@@ -262,9 +262,12 @@ def discovery_columns() -> dict[str, Column]:
     }
 
 
-def limited_scan(df: DataFrame, limit: int = 1000) -> DataFrame:
-    """Row count, year range and nearest distance of ``limit`` arbitrary rows."""
-    return df.select("approach_year", "dist").limit(limit).agg(
+def limited_scan(df: DataFrame, limit: int = 1000, order: Sequence[str] = ()) -> DataFrame:
+    """Row count, year range and nearest distance of ``limit`` rows: the first of an order, or any."""
+    rows = df.select("approach_year", "dist", *[c for c in order if c not in ("approach_year", "dist")])
+    if order:
+        rows = rows.orderBy(*[asc(c) for c in order])
+    return rows.limit(limit).agg(
         F.count(F.lit(1)).alias("records"),
         F.min("approach_year").alias("first_year"),
         F.max("approach_year").alias("last_year"),

@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Inner join on null-safe equal keys, keeping the left key columns.
 
@@ -135,18 +136,35 @@ def _repeat(df: DataFrame, times: str, chunk: int = 10_000) -> DataFrame:
     return df.select("*", blocks.alias("__block")).select("*", copies.alias("__copy"))
 
 
-#: Cell number that never decreases with the value, for any finite double: 4096 cells per
+#: Cell number that never decreases with the value, for any double: 4096 cells per
 #: power of two on each side of zero, under 18 million in all, a few ten thousand for
-#: values within a few orders of magnitude.
-LOG_CELL = """CAST(CASE
-    WHEN {v} = 0D THEN 0
-    WHEN {v} > 0D THEN floor(log2({v}) * 4096D) + 4505600
-    ELSE -(floor(log2(-{v}) * 4096D) + 4505600) END AS bigint)"""
+#: values within a few orders of magnitude.  Infinity (with NaN, which sorts after it) and
+#: minus Infinity have an end cell each.
+END_CELL = 9_000_000
+LOG_CELL = f"""CAST(CASE
+    WHEN {{v}} = 0D THEN 0
+    WHEN {{v}} >= double('Infinity') THEN {END_CELL}
+    WHEN {{v}} = double('-Infinity') THEN -{END_CELL}
+    WHEN {{v}} > 0D THEN floor(log2({{v}}) * 4096D) + 4505600
+    ELSE -(floor(log2(-{{v}}) * 4096D) + 4505600) END AS bigint)"""
 
 #: Division of such a cell into 65,536 equal widths, in the order of the values.
-LINEAR_CELL = """CAST(sign({c}) * greatest(0, least(65535, floor(try_divide(
-    abs({v}) - pow(2D, (abs({c}) - 4505600) / 4096D),
-    pow(2D, (abs({c}) - 4505600) / 4096D) * (pow(2D, 1D / 4096D) - 1D) / 65536D)))) AS bigint)"""
+LINEAR_CELL = f"""CAST(CASE WHEN abs({{c}}) = {END_CELL} THEN 0 ELSE sign({{c}}) * greatest(0, least(65535, floor(try_divide(
+    abs({{v}}) - pow(2D, (abs({{c}}) - 4505600) / 4096D),
+    pow(2D, (abs({{c}}) - 4505600) / 4096D) * (pow(2D, 1D / 4096D) - 1D) / 65536D)))) END AS bigint)"""
+
+
+def ordered_positions(df: DataFrame, value: str, ties: Sequence[Column], name: str) -> DataFrame:
+    """Every row with its position (from 1) in the order of a double, then ``ties``, as column ``name``.
+
+    A global ``row_number`` sorts all rows in one task; here only the counts per cell meet.
+    """
+    placed = df.withColumn("__c", F.expr(LOG_CELL.format(v=value)))
+    counts = placed.groupBy("__c").agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__c", _rows_before([], "__c").alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__c").orderBy(value, *ties))
+    position = (F.col("__before") + inside).cast("bigint").alias(name)
+    return _match(placed, before, ["__c"], False).select(*df.columns, position)
 
 
 def exact_quantiles(
@@ -213,7 +231,8 @@ def exact_quantiles(
     for i, p in enumerate(probabilities):
         position = f"{float(p)}D * (max(__total) - 1)"
         low, high = neighbour(i, 0), neighbour(i, 1)
-        results.append(f"{low} + ({high} - {low}) * ({position} - floor({position}))")
+        between = f"{low} + ({high} - {low}) * ({position} - floor({position}))"
+        results.append(f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END")
     return (
         found.select(*groups, "__v", "__total", F.explode("__ranks").alias("r"))
         .groupBy(*groups)

@@ -165,9 +165,7 @@ QUERIES: dict[str, Query] = {
     "version_counts": lambda spark, sf: versions.version_counts(_versioned(spark, sf)),
     "as_of_version": _as_of_version,
     "partition_scan": _plain(agg.partition_scan, first_year=1996, last_year=1998),
-    "limited_scan": lambda spark, sf: reports.limited_scan(inputs.approaches(spark, sf)).select(
-        "records"
-    ),
+    "limited_scan": _plain(reports.limited_scan, order=("cd", "des", "dist")),
     "table_stats": _plain(agg.table_stats),
     # cleaning
     "clean": lambda spark, sf: cleaning.clean(inputs.raw_approaches(spark, sf)),

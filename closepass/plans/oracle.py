@@ -194,7 +194,11 @@ ORACLE: dict[str, str] = {
         "SELECT approach_year, count(*) AS records, count(h) AS with_h, min(dist) AS closest FROM approaches"
         f" WHERE {_VERSION} <= 2 GROUP BY 1"
     ),
-    "limited_scan": _q("SELECT count(*) AS records FROM (SELECT * FROM approaches LIMIT 1000)"),
+    "limited_scan": _q(
+        "SELECT count(*) AS records, min(approach_year) AS first_year, max(approach_year) AS last_year,"
+        " min(dist) AS closest FROM (SELECT * FROM approaches ORDER BY cd NULLS LAST, des NULLS LAST,"
+        " dist NULLS LAST LIMIT 1000)"
+    ),
     "table_stats": _q(
         "SELECT count(*) AS row_count, min(cd) AS min_date, max(cd) AS max_date FROM approaches"
     ),
@@ -501,6 +505,7 @@ FROM risk_rows""",
         + ", ".join(
             f'round(avg(dist) FILTER (approach_year = {y}), 6) AS "{y}"' for y in range(1995, 2002)
         )
+        + ', round(avg(dist) FILTER (approach_year IS NULL OR approach_year NOT BETWEEN 1995 AND 2001), 6) AS "other"'
         + f" FROM (SELECT *, {_CATEGORY} AS risk_category FROM approaches"
         " WHERE h IS NOT NULL AND dist IS NOT NULL) GROUP BY 1"
     ),

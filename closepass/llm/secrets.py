@@ -8,8 +8,10 @@ candidates are decoded and reported only if they parse:
 * `ssh`: an OpenSSH private key or a public key blob whose length-prefixed fields fill it exactly,
 * `jwt`: a signed token whose header is a JSON object with a text "alg" and whose payload is a JSON object.
 
-A candidate over several lines (as in PEM) is joined before it is decoded, and its span then covers the
-markers around it, if there are any.
+A candidate over several lines is joined before it is decoded, with markers (as in PEM) or without, and its span
+then covers the markers around it, if there are any.  Lines are parted by line breaks with indentation, by
+written-out ones (\\n, \\r\\n) and by the quotes of string pieces on lines of their own.  A key begins and ends where
+a line does; its own lengths say how many lines it takes.
 
 Defined cases: null text is empty and has no span; spans of different kinds may overlap; repeated rows get a
 row each; other columns are ignored.
@@ -35,9 +37,23 @@ ASSIGN_LEAST = 8
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-LONG_HEX = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+INDENT = r"(?:[ \t]|\\+t)*"
+QUOTED = r"""["'][ \t]*[+.,]?[ \t]*\\?\r?\n[ \t]*[+.]?[ \t]*["']"""
+BREAK = rf"{INDENT}(?:(?:\r\n?|\n|\\+r(?:\\+n)?|\\+n|{QUOTED}){INDENT})+"
+BREAKS = re.compile(BREAK)
+PEM = re.compile(r"""-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s\\"',.]+)-----END \1-----""")
+BEFORE = re.compile(rf"-----BEGIN [A-Z0-9 ]+-----(?:{BREAK})?\Z")
+AFTER = re.compile(rf"(?:{BREAK})?-----END [A-Z0-9 ]+-----")
+MARKER_MOST = 100  # characters of a marker and the break next to it
+
+# a key begins with a DER sequence, three zero bytes or the name of its format
+BASE64_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?=M[IC-H]|AAAA|b3Bl)")
+BASE64_LINES = re.compile(rf"[A-Za-z0-9+/_-]+(?:{BREAK}[A-Za-z0-9+/_-]+)*")
+BASE64_LEAST = 40
+PADDING = re.compile(rf"(?:(?:{BREAK})?=){{0,2}}")
+HEX_START = re.compile(r"(?<![0-9A-Fa-f])(?=30|000000|6[Ff]70656[Ee])")
+HEX_LINES = re.compile(rf"[0-9A-Fa-f]+(?:{BREAK}[0-9A-Fa-f]+)*")
+HEX_LEAST = 48
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 DEPTH = 12
 
@@ -52,7 +68,7 @@ SSH_PRIVATE = b"openssh-key-v1\0"
 
 def decoded(text: str) -> bytes | None:
     """Bytes of base64 or base64url, padded or not."""
-    plain = re.sub(r"\s", "", text).rstrip("=").replace("-", "+").replace("_", "/")
+    plain = re.sub(r"\s", "", BREAKS.sub("", text)).rstrip("=").replace("-", "+").replace("_", "/")
     if len(plain) % 4 == 1:
         return None
     try:
@@ -161,6 +177,105 @@ def _key_kind(data: bytes | None) -> str | None:
     return None
 
 
+class _Lines:
+    """Lines of base64 or hex characters in a text, joined."""
+
+    def __init__(self, text: str, start: int, end: int, is_hex: bool):
+        self.is_hex, self.end = is_hex, end
+        parts, at, size = [], start, 0
+        self.place: dict[int, int] = {}  # start of a line in the text -> in the joined characters
+        self.ends: dict[int, int] = {}  # end of a line in the joined characters -> in the text
+        for a, b in [*(m.span() for m in BREAKS.finditer(text, start, end)), (end, end)]:
+            parts.append(text[at:a])
+            self.place[at] = size
+            size += a - at
+            self.ends[size] = a
+            at = b
+        self.chars = "".join(parts)
+
+    def bytes(self, at: int, a: int, b: int) -> bytes:
+        """Bytes a to b, or fewer at the end, of what is encoded from character `at` on."""
+        if self.is_hex:
+            own = self.chars[at + 2 * a : at + 2 * b]
+            return bytes.fromhex(own[: len(own) // 2 * 2])
+        low = a // 3
+        own = self.chars[at + 4 * low : at + 4 * -(-b // 3)]
+        return (decoded(own[:-1] if len(own) % 4 == 1 else own) or b"")[a - 3 * low : b - 3 * low]
+
+    def until(self, at: int, size: int) -> int | None:
+        """The end in the text of `size` bytes from character `at` on, if a line ends there."""
+        if self.is_hex:
+            end = at + 2 * size
+            # of an odd number of digits the last one is left over
+            return self.ends[end] if end in self.ends else self.ends[end + 1] - 1 if end + 1 in self.ends else None
+        return self.ends.get(at + (4 * size + 2) // 3)
+
+    def sizes(self, at: int) -> list[int]:
+        """Sizes in bytes that a key from character `at` on can have, the likeliest first."""
+        head = self.bytes(at, 0, len(SSH_PRIVATE))
+        left = (len(self.chars) - at) * (4 if self.is_hex else 6) // 8
+
+        def field(begin: int) -> int:
+            """The end of a length-prefixed field, beyond `left` if it is cut off."""
+            prefix = self.bytes(at, begin, begin + 4)
+            return begin + 4 + int.from_bytes(prefix, "big") if len(prefix) == 4 else left + 1
+
+        if head[:1] == b"\x30" and len(head) > 6:
+            n = head[1] & 0x7F if head[1] & 0x80 else 0
+            return [2 + n + int.from_bytes(head[2 : 2 + n], "big") if n else 2 + head[1]] if n <= 4 else []
+        if head == SSH_PRIVATE:
+            end = len(SSH_PRIVATE)
+            for _ in range(3):
+                end = field(end) if end <= left else end
+            keys = int.from_bytes(self.bytes(at, end, end + 4), "big") if end <= left else left
+            end += 4
+            for _ in range(min(keys, left) + 1):
+                if end > left:
+                    return []
+                end = field(end)
+            return [end]
+        if head[:3] != b"\0\0\0":
+            return []
+        out, end = [], 0
+        while end < left:
+            begin, end = end, field(end)
+            # another key may begin on the next line
+            if end > left or end == begin + 4 or (begin and self.bytes(at, begin + 4, min(end, begin + 24)) in SSH_TYPES):
+                break
+            out.append(end)
+        return out[:0:-1]
+
+
+def _keys(text: str, is_hex: bool, covered: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """Keys that begin and end with a line, outside `covered`."""
+    begins, run, least = (HEX_START, HEX_LINES, HEX_LEAST) if is_hex else (BASE64_START, BASE64_LINES, BASE64_LEAST)
+    found, lines, end, done = [], None, 0, 0
+    for m in begins.finditer(text):
+        start = m.start()
+        if start < done or any(a <= start < b for a, b in covered):
+            continue
+        if start >= end:
+            end, lines, first = run.match(text, start).end(), None, start
+        if end - start < least:
+            continue
+        lines = lines or _Lines(text, first, end, is_hex)
+        at = lines.place.get(start)
+        if at is None or len(lines.chars) - at < least:
+            continue
+        for size in lines.sizes(at):
+            stop = lines.until(at, size)
+            if stop is not None and (kind := _key_kind(lines.bytes(at, 0, size))):
+                if not is_hex:
+                    stop = PADDING.match(text, stop).end() if stop == end else stop
+                    before = BEFORE.search(text, max(0, start - MARKER_MOST), start)
+                    after = AFTER.match(text, stop)
+                    start, stop = before.start() if before else start, after.end() if after else stop
+                found.append((start, stop, kind))
+                done = stop
+                break
+    return found
+
+
 def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all secrets of a text, by start and then kind as listed in KINDS."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
@@ -175,14 +290,7 @@ def spans(text: str) -> list[tuple[int, int, str]]:
                 covered.append((m.start(), m.end()))
     if "eyJ" in text:
         found += [(m.start(), m.end(), "jwt") for m in TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
-    for m in BASE64.finditer(text):
-        # a key begins with a DER sequence, three zero bytes or the name of its format
-        if m[0].startswith(("MI", "MC", "MD", "ME", "MF", "MG", "MH", "AAAA", "b3Bl")):
-            if not any(a <= m.start() < b for a, b in covered) and (kind := _key_kind(decoded(m[0]))):
-                found.append((m.start(), m.end(), kind))
-    for m in LONG_HEX.finditer(text):
-        if m[0][:8].lower().startswith(("30", "000000", "6f70656e")) and (kind := _key_kind(bytes.fromhex(m[0]))):
-            found.append((m.start(), m.end(), kind))
+    found += _keys(text, False, covered) + _keys(text, True, [])
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

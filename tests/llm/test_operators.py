@@ -137,6 +137,40 @@ def test_secrets():
     assert secrets.masked("a token = 0123456789abcdef0123456789abcdef b") == "a [SECRET] b"
 
 
+def _der(tag, body):
+    size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+def _wrapped(text, width, between):
+    return between.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("last", [62, 63, 64])
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\n\t  ", "\\n", "\\r\\n", "\\\\n", '\\n"\n  "', '\\n" +\n  "'])
+def test_keys_over_several_lines(last, between):
+    numbers = [bytes([1 + k]) * 64 for k in range(7)] + [b"\7" * last]
+    rsa = _der(0x30, _der(2, b"\0") + b"".join(_der(2, x) for x in numbers))
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", b"k" * (last + 200)))
+    for key, kind in ((rsa, "der"), (ssh, "ssh")):
+        b64 = base64.b64encode(key).decode()
+        for width in (64, 76, 61):
+            body = _wrapped(b64, width, between)
+            assert secrets.spans(body) == [(0, len(body), kind)]
+            assert secrets.spans(f"the key is{between}{body}{between}and more") == [
+                (10 + len(between), 10 + len(between) + len(body), kind)
+            ]
+            begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+            for pem in (f"{begin}{between}{body}{between}{end}", f"{begin}{between}{body}", f"{body}{between}{end}"):
+                assert secrets.spans(f'"k": "{pem}", x') == [(6, 6 + len(pem), kind)]
+            assert secrets.masked(f"a {body}, b") == "a [SECRET], b"
+        body = _wrapped(key.hex(), 64, between)
+        assert (0, len(body), kind) in secrets.spans(body)
+        assert not {"der", "ssh"} & {k for *_, k in secrets.spans(_wrapped(b64[:-8], 64, between))}
+    two = _wrapped(b64.rstrip("="), 64, between) + between + _wrapped(b64, 64, between)
+    assert [k for *_, k in secrets.spans(two)] == ["ssh", "ssh"]
+
+
 def test_secret_rows(spark):
     docs = documents(spark, [None, "", "password=hunter22x y"])
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}

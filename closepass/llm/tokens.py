@@ -3,7 +3,8 @@
 Such a tokenizer first cuts a text into pieces and then merges inside each piece, so the ids of a text
 are those of its pieces, end to end.  Pieces are found here for a whole Arrow block at once and the
 library encodes each distinct piece once, not each occurrence.  Characters whose class depends on the
-Unicode version are not judged here: a text that has one is encoded by the library as it is.
+Unicode version are not judged here: a text that has one is encoded by the library as it is.  So is a text that
+holds an added token such as <|endoftext|>, which the library cuts out before it finds pieces.
 """
 
 import functools
@@ -81,7 +82,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # pieces of a space and letters, end to end, could spell such a token
+        self.spelt = any(all(c == " " or c.isalpha() for c in t) for t in self.added)
         self._clear()
 
     def _clear(self):
@@ -149,6 +152,19 @@ class Encoder:
             at = np.searchsorted(self.known, hashes)
         return self.start[at], self.count[at]
 
+    def _with_added(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Flags of the texts of a block that hold an added token."""
+        out = np.zeros(len(bounds) - 1, dtype=bool)
+        whole = data.tobytes()
+        for token in map(str.encode, self.added):
+            at = whole.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(bounds, at, "right")) - 1
+                out[row] |= at + len(token) <= bounds[row + 1]
+                # the rest of a text that is known to hold one need not be looked at
+                at = whole.find(token, int(bounds[row + 1]) if out[row] else at + 1)
+        return out
+
     def block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds of ids) of the texts of a block."""
         rows = len(bounds) - 1
@@ -158,10 +174,10 @@ class Encoder:
         at = np.searchsorted(heads, bounds)
         kinds = table[code]
         lengths = np.diff(at)
-        odd = np.zeros(rows, dtype=bool)
+        odd = self._with_added(data, bounds)
         unsure = np.flatnonzero(kinds == UNSURE)
-        if len(unsure):
-            odd[np.searchsorted(at, unsure, "right") - 1] = True
+        odd[np.searchsorted(at, unsure, "right") - 1] = True
+        if odd.any():
             keep = np.repeat(~odd, lengths)
             whole = [data[bounds[r] : bounds[r + 1]].tobytes().decode() for r in np.flatnonzero(odd)]
             code, kinds = code[keep], kinds[keep]
@@ -178,7 +194,7 @@ class Encoder:
             def spell(k):
                 text = code.tobytes().decode("utf-32-le")
                 a, b = start[first[k]], end[first[k]]
-                joins = (code[a] == 32) & (kinds[np.minimum(a + 1, b - 1)] == LETTER)
+                joins = (code[a] == 32) & (kinds[np.minimum(a + 1, b - 1)] == LETTER) & (not self.spelt)
                 return [text[i:j] for i, j in zip(a.tolist(), b.tolist())], joins
 
             place, size = self._pieces(distinct, spell)

@@ -193,6 +193,33 @@ def test_pieces_are_the_tokenizers(spark):
     assert got == [[*e.ids, 2] for e in want]
 
 
+def test_added_tokens_are_the_librarys(spark, tmp_path):
+    import pyarrow as pa
+    from tokenizers import AddedToken, Tokenizer
+
+    mark = "<|endoftext|>"
+    texts = ["plain", f"a{mark}b", mark, "<|endof", "text|> c", f"{mark}{mark} é {mark}", None, f"x {mark}", "more of the text", "中" + mark]
+
+    def ids_of(path):
+        found = []
+        for _, ids, bounds in tokens.Encoder(path).column(pa.array(texts), 2):
+            found += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        return found
+
+    def library(path):
+        fresh = Tokenizer.from_file(path)
+        return [[*fresh.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+    path = tokens.default_path()
+    assert ids_of(path) == library(path) and ids_of(path)[1] == [64, 50256, 65, 2]
+    files = token_files.write_token_files(documents(spark, texts), path, 2)
+    assert [r.ids for r in sorted(token_files.read_token_files(files).collect())] == library(path)
+    other = Tokenizer.from_file(path)
+    other.add_tokens([AddedToken(" of the", normalized=False), AddedToken("ore", single_word=True)])
+    other.save(str(tmp_path / "other.json"))
+    assert ids_of(str(tmp_path / "other.json")) == library(str(tmp_path / "other.json"))
+
+
 def test_images_round_trip():
     random = np.random.default_rng(6)
     for n in (0, 1, 127, 128, 1000):

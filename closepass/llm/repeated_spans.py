@@ -12,6 +12,8 @@ their anchor at the same place, so only suffixes that start at anchors need to b
 3. In each bucket of groups, deep-shallow sorting orders the suffixes from the anchors and the reversed
    prefixes before them.  For each number l of bytes before the anchor, a string repeats if its suffix to
    depth LENGTH - l and its prefix to depth l both lie in one range of the two orders with another's.
+   A group of more than BUCKET_ROWS classes is not sorted: its strings are counted by 128-bit digests, for each
+   number of bytes before the anchor, so no task holds more of it than its share of digests.
 4. Repeated strings go back to all runs of their class and are cut out of the documents.
 
 Defined cases: null text is empty; texts shorter than LENGTH keep all bytes; equal rows are two
@@ -22,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closepass.llm import words as W
@@ -31,7 +33,7 @@ from closepass.llm.suffix_sort import ranked
 
 LENGTH = 400
 GRAM = 200
-BUCKET_ROWS = 20_000  # suffixes that one sort takes; a larger group is split by the bytes before the anchor
+BUCKET_ROWS = 20_000  # suffixes of one group that a sort takes; strings of a larger group are counted
 
 
 def _gram_hashes(data: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
@@ -130,6 +132,46 @@ def _fetch(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
 
+STRING_SCHEMA = "grp long, cls long, n long, start int, code binary"
+STRING_ROWS = 50_000  # digests of a batch
+
+
+def _strings(batches):
+    """A digest of each string of LENGTH bytes of the classes."""
+    kinds = [pa.int64()] * 3 + [pa.int32(), pa.binary()]
+    names = ["grp", "cls", "n", "start", "code"]
+    for batch in batches:
+        out = [[] for _ in names]
+        for r in zip(*(batch.column(k).to_pylist() for k in ("grp", "cls", "n", "first", "last", "bytes"))):
+            first, last, data = r[3:]
+            count = last - first + 1
+            for own, value in zip(out, r[:3]):
+                own += [value] * count
+            out[3] += range(first, last + 1)
+            out[4] += [hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(count)]
+            if len(out[4]) >= STRING_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names)
+                out = [[] for _ in names]
+        if out[4]:
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names)
+
+
+def counted_ranges(suffixes: DataFrame) -> DataFrame:
+    """(grp, cls, r) as sorting finds them: a row for each range of starts of repeated strings of a class."""
+    strings = stored(suffixes.transform(mapped, _strings, STRING_SCHEMA))
+    # copies are added up in each task before the shuffle; written first for the same reason as the groups
+    key = ["grp", "start", "code"]
+    repeated = stored(strings.groupBy(*key).agg(F.sum("n").alias("copies")).where("copies > 1").select(*key))
+    starts = strings.join(repeated, key).select("grp", "cls", "start")
+    rank = F.dense_rank().over(Window.partitionBy("grp", "cls").orderBy("start"))
+    return (
+        starts.withColumn("island", F.col("start") - rank)
+        .groupBy("grp", "cls", "island")
+        .agg(F.min("start").alias("from"), F.max("start").alias("to"))
+        .select("grp", "cls", F.struct("from", "to").alias("r"))
+    )
+
+
 def repeated_starts(
     prefixes: list[bytes], suffixes: list[bytes], first: np.ndarray, last: np.ndarray, n: np.ndarray, length: int = LENGTH
 ) -> list[list[tuple[int, int]]]:
@@ -235,35 +277,20 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     # equal rows fetch their runs once each, which only adds to copies that n counts already
     here = [documents.doc_id.eqNullSafe(F.col("_doc")), documents.key == F.col("_key")]
     suffixes = stored(documents.join(wanted, here).select("text", "wanted").transform(mapped, _fetch, CLASS_SCHEMA))
-    # a bucket holds whole groups; a group beyond BUCKET_ROWS is split by ranges of bytes before the anchor
-    sizes = suffixes.groupBy("grp").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET_ROWS)
-    parts = F.least(F.lit(LENGTH - GRAM + 1), F.ceil(F.col("m") / BUCKET_ROWS)).cast("int")
-    split = suffixes.join(sizes.select("grp", parts.alias("parts")), "grp", "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-    )
-    width = F.ceil(F.lit(LENGTH - GRAM + 1) / F.coalesce("parts", F.lit(1))).cast("int")
-    low, high = -width * (F.col("part") + 1) + 1, -width * F.col("part")
-    inside = F.when(F.col("parts").isNull(), F.col("first")).otherwise(F.greatest("first", low))
-    until = F.when(F.col("parts").isNull(), F.col("last")).otherwise(F.least("last", high))
-    split = split.withColumns({"lo": inside, "hi": until}).where("lo <= hi")
-    split = split.select(
-        "grp",
-        "cls",
-        "n",
-        (-F.col("lo")).alias("before"),
-        F.col("lo").alias("first"),
-        F.col("hi").alias("last"),
-        F.substring("bytes", F.col("lo") - F.col("first") + 1, F.col("hi") - F.col("lo") + LENGTH).alias("bytes"),
-        "part",
-    )
+    large = stored(suffixes.groupBy("grp").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET_ROWS).select("grp"))
+    split = not large.isEmpty()
+    small = suffixes.join(large, "grp", "left_anti") if split else suffixes
+    # a bucket holds whole groups
     buckets = max(1, -(-suffixes.count() // (BUCKET_ROWS // 2)))
     results = (
-        split.withColumn("bucket", F.pmod(F.xxhash64("grp", "part"), F.lit(buckets)))
+        small.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
         .groupBy("bucket")
         .applyInArrow(_sort_bucket, "grp long, cls long, ranges array<struct<from: int, to: int>>")
         .where(F.size("ranges") > 0)
         .select("grp", "cls", F.explode("ranges").alias("r"))
     )
+    if split:
+        results = results.unionByName(counted_ranges(suffixes.join(large, "grp", "left_semi")))
     absolute = lambda c: (F.col("anchor") + F.col(c)).alias(c.split(".")[1])
     mixed = shared.where("mixed").join(results, ["grp", "cls"]).select("doc_id", "key", absolute("r.from"), absolute("r.to"))
     plain = shared.where("NOT mixed").select("doc_id", "key", F.col("first").alias("from"), F.col("last").alias("to"))

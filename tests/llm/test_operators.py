@@ -73,6 +73,26 @@ def test_large_groups_are_split_alike(spark, monkeypatch):
     assert [(r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got] == repeated_spans.brute_force(texts)
 
 
+def test_no_sort_takes_a_large_group(spark, monkeypatch):
+    random = np.random.default_rng(10)
+    shared, line = ("".join(map(chr, random.integers(97, 123, n))) for n in (390, 700))
+    parts = ["".join(map(chr, random.integers(97, 123, 300))) for _ in range(90)]
+    texts = [f"{a}{shared if i % 3 else line}{parts[i // 2]}" for i, a in enumerate(parts)]
+    texts += [f"{parts[5]}{shared}{'é' * 150}", line + shared, None]
+    sort = repeated_spans._sort_bucket
+
+    def checked(table):
+        groups = table["grp"].to_pylist()
+        if max(map(groups.count, groups)) > 10:
+            raise ValueError("a large group in one sort")
+        return sort(table)
+
+    monkeypatch.setattr(repeated_spans, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(repeated_spans, "_sort_bucket", checked)
+    got = repeated_spans.without_repeats(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got] == repeated_spans.brute_force(texts)
+
+
 def test_alignment():
     a = np.arange(100, dtype=np.uint64)
     assert near_duplicates.alignment(a, a, 0.8) == 1

@@ -18,7 +18,9 @@ necessary bounds (lengths; differing bits of a shingle parity map, at most the n
 shingles) cut pairs inside the join.
 
 Defined cases: null text is empty; texts without words are one class; a text of fewer than five words
-is one shingle; rows with the same doc_id are one document; other columns are ignored.
+is one shingle; rows with the same doc_id are one document; a row with a null doc_id is a document of its own text,
+named by `document_id`, a number from 2**62 on made of the text: text_id and class_id are such a number where no
+lower doc_id has the same words or is linked; other columns are ignored.
 """
 
 import numpy as np
@@ -38,6 +40,12 @@ PARITY_LONGS = 32  # a power of two
 FIRST_BANDS = 4  # sketches whose pivots are compared before any component is known
 
 
+def document_id() -> Column:
+    """doc_id, or for a null one a number made of the text."""
+    number = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce("doc_id", number)
+
+
 def sequences(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bounds, hashes): the shingle sequence of each row of a block, in text order."""
     w = W.words_of(data, bounds)
@@ -114,8 +122,8 @@ def _sketch_rows(sketches: int, take: int):
                 for x in (found, parity)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), W.signed(same[0]), W.signed(same[1]), size, *lists],
-                ["doc_id", "same1", "same2", "n", "sketches", "parity"],
+                [batch.column("doc_id"), batch.column("id"), W.signed(same[0]), W.signed(same[1]), size, *lists],
+                ["doc_id", "id", "same1", "same2", "n", "sketches", "parity"],
             )
 
     return run
@@ -179,7 +187,7 @@ def _linked(similarity: float):
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b, similarity) among `pairs`; only texts that occur in a pair are shuffled twice."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(texts.join(wanted, "doc_id").select("doc_id", "text"))
+    texts = stored(texts.join(wanted, texts.id == wanted.doc_id).select(wanted.doc_id, "text"))
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
     rows = pairs.transform(mapped, _linked(similarity), "a long, b long, similarity double")
@@ -204,18 +212,21 @@ def near_duplicates(
     documents: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, take: int = TAKE
 ) -> DataFrame:
     """(doc_id, text_id, class_id) per document: text_id is the least doc_id with the same words, class_id
-    the least of all that are linked to it, directly or through others."""
-    documents = documents.select("doc_id", "text")
-    schema = "doc_id long, same1 long, same2 long, n long, sketches array<long>, parity array<long>"
+    the least of all that are linked to it, directly or through others (`document_id` for those without one)."""
+    documents = documents.select("doc_id", document_id().alias("id"), "text")
+    # copies of a text without a doc_id have one name
+    unnamed = documents.where("doc_id is null").select("id", "text").distinct()
+    sources = documents.where("doc_id is not null").select("id", "text").unionByName(unnamed)
+    schema = "doc_id long, id long, same1 long, same2 long, n long, sketches array<long>, parity array<long>"
     rows = stored(documents.transform(mapped, _sketch_rows(sketches, take), schema))
     same = ["same1", "same2", "n"]
     texts = stored(
         rows.groupBy(*same)
-        .agg(F.min(F.struct("doc_id", "sketches", "parity")).alias("t"))
-        .select(*same, F.col("t.doc_id").alias("text_id"), "t.sketches", "t.parity")
+        .agg(F.min(F.struct("id", "sketches", "parity")).alias("t"))
+        .select(*same, F.col("t.id").alias("text_id"), "t.sketches", "t.parity")
     )
     parity = [F.element_at("parity", k + 1).alias(f"p{k}") for k in range(PARITY_LONGS)]
-    members = texts.where("n > 0 and text_id is not null").select(
+    members = texts.where("n > 0").select(
         "text_id", "n", F.posexplode("sketches").alias("band", "value")
     )
     # each bucket draws its pivot by a hash, so that a text meets another one in each of its buckets
@@ -237,7 +248,7 @@ def near_duplicates(
 
     first = buckets.where((F.col("text_id") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
     tested = stored(_ordered(first, "text_id", "pivot"))
-    links = _verified(stored(sides(tested)), documents, similarity).select("a", "b")
+    links = _verified(stored(sides(tested)), sources, similarity).select("a", "b")
     roots = stars(links)
 
     def joined_by(links: DataFrame) -> DataFrame:
@@ -259,7 +270,7 @@ def near_duplicates(
     heads = opened.where("text_id = pivot").select("band", "value", F.col("root").alias("pivot_root"))
     second = opened.join(heads, ["band", "value"]).where("root <> pivot_root")
     second = stored(_ordered(second, "text_id", "pivot").join(tested, ["a", "b"], "left_anti"))
-    roots = joined_by(_verified(stored(sides(second)), documents, similarity))
+    roots = joined_by(_verified(stored(sides(second)), sources, similarity))
 
     # what is still open: all pairs of texts of different components
     opened = stored(still_open().join(bounded, "text_id"))
@@ -273,7 +284,7 @@ def near_duplicates(
         & _could_reach(similarity),
     ).select(F.col("x.text_id").alias("a"), F.col("y.text_id").alias("b"))
     across = across.distinct().join(tested.unionByName(second), ["a", "b"], "left_anti")
-    more = _verified(stored(across), documents, similarity)
+    more = _verified(stored(across), sources, similarity)
     roots = joined_by(more).select(F.col("node").alias("text_id"), F.col("root").alias("class_id"))
     named = texts.join(roots, "text_id", "left").select(
         *(F.col(k).alias(f"_{k}") for k in same), "text_id", F.coalesce("class_id", "text_id").alias("class_id")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from closepass.llm import (
     chat,
     components,
@@ -115,6 +116,21 @@ def test_near_duplicates(spark, odd_texts):
     assert classes[7] == 7 and classes[9] == 9
 
 
+def test_near_duplicates_without_doc_id(spark):
+    base, other = (" ".join(words(k, 200, 5000)) for k in (11, 12))
+    rows = [(5, base), (None, base), (7, base), (6, base + " more"), (None, other), (None, other), (None, other + " more"), (9, "lone"), (None, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 0.5, 7) for i, t in rows], DOCS)
+    got = near_duplicates.near_duplicates(docs).collect()
+    assert sorted(r[1:] for r in got if r.doc_id is not None) == [(5, 5), (5, 5), (6, 5), (8, 8), (9, 9)]
+    without = sorted(r[1:] for r in got if r.doc_id is None)
+    assert without[:2] == [(5, 5), (8, 8)] and len({r[1] for r in without[2:]}) == 1 and without[2][1] >= 1 << 62
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, None)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(kept) == 4 and {(5, base), (8, ""), (9, "lone")} < {*kept}
+    assert {*kept} & {(None, other), (None, other + " more")}
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 130)] + [(200, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -3,10 +3,15 @@
 A document is the sequence of its word shingles, each labelled with its occurrence number.  Each of
 `SKETCHES` sketches takes the `TAKE` labelled shingles that hash least and keeps them in text order, so
 two documents agree in a sketch only if they share these shingles in the same order: the chance follows
-edit similarity.  At the similarity 0.8 one sketch agrees with a chance of about 0.8**TAKE.  Defaults
-miss a pair at the threshold with a chance of about 2e-6.
+edit similarity.  At the similarity 0.8 one sketch of long texts agrees with a chance of about 0.8**TAKE, so defaults
+miss a pair at the threshold with a chance of about 3e-6.  Shingles are drawn without replacement, so of short texts
+more are missed: 6e-5 of the pairs of 9 shingles with 8 in common, 2e-5 of those with 12 of 15 in all.
 
-Documents that share a sketch are candidates.  A pair is linked if the alignment of its shingle
+Shorter pairs are found exactly: up to 9 shingles in all, two texts at the similarity 0.8 differ in one
+shingle, so one of them is the other without it.  Hashes of texts without one shingle are joined with those of
+whole texts; each has one whole text at most.
+
+Documents that share a sketch are candidates, and so are those.  A pair is linked if the alignment of its shingle
 sequences (longest common subsequence m within the band that the similarity leaves) has
 m / (n1 + n2 - m) >= `SIMILARITY`.
 
@@ -91,7 +96,12 @@ def order_sketches(labels: np.ndarray, seeds: np.ndarray, take: int) -> np.ndarr
     return out
 
 
-def _sketch_rows(sketches: int, take: int):
+def one_apart(similarity: float) -> int:
+    """The largest number of shingles in all of two texts at which `similarity` leaves one of them to differ."""
+    return int(np.ceil(2 / (1 - similarity) - 1e-9)) - 1 if similarity < 1 else 0
+
+
+def _sketch_rows(sketches: int, take: int, most: int):
     top = np.uint64(65 - (64 * PARITY_LONGS).bit_length())
     seeds = W.mixed(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
@@ -102,6 +112,7 @@ def _sketch_rows(sketches: int, take: int):
             size = np.zeros(n, dtype=np.int64)
             found = np.zeros((n, sketches), dtype=np.uint64)
             parity = np.zeros((n, PARITY_LONGS), dtype=np.uint64)
+            less: list[list[int]] = [[] for _ in range(n)]
             for row, bounds, data in W.blocks(batch.column("text")):
                 at, value = sequences(data, bounds)
                 labels = labelled(at, value)
@@ -117,13 +128,17 @@ def _sketch_rows(sketches: int, take: int):
                     same[0, i] = np.sum(value[at[r] : at[r + 1]] * order)
                     same[1, i] = np.sum(W.mixed(value[at[r] : at[r + 1]]) * order)
                     found[i] = order_sketches(own, seeds, take)
+                    if 1 < len(own) <= most:
+                        short = value[at[r] : at[r + 1]]
+                        parts = [np.sum(np.delete(short, k) * order[:-1]) for k in range(len(own))]
+                        less[i] = W.signed(np.unique(np.array(parts, dtype=np.uint64))).tolist()
             lists = [
                 pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), W.signed(x.ravel()))
                 for x in (found, parity)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("id"), W.signed(same[0]), W.signed(same[1]), size, *lists],
-                ["doc_id", "id", "same1", "same2", "n", "sketches", "parity"],
+                [batch.column("doc_id"), batch.column("id"), W.signed(same[0]), W.signed(same[1]), size, *lists, pa.array(less, pa.list_(pa.int64()))],
+                ["doc_id", "id", "same1", "same2", "n", "sketches", "parity", "less"],
             )
 
     return run
@@ -217,13 +232,14 @@ def near_duplicates(
     # copies of a text without a doc_id have one name
     unnamed = documents.where("doc_id is null").select("id", "text").distinct()
     sources = documents.where("doc_id is not null").select("id", "text").unionByName(unnamed)
-    schema = "doc_id long, id long, same1 long, same2 long, n long, sketches array<long>, parity array<long>"
-    rows = stored(documents.transform(mapped, _sketch_rows(sketches, take), schema))
+    schema = "doc_id long, id long, same1 long, same2 long, n long, sketches array<long>, parity array<long>, less array<long>"
+    most = one_apart(similarity)
+    rows = stored(documents.transform(mapped, _sketch_rows(sketches, take, most), schema))
     same = ["same1", "same2", "n"]
     texts = stored(
         rows.groupBy(*same)
-        .agg(F.min(F.struct("id", "sketches", "parity")).alias("t"))
-        .select(*same, F.col("t.id").alias("text_id"), "t.sketches", "t.parity")
+        .agg(F.min(F.struct("id", "sketches", "parity", "less")).alias("t"))
+        .select(*same, F.col("t.id").alias("text_id"), "t.sketches", "t.parity", "t.less")
     )
     parity = [F.element_at("parity", k + 1).alias(f"p{k}") for k in range(PARITY_LONGS)]
     members = texts.where("n > 0").select(
@@ -247,6 +263,13 @@ def near_duplicates(
         )
 
     first = buckets.where((F.col("text_id") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
+    # short texts: those that are another one without one shingle
+    longer = texts.where(F.size("less") > 0).select("text_id", "n", F.explode("less").alias("whole"))
+    shorter = texts.where((F.col("n") > 0) & (F.col("n") < most)).select(
+        F.col("text_id").alias("pivot"), F.col("n").alias("_n"), F.col("same1").alias("whole")
+    )
+    short = longer.join(shorter, "whole").where("n = _n + 1 and text_id <> pivot")
+    first = first.select("text_id", "pivot").unionByName(short.select("text_id", "pivot"))
     tested = stored(_ordered(first, "text_id", "pivot"))
     links = _verified(stored(sides(tested)), sources, similarity).select("a", "b")
     roots = stars(links)

@@ -131,6 +131,19 @@ def test_near_duplicates_without_doc_id(spark):
     assert {*kept} & {(None, other), (None, other + " more")}
 
 
+def test_short_near_duplicates_are_all_found(spark):
+    random = np.random.default_rng(13)
+    texts = []
+    for k in range(60):
+        base = [f"s{k}x{i}" for i in range(8 + k % 5)]
+        # a word at either end adds a shingle and changes none
+        texts += [" ".join(base), " ".join([*base, "end"] if random.random() < 0.5 else ["begin", *base])]
+    texts += ["a b c d e e e e e e", "a b c d e e e e e e e"]
+    got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(documents(spark, texts), sketches=1).collect()}
+    assert all(got[i] == i // 2 * 2 for i in got) and len(got) == len(texts)
+    assert near_duplicates.one_apart(0.8) == 9 and near_duplicates.one_apart(1.0) == 0
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 130)] + [(200, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -4,9 +4,11 @@ Patterns find assignments, access keys and long hex runs in whole texts.  On top
 candidates are decoded and reported only if they parse:
 
 * `der`: a DER structure of ASN.1 whose nested lengths fill it exactly, laid out as a private key
-  (PKCS#1, PKCS#8 plain or encrypted, SEC1) or a public one,
+  (PKCS#1, PKCS#8 plain or encrypted, SEC1) or a public one; of any algorithm whose identifier is an object
+  identifier and whose octet string holds a DER element (a bit string a whole number of bytes; encrypted ones:
+  whose parameters are a sequence),
 * `ssh`: an OpenSSH private key or a public key blob whose length-prefixed fields fill it exactly,
-* `jwt`: a signed token whose header is a JSON object with a text "alg" and whose payload is a JSON object.
+* `jwt`: a token of three parts whose header is a JSON object with a text "alg".
 
 A candidate over several lines is joined before it is decoded, with markers (as in PEM) or without, and its span
 then covers the markers around it, if there are any.  Lines are parted by line breaks with indentation, by
@@ -54,10 +56,14 @@ PADDING = re.compile(rf"(?:(?:{BREAK})?=){{0,2}}")
 HEX_START = re.compile(r"(?<![0-9A-Fa-f])(?=30|000000|6[Ff]70656[Ee])")
 HEX_LINES = re.compile(rf"[0-9A-Fa-f]+(?:{BREAK}[0-9A-Fa-f]+)*")
 HEX_LEAST = 48
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+# a header begins with a brace, or with white space before it
+TOKEN = re.compile(
+    r"(?<![A-Za-z0-9_-])(?=((?:e[wy]|C[Q-Za-v]|D[Q-Za-f]|I[A-P])[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*))"
+)
 DEPTH = 12
 
-#: Object identifiers of key algorithms (RSA, EC, Ed25519, DSA, password-based encryption).
+#: Object identifiers of key algorithms (RSA, EC, Ed25519, DSA, password-based encryption), which
+#: count whatever the key itself looks like.
 KEY_ALGORITHMS = tuple(
     bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2b6570", "2a8648ce380401", "2a864886f70d01050d")
 )
@@ -118,11 +124,20 @@ def is_der_key(data: bytes) -> bool:
     tags = [t for t, _ in inner]
     algorithm = next((x for t, x in inner[:2] if t == 0x30 and x and x[0][0] == 0x06), None)
     named = algorithm is not None and algorithm[0][1] in KEY_ALGORITHMS
+    # other algorithms: by what holds the key
+    oid = bool(algorithm) and bool(algorithm[0][1]) and not algorithm[0][1][-1] & 0x80 and len(algorithm) <= 2
+    held = inner[tags.index(0x04)][1] if 0x04 in tags[:3] else b""
+    bits = inner[1][1] if tags == [0x30, 0x03] else b""
+    nested = der_items(held) if held else None
+    private = oid and inner[0][1] in (b"\0", b"\1") and bool(nested) and len(nested) == 1 and set(tags[3:]) <= {0xA0, 0xA1, 0x81}
+    # a digest with its algorithm has no such parameters
+    encrypted = oid and len(algorithm) == 2 and algorithm[1][0] == 0x30 and bool(algorithm[1][1]) and len(held) >= 24
+    public = oid and len(bits) > 24 and bits[0] == 0
     numbers = len(inner) >= 2 and all(t == 0x02 for t in tags)
     return (
-        (tags[:2] == [0x02, 0x30] and 0x04 in tags[2:3] and named)  # PKCS#8
-        or (tags == [0x30, 0x04] and named)  # PKCS#8, encrypted
-        or (tags == [0x30, 0x03] and named)  # public key
+        (tags[:2] == [0x02, 0x30] and 0x04 in tags[2:3] and (named or private))  # PKCS#8
+        or (tags == [0x30, 0x04] and (named or encrypted))  # PKCS#8, encrypted
+        or (tags == [0x30, 0x03] and (named or public))  # public key
         or (numbers and len(inner) in (6, 9) and inner[0][1] == b"\0")  # DSA, RSA (PKCS#1)
         or (tags[:2] == [0x02, 0x04] and inner[0][1] == b"\1" and set(tags[2:]) <= {0xA0, 0xA1})  # SEC1
     )
@@ -161,12 +176,12 @@ def is_ssh_key(data: bytes) -> bool:
     return bool(fields) and len(fields) >= 2 and fields[0] in SSH_TYPES and all(fields)
 
 
-def is_signed_token(header: str, payload: str) -> bool:
+def is_signed_token(header: str) -> bool:
     try:
-        first, second = (json.loads(decoded(x) or b"") for x in (header, payload))
+        first = json.loads(decoded(header) or b"")
     except (ValueError, RecursionError):
         return False
-    return isinstance(first, dict) and isinstance(first.get("alg"), str) and isinstance(second, dict)
+    return isinstance(first, dict) and isinstance(first.get("alg"), str)
 
 
 def _key_kind(data: bytes | None) -> str | None:
@@ -288,8 +303,11 @@ def spans(text: str) -> list[tuple[int, int, str]]:
             if kind:
                 found.append((m.start(), m.end(), kind))
                 covered.append((m.start(), m.end()))
-    if "eyJ" in text:
-        found += [(m.start(), m.end(), "jwt") for m in TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
+    end = 0
+    for m in TOKEN.finditer(text):
+        if m.start() >= end and is_signed_token(m[1]):
+            end = m.end(3)
+            found.append((m.start(), end, "jwt"))
     found += _keys(text, False, covered) + _keys(text, True, [])
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 

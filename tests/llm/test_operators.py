@@ -220,6 +220,33 @@ def test_keys_over_several_lines(last, between):
     assert [k for *_, k in secrets.spans(two)] == ["ssh", "ssh"]
 
 
+def test_keys_of_any_algorithm_and_tokens_of_any_header():
+    def algorithm(oid, *more):
+        return _der(0x30, _der(6, bytes.fromhex(oid)) + b"".join(more))
+
+    version, key, salt = _der(2, b"\0"), b"\5" * 56, _der(4, b"salt" * 2)
+    keys = [
+        _der(0x30, version + algorithm("2b656e") + _der(4, _der(4, key[:32]))),  # X25519
+        _der(0x30, version + algorithm("2b656f") + _der(4, _der(4, key))),  # X448
+        _der(0x30, version + algorithm("2b6571") + _der(4, _der(4, key))),  # Ed448
+        _der(0x30, version + algorithm("2a864886f70d01010a") + _der(4, _der(0x30, version * 30))),  # RSA-PSS
+        _der(0x30, version + algorithm("2a864886f70d010301", _der(0x30, version * 2)) + _der(4, _der(2, key))),  # DH
+        _der(0x30, algorithm("2b6571") + _der(3, b"\0" + key)),
+        _der(0x30, algorithm("2a864886f70d010c0103", _der(0x30, salt + _der(2, b"\1"))) + _der(4, key)),  # PKCS#12
+    ]
+    for k in keys:
+        b64 = base64.b64encode(k).decode()
+        assert secrets.spans(f"key: {b64}") == [(5, 5 + len(b64), "der")]
+    digest = _der(0x30, algorithm("608648016503040201", _der(5, b"")) + _der(4, key[:32]))
+    opaque = _der(0x30, version + algorithm("2b6571") + _der(4, key))
+    assert not secrets.is_der_key(digest) and not secrets.is_der_key(opaque)
+    part = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    for head in (b'{"alg":"none"}', b'{ "alg": "ES256" }', b'{\n  "alg": "RS256"}', b'\r\n{"alg":"RS256"}', b' {"alg":"RS256"}', b'\t{"alg":"RS256"}'):
+        token = f"{part(head)}.{part(b'any bytes')}.c2ln"
+        assert secrets.spans(f"a.{token} b") == [(2, 2 + len(token), "jwt")]
+    assert secrets.spans(f"{part(b'{}          ')}.c2ln.c2ln") == [] == secrets.spans("Domains.example.com")
+
+
 def test_secret_rows(spark):
     docs = documents(spark, [None, "", "password=hunter22x y"])
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}

@@ -10,10 +10,15 @@ def about(rows: DataFrame, label: str, most: int, *identity: str) -> DataFrame:
     Rows are taken by a hash of `identity`, so a rerun or another partitioning takes the same ones; the
     number differs from `most` by chance only (its square root).  Labels are few.
     """
+    return rows.where(chosen(rows, label, most, *identity))
+
+
+def chosen(rows: DataFrame, label: str, most: int, *identity: str) -> Column:
+    """The condition by which `about` takes rows."""
     counts = rows.groupBy(label).count().collect()
-    chosen: Column = F.lit(False)
+    taken: Column = F.lit(False)
     bucket = F.pmod(F.xxhash64(*identity), F.lit(1_000_000))
     for value, n in counts:
         share = min(1_000_000, -(-most * 1_000_000 // max(n, 1)))
-        chosen = chosen | ((F.col(label) == F.lit(value)) & (bucket < share))
-    return rows.where(chosen)
+        taken = taken | ((F.col(label) == F.lit(value)) & (bucket < share))
+    return taken

@@ -413,3 +413,16 @@ def test_toxicity(spark):
     assert toxicity.without_toxic(docs, classifier).columns == docs.columns
     unfit = toxicity.fit(rows.where("toxic = 0"))
     assert {r.score for r in toxicity.scored(docs, unfit).collect()} == {0.0}
+
+
+def test_rare_languages_are_calibrated(spark):
+    texts, langs = [], []
+    for k in range(2400):
+        rare = k % 24 in (0, 1)
+        texts.append(" ".join([("ru" if rare else "co") + w for w in words(k, 20, 60)] + (["nasty"] if k % 2 else [])))
+        langs.append("rr" if rare else "cc")
+    rows = documents(spark, texts, langs).select("doc_id", "text", "lang", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    classifier = toxicity.fit(rows, 300)
+    assert sorted(classifier.languages.languages) == ["cc", "rr"] and classifier.calibrated.all()
+    few = toxicity.fit(rows.where("lang = 'cc' or doc_id < 400"), 300)
+    assert dict(zip(few.languages.languages, few.calibrated.tolist())) == {"cc": True, "rr": False}

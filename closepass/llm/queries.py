@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from closepass.llm import chat, decontamination
+from closepass.llm import chat, decontamination, merkle
 from closepass.llm.chat import op6_relational_chat
 from closepass.llm.decontamination import op5_prefix_decontamination
 from closepass.llm.languages import op3_mixture_language
+from closepass.llm.merkle import op12_slot_pivot_merkle
 from closepass.llm.near_duplicates import op8_order_minhash
 from closepass.llm.neighbours import op1_inverted_multi_index
 from closepass.llm.packing import op4_best_two_fit
@@ -25,9 +26,11 @@ QUERIES = {
         op8_order_minhash,
         op9_suffix_dedup,
         op10_convolutional_toxicity,
+        op12_slot_pivot_merkle,
     )
 }
 ORACLE = {
     "op5_prefix_decontamination": decontamination.ORACLE,
     "op6_relational_chat": chat.ORACLE,
+    "op12_slot_pivot_merkle": merkle.oracle(),
 }

@@ -14,7 +14,7 @@ def test_query_matches_sql(spark, name):
     assert differences(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - {"op1_inverted_multi_index"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - {"op1_inverted_multi_index", "op13_minimum_cut_text"}))
 def test_one_row_or_more_per_document(spark, name):
     docs = {r[0] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect()}
     assert {r.doc_id for r in QUERIES[name](spark, SF_DIR).collect()} == docs

@@ -276,9 +276,9 @@ def oracle(rounds: int = ROUNDS) -> str:
     list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT * {ENTRIES} + entry) AS best
   FROM parts JOIN book{k} USING (p) GROUP BY id, p)""")
         if k < rounds:
-            parts.append(f"""mean{k} AS (SELECT p, entry, list(m ORDER BY at) AS c FROM (
-    SELECT p, best % {ENTRIES} AS entry, at, (sum(v[at])::BIGINT - ((sum(v[at])::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS m
-    FROM near{k} JOIN parts USING (id, p), (SELECT unnest(range(1, w + 1)) AS at FROM size) GROUP BY p, entry, at) GROUP BY p, entry)""")
+            parts.append(f"""mean{k} AS (SELECT p, entry, list(m ORDER BY k) AS c FROM (
+    SELECT p, best % {ENTRIES} AS entry, k, (sum(v[k])::BIGINT - ((sum(v[k])::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS m
+    FROM near{k} JOIN parts USING (id, p), (SELECT unnest(range(1, w + 1)) AS k FROM size) GROUP BY p, entry, k) GROUP BY p, entry)""")
             parts.append(f"""book{k + 1} AS MATERIALIZED (SELECT p, entry, coalesce(m.c, b.c) AS c
   FROM book{k} b LEFT JOIN mean{k} m USING (p, entry))""")
     parts.append(f"""codes AS (SELECT id, string_agg(printf('%02x', best % {ENTRIES}), '' ORDER BY p) AS code,

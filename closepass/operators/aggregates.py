@@ -158,6 +158,34 @@ def yearly_all(df: DataFrame) -> DataFrame:
     return _per_year(df, "year", metrics).orderBy("year")
 
 
+#: Precision of the sketches: 2^14 registers.
+SKETCH_BITS = 14
+#: Relative error that an estimate stays below in 997 of 1000 cases: three standard errors of 1.04 / sqrt(registers).
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def yearly_sketches(df: DataFrame, column: str = "des") -> DataFrame:
+    """``(year, rows, sketch)``: a mergeable sketch of the distinct values of each year, to be stored.
+
+    A sketch has at most 16 KB, so a table of them answers questions about any range of years without the events.
+    """
+    sketch = F.hll_sketch_agg(column, SKETCH_BITS).alias("sketch")
+    years = df.filter(F.col("approach_year").isNotNull() & F.col(column).isNotNull())
+    return years.groupBy(F.col("approach_year").alias("year")).agg(_rows().alias("rows"), sketch)
+
+
+def distinct_in_ranges(sketches: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``ranges`` (first_year, last_year) with the estimated number of distinct values in each; ``SKETCH_ERROR`` bounds it.
+
+    Only ranges that hold a year of the sketches have a row.
+    """
+    each = F.explode(F.expr("CASE WHEN first_year <= last_year THEN sequence(first_year, last_year) ELSE array() END"))
+    years = ranges.select("first_year", "last_year").distinct().select("*", each.alias("__year"))
+    inside = years.join(sketches, F.col("__year") == F.col("year"))
+    merged = inside.groupBy("first_year", "last_year").agg(F.hll_union_agg("sketch").alias("s"))
+    return merged.select("first_year", "last_year", F.hll_sketch_estimate("s").alias("objects"))
+
+
 def yearly_by_date(df: DataFrame) -> DataFrame:
     """Every year of the date column itself, for tables without ``approach_year``."""
     dated = df.filter(F.col("cd").isNotNull()).withColumn(
@@ -352,27 +380,29 @@ def distance_statistics(df: DataFrame, approximate: bool = False) -> DataFrame:
     The exact median is found by counting (see ``selection``); ``approximate`` takes
     a sketch instead, one scan in all.
     """
-    rows = df.filter(F.col("dist").isNotNull())
-    stats = {
-        "total_approaches": _rows(),
-        "closest_ever": dround(F.min("dist"), 8),
-        "farthest": dround(F.max("dist"), 6),
-        "mean_distance": dround(F.avg("dist"), 6),
-        "std_distance": dround(F.stddev_samp("dist"), 6),
-        "very_close_approaches": count_if(F.col("dist") < 0.01),
-        "close_approaches": count_if(F.col("dist") < 0.05),
-        "notable_approaches": count_if(F.col("dist") < 0.1),
-    }
+    near = {"very_close_approaches": 0.01, "close_approaches": 0.05, "notable_approaches": 0.1}
     if approximate:
-        stats["__median"] = F.percentile_approx("dist", 0.5, 10_000)
-        summary = rows.agg(*[c.alias(n) for n, c in stats.items()])
+        one = df.filter(F.col("dist").isNotNull()).agg(
+            F.struct(
+                _rows().alias("rows"), F.avg("dist").alias("mean"), F.stddev_samp("dist").alias("std"),
+                F.min("dist").alias("min"), F.max("dist").alias("max"),
+                F.array(*[count_if(F.col("dist") < limit) for limit in near.values()]).alias("counts"),
+            ).alias("summary"),
+            F.percentile_approx("dist", 0.5, 10_000).alias("median"),
+        )
     else:
-        median = exact_quantiles(rows, "dist", [0.5]).select(F.col("quantiles")[0]).scalar()
-        summary = rows.agg(*[c.alias(n) for n, c in stats.items()]).withColumn(
-            "__median", median
-        )
-    names = list(stats)[:4] + ["median_distance"] + [n for n in list(stats)[4:] if n != "__median"]
-    return summary.withColumn("median_distance", dround("__median", 6)).select(*names)
+        conditions = [f"__v < {limit}D" for limit in near.values()]
+        one = exact_quantiles(df, "dist", [0.5], summary=True, conditions=conditions)
+        one = one.select("summary", F.col("quantiles")[0].alias("median"))
+    return one.select(
+        F.coalesce("summary.rows", F.lit(0)).alias("total_approaches"),
+        dround(F.col("summary.min"), 8).alias("closest_ever"),
+        dround(F.col("summary.max"), 6).alias("farthest"),
+        dround(F.col("summary.mean"), 6).alias("mean_distance"),
+        dround(F.col("median"), 6).alias("median_distance"),
+        dround(F.col("summary.std"), 6).alias("std_distance"),
+        *[F.coalesce(F.col("summary.counts")[k], F.lit(0)).alias(n) for k, n in enumerate(near)],
+    )
 
 
 def distance_statistics_short(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -397,26 +427,28 @@ def measure_stats(
 
     ``approximate`` takes the median from a sketch, one scan in all.
     """
-    rows = df.filter(F.col(value).isNotNull())
-    stats = {
-        "mean": dround(F.avg(value), 6),
-        "min": F.min(value),
-        "max": F.max(value),
-        "std": dround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 6),
-        "n": _rows(),
-    }
     names = (*groups, "mean", "median", "min", "max", "std", "n")
     if approximate:
-        stats["median"] = dround(F.percentile_approx(value, 0.5, 10_000), 6)
+        stats = {
+            "mean": dround(F.avg(value), 6),
+            "min": F.min(value),
+            "max": F.max(value),
+            "std": dround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 6),
+            "n": _rows(),
+            "median": dround(F.percentile_approx(value, 0.5, 10_000), 6),
+        }
+        rows = df.filter(F.col(value).isNotNull())
         return rows.groupBy(*groups).agg(*[c.alias(n) for n, c in stats.items()]).select(*names)
-    plain = rows.groupBy(*groups).agg(*[c.alias(n) for n, c in stats.items()])
-    medians = exact_quantiles(rows, value, [0.5], groups, few_groups).select(
-        *[F.col(g).alias(f"__{g}") for g in groups], dround(F.col("quantiles")[0], 6).alias("median")
-    )
-    same = F.lit(True)
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-    return plain.join(medians, same, "left").select(*names)
+    one = exact_quantiles(df, value, [0.5], groups, few_groups, summary=True)
+    return one.select(
+        *groups,
+        dround(F.col("summary.mean"), 6).alias("mean"),
+        dround(F.col("quantiles")[0], 6).alias("median"),
+        F.col("summary.min").alias("min"),
+        F.col("summary.max").alias("max"),
+        dround(F.coalesce(F.col("summary.std"), F.lit(0.0)), 6).alias("std"),
+        F.col("summary.rows").alias("n"),
+    )
 
 
 def box_summary(

@@ -50,6 +50,54 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
 
 
+def rounded_histogram(df: DataFrame, column: str, at_most: int) -> DataFrame:
+    """Histogram ``(bin, low, high, count)`` of at most ``at_most`` bins of a round width, empty ones included.
+
+    The width is 1, 2 or 5 times a power of ten, the least that needs no more bins, and edges are
+    multiples of it.  A bin holds its lower edge.  NaN and infinite values have no bin: they raise.  Values on both
+    sides of zero need two bins, so ``at_most`` must be 2 or more.
+    """
+    if at_most < 2:
+        raise ValueError("at_most must be 2 or more")
+    rows = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("__x"))
+    # Division by a whole power of ten is exact where multiplication by 0.1 is not.
+    number = "floor(CASE WHEN {k} < 0 THEN {x} * pow(10D, -{k}) / {m} ELSE {x} / ({m} * pow(10D, {k})) END)"
+    edge = "CASE WHEN {k} < 0 THEN {i} * {m} / pow(10D, -{k}) ELSE {i} * {m} * pow(10D, {k}) END"
+    k, m = "w.k", "w.m"
+    first, last = (number.format(k=k, m=m, x=x) for x in ("a", "b"))
+    widths = (
+        "flatten(transform(sequence(k0 - 1, k0 + 2), k ->"
+        " array(named_struct('k', k, 'm', 1D), named_struct('k', k, 'm', 2D), named_struct('k', k, 'm', 5D))))"
+    )
+    grid = (
+        rows.agg(F.min("__x").alias("a"), F.max("__x").alias("b"))
+        .select("*", F.expr(f"CAST(CASE WHEN b > a AND b - a < double('Infinity') THEN floor(log10((b - a) / {at_most}D)) ELSE 0 END AS int) AS k0"))
+        .select("*", F.expr(f"get(filter({widths}, w -> {last} - {first} < {at_most}), 0) AS w"))
+        .select(F.expr(f"named_struct('k', w.k, 'm', w.m, 'first', {first}, 'last', {last}) AS g"))
+        .scalar()
+    )
+    own = number.format(k="__g.k", m="__g.m", x="__x")
+    counts = (
+        rows.withColumn("__g", grid)
+        .select(
+            F.when(F.abs("__x") < float("inf"), F.expr(own))
+            .otherwise(F.raise_error(F.lit(f"Value without a bin in {column}")).cast("bigint"))
+            .alias("__bin")
+        )
+        .groupBy("__bin")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    every = df.sparkSession.range(1).select(grid.alias("__g")).filter("__g.first IS NOT NULL")
+    every = every.select("__g", F.explode(F.expr("sequence(__g.first, __g.last)")).alias("__i"))
+    low, high = (edge.format(k="__g.k", m="__g.m", i=i) for i in ("__i", "(__i + 1)"))
+    return every.join(F.broadcast(counts), F.col("__i") == F.col("__bin"), "left").select(
+        (F.col("__i") - F.col("__g.first")).alias("bin"),
+        F.expr(low).alias("low"),
+        F.expr(high).alias("high"),
+        F.coalesce("__n", F.lit(0)).alias("count"),
+    )
+
+
 def cumulative_frames(df: DataFrame) -> DataFrame:
     """Rows up to and including each year, per risk category.
 

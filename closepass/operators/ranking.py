@@ -30,26 +30,25 @@ def distance_rank_with_size_percentile(df: DataFrame, limit: int = 25) -> DataFr
     """
     rows = df.filter(not_null("h", "dist"))
     nearest = top_rows(rows, named(rows, "des", "h", "dist", "v_rel"), [asc("dist")], limit, TIES)
-    marks = nearest.agg(F.collect_set("h").alias("m")).scalar()
-    below = F.expr("array_max(filter(__marks, m -> m < h))")
+    # At most ``limit`` rows, taken once: their values of h are the marks, and they are the result.
+    position = F.row_number().over(Window.orderBy(*[asc(c) for c in ("dist", *TIES)]))
+    placed = nearest.select("*", position.cast("bigint").alias("distance_rank"))
+    top = placed.agg(F.collect_list(F.struct(*placed.columns)).alias("t")).scalar()
+    below = F.expr("array_max(transform(filter(__top, t -> t.h < h), t -> t.h))")
     counters = (
         rows.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("__marks", marks)
+        .withColumn("__top", top)
         .groupBy(below.alias("mark"))
         .agg(F.sum("n").alias("n"))
-        .agg(F.collect_list(F.struct("mark", "n")).alias("c"))
-        .scalar()
+        .agg(F.collect_list(F.struct("mark", "n")).alias("__counters"))
     )
-    position = F.row_number().over(Window.orderBy(*[asc(c) for c in ("dist", *TIES)]))
     everything = "aggregate(__counters, 0L, (t, c) -> t + c.n)"
     above = "aggregate(filter(__counters, c -> c.mark >= h), 0L, (t, c) -> t + c.n)"
     percentile = f"coalesce(try_divide(CAST({above} AS double), {everything} - 1), 0D)"
-    # The counters join after the position: between limit and sort they would keep
-    # Spark from planning a top-k.
     return (
-        nearest.select("*", position.cast("bigint").alias("distance_rank"))
-        .select("*", counters.alias("__counters"))
+        counters.withColumn("__top", top)
+        .select("__counters", F.inline("__top"))
         .select("*", F.expr(percentile).alias("size_percentile"))
         .drop("__counters")
     )

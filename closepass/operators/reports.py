@@ -90,7 +90,7 @@ def source_window(
     keyed = rows.withColumn("__h", hash_key(rows, present(rows, *identity), seed))
     chosen = first_rows(
         keyed,
-        levels=[F.to_date("cd"), F.col("cd"), F.substring("__h", 1, 4)],
+        levels=[F.to_date("cd"), F.struct("cd", F.substring("__h", 1, 3))],
         order=[F.col("__h"), *[F.col(c).asc_nulls_last() for c in rows.columns]],
         quota=limit,
     )

@@ -1,8 +1,7 @@
 """Reproducible samples of exact size.
 
-All samples take the first rows of a random order made from the rows' values: by an
-arithmetic key (``mix_key``), then by a digest (``hash_key``).  They are the same rows
-for any partitioning, executor loss included.
+All samples take the first rows of a random order made from the rows' values, that of a digest
+(``hash_key``).  They are the same rows for any partitioning, executor loss included.
 """
 
 from collections.abc import Callable, Sequence
@@ -10,16 +9,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closepass.functions.numeric import MIX_KEY_BITS, hash_key, mix_key
+from closepass.functions.numeric import hash_key, mix_key
 from closepass.operators.reports import IDENTITY, not_null
 from closepass.operators.selection import first_rows
 from closepass.schema import present
 
 SEED = 42
-#: High bits of the key that number the counting cell: 65,536 cells.
-CELL_BITS = 16
-#: Digits of the digest that divide one cell.
+#: Hex digits of the digest that name the counting cell of a whole table or of a few strata: 65,536 cells.
 CELL_DIGITS = 4
+#: The same where every year has its own cells: 4,096.
+YEAR_CELL_DIGITS = 3
 
 
 def _by_hash(
@@ -29,14 +28,14 @@ def _by_hash(
     identity: Sequence[str],
     groups: Sequence[str] = (),
     few_groups: bool = False,
+    digits: int = CELL_DIGITS,
 ) -> DataFrame:
     names = present(df, *identity) or df.columns
     keyed = df.withColumn("__h", hash_key(df, names, seed))
     ties = [F.col(c).asc_nulls_last() for c in df.columns]
-    cell = F.shiftright(mix_key(df, names, seed), MIX_KEY_BITS - CELL_BITS)
     return first_rows(
         keyed,
-        levels=[cell, F.substring("__h", 1, CELL_DIGITS)],
+        levels=[F.substring("__h", 1, digits)],
         order=[F.col("__h"), *ties],
         quota=quota,
         groups=groups,
@@ -110,7 +109,7 @@ def sample_temporal(
         )
 
     return _by_hash(
-        df.withColumn("__year", year), quota, seed, identity, ["__year"], few_groups=True
+        df.withColumn("__year", year), quota, seed, identity, ["__year"], few_groups=True, digits=YEAR_CELL_DIGITS
     ).drop("__year")
 
 

@@ -59,9 +59,9 @@ def first_rows(
     ``few_groups`` says that the groups are few by construction, so one cut-off per
     group may be broadcast; otherwise the join is left to the optimizer.
 
-    One pruned scan counts each level, one more keeps the rows up to the cut-off
-    cell; only kept rows are shuffled, and ordered only inside their cell.  Copies
-    of one row are counted, not sorted, so a large group of copies is one entry.
+    One pruned scan counts each level.  Then rows before the cut-off cell pass from the scan to the
+    result as they are; only the rows of the cut-off cell itself are shuffled and ordered, in a branch of
+    their own.  Copies of one row are counted, not sorted, so a large group of copies is one entry.
     """
     groups = list(groups)
     small = few_groups or not groups
@@ -107,26 +107,20 @@ def first_rows(
     # The coarse levels decide for most rows, so a costly last level is seldom computed.
     last = path[-1]
     if len(path) == 1:
-        upto, at_cut = f"{last} <= __cut.last", f"{last} = __cut.last"
+        inside = "true"
+        upto = f"{last} < __cut.last"
     else:
-        upto = (
-            f"{coarse} <= __cut.coarse AND ({coarse} < __cut.coarse OR {last} <= __cut.last)"
-        )
-        at_cut = f"{coarse} = __cut.coarse AND {last} = __cut.last"
-    need = F.expr(f"CASE WHEN {at_cut} THEN __cut.need END")
-    kept = (
-        with_cut(keyed)
-        .filter(upto)
-        .select(*columns, *path, need.alias("__need"))
-        .groupBy(*columns, *path, "__need")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    in_cell = Window.partitionBy(*groups, *path).orderBy(*order)
+        inside = f"{coarse} = __cut.coarse"
+        upto = f"{coarse} <= __cut.coarse AND ({coarse} < __cut.coarse OR {last} < __cut.last)"
+    below = with_cut(keyed).filter(upto).select(*columns)
+    at_cut = with_cut(keyed).filter(f"{inside} AND {last} = __cut.last").select(*columns, F.col("__cut.need").alias("__need"))
+    copies = at_cut.groupBy(*columns, "__need").agg(F.count(F.lit(1)).alias("__n"))
+    in_cell = Window.partitionBy(*groups).orderBy(*order)
     before = F.sum("__n").over(in_cell.rowsBetween(Window.unboundedPreceding, -1))
-    taken = kept.select("*", F.coalesce(before, F.lit(0)).alias("__before")).select(
+    taken = copies.select("*", F.coalesce(before, F.lit(0)).alias("__before")).select(
         *columns, F.expr("least(__n, __need - __before)").alias("__take")
     )
-    return _repeat(taken.filter("__take > 0"), "__take").select(*columns)
+    return below.unionByName(_repeat(taken.filter("__take > 0"), "__take").select(*columns))
 
 
 def _repeat(df: DataFrame, times: str, chunk: int = 10_000) -> DataFrame:
@@ -167,12 +161,24 @@ def ordered_positions(df: DataFrame, value: str, ties: Sequence[Column], name: s
     return _match(placed, before, ["__c"], False).select(*df.columns, position)
 
 
+#: Figures that cells keep and that merge into those of a group, by compensated sums of squares.
+CELL_FIGURES = {
+    "n": "count(1)",
+    "sum": "sum(__v)",
+    "squares": "var_pop(__v) * count(1)",
+    "min": "min(__v)",
+    "max": "max(__v)",
+}
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probabilities: Sequence[float],
     groups: Sequence[str] = (),
     few_groups: bool = False,
+    summary: bool = False,
+    conditions: Sequence[str] = (),
 ) -> DataFrame:
     """Exact interpolated quantiles per group: ``groups..., n, quantiles array<double>``.
 
@@ -181,18 +187,27 @@ def exact_quantiles(
     cell inside the cells that hold a wanted rank, then per value.  The last step
     sees at most 2^25 distinct doubles and normally a handful.
 
+    ``summary`` adds a struct column ``summary``: rows, mean, std (of the sample), min, max of all values that are not
+    NULL, NaN included, and ``counts``, the rows that meet each of ``conditions`` (SQL over ``__v``, the value).  The first
+    scan keeps these figures for each logarithmic cell and they are merged over the cells, so they cost no scan of
+    their own.  A group that has only NaN then has a row too, with NULL quantiles.
+
     ``few_groups`` says that the groups are few by construction, so their cut-offs may
     be broadcast; otherwise the join is left to the optimizer.
     """
     groups = list(groups)
     small = few_groups or not groups
     path = ["__c1", "__c2", "__v"]
-    rows = (
-        df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .select(*groups, F.col(value).alias("__v"))
-        .select("*", F.expr(LOG_CELL.format(v="__v")).alias("__c1"))
-        .select("*", F.expr(LINEAR_CELL.format(v="__v", c="__c1")).alias("__c2"))
+    rows = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"))
+    if not summary:
+        rows = rows.filter(~F.isnan("__v"))
+    c1 = LOG_CELL.format(v="__v")
+    if summary:  # NaN has a cell of its own, which no rank is looked for in
+        c1 = f"CASE WHEN isnan(__v) THEN {END_CELL + 1} ELSE {c1} END"
+    rows = rows.select("*", F.expr(c1).alias("__c1")).select(
+        "*", F.expr(LINEAR_CELL.format(v="__v", c="__c1")).alias("__c2")
     )
+    carried = ["__total", "__ranks", *(["__summary"] if summary else [])]
     # The two neighbouring ranks of every interpolated quantile.
     positions = [f"{float(p)}D * (__total - 1)" for p in probabilities]
     ranks = ", ".join(
@@ -204,24 +219,34 @@ def exact_quantiles(
     for i, cell in enumerate(path):
         keys = [*groups, *path[:i]]
         if found is None:
-            counts = rows.groupBy(*keys, cell).agg(F.count(F.lit(1)).alias("__n"))
-            total = F.sum("__n").over(Window.partitionBy(*groups))
+            figures = dict(CELL_FIGURES) if summary else {"n": "count(1)"}
+            for k, condition in enumerate(conditions if summary else ()):
+                figures[f"if{k}"] = f"count_if({condition})"
+            counts = rows.groupBy(*keys, cell).agg(
+                *[F.expr(e).alias("__n" if name == "n" else f"__{name}") for name, e in figures.items()]
+            )
+            over = Window.partitionBy(*groups)
+            if summary:
+                counts = _merged(counts, over, len(conditions)).withColumn(
+                    "__ranked", F.expr(f"CASE WHEN __c1 > {END_CELL} THEN 0L ELSE __n END")
+                )
+            total = F.sum("__ranked" if summary else "__n").over(over)
             counts = counts.select("*", total.alias("__total")).select(
                 "*", F.expr(f"array({ranks})").alias("__ranks")
             )
         else:
             inside = _match(rows, found, keys, small or not groups)
-            counts = inside.groupBy(*keys, cell, "__total", "__ranks").agg(
-                F.count(F.lit(1)).alias("__n")
-            )
+            counts = inside.groupBy(*keys, cell, *carried).agg(F.count(F.lit(1)).alias("__n"))
         moved = F.expr(
             "transform(filter(__ranks, r -> r.rank >= __before AND r.rank < __before + __n),"
             " r -> named_struct('i', r.i, 'side', r.side, 'rank', r.rank - __before))"
         )
+        if summary:
+            moved = F.when(F.col("__total") > 0, moved).otherwise(F.expr("filter(__ranks, r -> false)"))
         found = (
             counts.select("*", _rows_before(keys, cell).alias("__before"))
-            .select(*keys, cell, "__total", moved.alias("__ranks"))
-            .filter("size(__ranks) > 0")
+            .select(*keys, cell, *[moved.alias(c) if c == "__ranks" else F.col(c) for c in carried])
+            .filter("size(__ranks) > 0 OR __total = 0" if summary else "size(__ranks) > 0")
         )
 
     def neighbour(i: int, side: int) -> str:
@@ -233,11 +258,33 @@ def exact_quantiles(
         low, high = neighbour(i, 0), neighbour(i, 1)
         between = f"{low} + ({high} - {low}) * ({position} - floor({position}))"
         results.append(f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END")
+    more = [F.max("__summary").alias("summary")] if summary else []
     return (
-        found.select(*groups, "__v", "__total", F.explode("__ranks").alias("r"))
+        found.select(*groups, "__v", *[c for c in carried if c != "__ranks"], F.explode_outer("__ranks").alias("r"))
         .groupBy(*groups)
         .agg(
             F.max("__total").alias("n"),
             F.expr(f"array({', '.join(results)})").alias("quantiles"),
+            *more,
         )
     )
+
+
+def _merged(cells: DataFrame, over: Window, conditions: int) -> DataFrame:
+    """``cells`` with the figures of the whole group, merged from those of its cells, as a struct."""
+    whole = cells.select(
+        "*", F.sum("__n").over(over).alias("__rows"), F.sum("__sum").over(over).alias("__all")
+    ).select("*", (F.col("__all") / F.col("__rows")).alias("__mean"))
+    # the squares inside a cell, and those of its mean about the mean of all
+    squares = F.expr("__squares + __n * pow(__sum / __n - __mean, 2)")
+    whole = whole.select("*", F.sum(squares).over(over).alias("__spread"))
+    figures = F.struct(
+        F.col("__rows").alias("rows"),
+        F.col("__mean").alias("mean"),
+        F.expr("CASE WHEN __rows > 1 THEN sqrt(__spread / (__rows - 1)) END").alias("std"),
+        F.min("__min").over(over).alias("min"),
+        F.max("__max").over(over).alias("max"),
+        F.array(*[F.sum(f"__if{k}").over(over) for k in range(conditions)]).cast("array<bigint>").alias("counts"),
+    )
+    kept = [c for c in cells.columns if c not in ("__sum", "__squares", "__min", "__max", *(f"__if{k}" for k in range(conditions)))]
+    return whole.select(*kept, figures.alias("__summary"))

@@ -14,7 +14,10 @@ from closepass.functions.risk import (
 )
 from closepass.operators import aggregates as agg
 from closepass.operators import charts, cleaning, ranking, reports, sampling, versions
+from closepass.operators.comparison import row_differences
 from closepass.plans import inputs
+from closepass.sources.files import json_array_texts
+from closepass.sources.payload import payload_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,8 +161,53 @@ def _as_of_version(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _payload_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = payload_texts(inputs.payload_texts(spark, sf), "text", "order", inputs.PAYLOAD_COLUMNS)
+    return rows.withColumnsRenamed({"_file": "order", "_row": "row"})
+
+
+def _json_records(spark: SparkSession, sf: str) -> DataFrame:
+    rows = json_array_texts(inputs.record_texts(spark, sf), "text")
+    return rows.select("des", "fullname", "cd", "dist", "h", "approach_year")
+
+
+def _history(spark: SparkSession, sf: str) -> DataFrame:
+    """The versions of the loads, each committed with its last date."""
+    return _versioned(spark, sf).groupBy("version").agg(F.max("cd").alias("committed_at"))
+
+
+def _as_of_times(spark: SparkSession, sf: str) -> DataFrame:
+    """The version and size of the table at the date of every order."""
+    asked = inputs.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("time"))
+    return versions.counts_at(_versioned(spark, sf), asked, _history(spark, sf))
+
+
+def _row_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """What the objects' magnitudes and marks of two years differ in."""
+    rows = inputs.approaches(spark, sf)
+    years = [rows.filter(F.col("approach_year") == y).select("h", "t_sigma_f") for y in (1996, 1997)]
+    return row_differences(*years)
+
+
+def _objects_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of ranges of years: the exact number, and whether that of the sketches is within its bound."""
+    rows = inputs.approaches(spark, sf)
+    years = rows.select(F.col("approach_year").alias("first_year")).distinct().filter("first_year < 2001")
+    ranges = years.withColumn("last_year", F.lit(2000).cast("bigint"))
+    by_sketch = agg.distinct_in_ranges(agg.yearly_sketches(rows), ranges)
+    each = ranges.select("*", F.explode(F.expr("sequence(first_year, last_year)")).alias("y"))
+    exact = rows.select("des", F.col("approach_year").alias("y")).distinct().join(each, "y")
+    exact = exact.groupBy("first_year", "last_year").agg(F.count_distinct("des").alias("n"))
+    near = F.abs(F.col("objects") - F.col("n")) <= F.col("n") * agg.SKETCH_ERROR
+    return by_sketch.join(exact, ["first_year", "last_year"]).select("first_year", "last_year", F.col("n").alias("objects"), near.alias("within_bound"))
+
+
 QUERIES: dict[str, Query] = {
     # reading
+    "payload_rows": _payload_rows,
+    "json_records": _json_records,
+    "as_of_times": _as_of_times,
+    "row_differences": _row_differences,
     "window_full": _plain(reports.full_source_window),
     "window_limited": _plain(reports.limited_source_window, limit=10_000),
     "version_counts": lambda spark, sf: versions.version_counts(_versioned(spark, sf)),
@@ -204,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "yearly_discoveries": _plain(agg.yearly_discoveries),
     "yearly_all": _plain(agg.yearly_all),
     "yearly_by_date": _plain(agg.yearly_by_date),
+    "objects_by_sketch": _objects_by_sketch,
     "yearly_trends": _plain(agg.yearly_trends),
     "years_range": _plain(agg.years_range, first_year=1996, last_year=1998),
     "trend_stats": _plain(agg.trend_stats, recent=3),
@@ -241,6 +290,8 @@ QUERIES: dict[str, Query] = {
     "cumulative_frames": _cumulative_frames,
     "histogram_dist": _plain(charts.histogram, column="dist", bins=50),
     "histogram_h": _plain(charts.histogram, column="h", bins=50),
+    "histogram_dist_round": _plain(charts.rounded_histogram, column="dist", at_most=15),
+    "histogram_h_round": _plain(charts.rounded_histogram, column="h", at_most=20),
     "histogram_risk": lambda spark, sf: charts.histogram(_risk_rows(spark, sf), "risk_score", 20),
     "box_summary": _box_summary,
     "risk_dashboard": _risk_dashboard,

@@ -84,3 +84,33 @@ def raw_approaches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat("l_returnflag", "l_linestatus"))
         .alias("t_sigma_f"),
     )
+
+
+#: Columns of the derived payload documents.
+PAYLOAD_COLUMNS = ("des", "orbit_id", "cd", "t_sigma_f", "h", "fullname")
+
+
+def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(order, text)``: the lines of each order as one payload document; an order has few lines."""
+    line = F.col("l_linenumber")
+    cells = {
+        "des": F.col("l_partkey").cast("string"),
+        "orbit_id": F.col("l_suppkey").cast("string"),
+        "cd": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "t_sigma_f": F.concat(F.lit('] "'), "l_returnflag", F.lit('",['), "l_linestatus"),
+        "h": F.when(F.col("l_suppkey") % 50 != 0, (F.col("l_partkey") % 160).cast("string")),
+    }
+    row = F.array(*cells.values(), line.cast("string"))
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order"))
+    rows = rows.agg(F.array_sort(F.collect_list(F.struct(line.alias("line"), row.alias("row")))).alias("rows"))
+    document = F.struct(
+        F.array(*[F.lit(c) for c in (*cells, "line")]).alias("fields"), F.transform("rows", lambda r: r["row"]).alias("data")
+    )
+    return rows.select("order", F.to_json(document, {"ignoreNullFields": "false"}).alias("text"))
+
+
+def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text``: the approaches of each object and year as one JSON array of records."""
+    rows = approaches(spark, sf_dir).select("des", "cd", "dist", "h", "approach_year")
+    groups = rows.groupBy("des", "approach_year").agg(F.collect_list(F.struct(*rows.columns)).alias("r"))
+    return groups.select(F.to_json("r").alias("text"))

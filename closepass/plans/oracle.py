@@ -122,6 +122,24 @@ GROUP BY b.bin, lo, hi""",
     )
 
 
+def _rounded_histogram(column: str, at_most: int) -> str:
+    number = "floor(CASE WHEN k < 0 THEN {x} * pow(10::DOUBLE, -k) / m ELSE {x} / (m * pow(10::DOUBLE, k)) END)"
+    edge = "CASE WHEN k < 0 THEN {i} * m / pow(10::DOUBLE, -k) ELSE {i} * m * pow(10::DOUBLE, k) END"
+    a, b, own = (number.format(x=x) for x in ("lo", "hi", "x"))
+    return _q(
+        f"""
+SELECT i - a AS bin, {edge.format(i="i")} AS low, {edge.format(i="(i + 1)")} AS high, count(x) AS count
+FROM (SELECT *, unnest(range(a, b + 1)) AS i FROM grid) g
+LEFT JOIN (SELECT x, CAST({own} AS BIGINT) AS own FROM (SELECT {column} AS x FROM approaches WHERE {column} IS NOT NULL), grid) v
+  ON v.own = g.i
+GROUP BY i, a, k, m""",
+        f"limits AS (SELECT min({column}) AS lo, max({column}) AS hi FROM approaches)",
+        f"""grid AS (SELECT k, m, CAST({a} AS BIGINT) AS a, CAST({b} AS BIGINT) AS b
+  FROM limits, (SELECT unnest(range(-12, 12)) AS k) ks, (VALUES (1::DOUBLE), (2::DOUBLE), (5::DOUBLE)) ms(m)
+  WHERE {b} - {a} < {at_most} ORDER BY k, m LIMIT 1)""",
+    )
+
+
 _SCORED = (
     "des, fullname, h, round(dist, 6) AS distance_au, round(v_rel, 2) AS velocity_kms,"
     f" cd AS approach_date, {_SCORE} AS risk_score, {_CATEGORY} AS risk_category"
@@ -180,6 +198,34 @@ _VERSION = "CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THE
 _LIST_TIES = "des, h, dist, v_rel"
 
 ORACLE: dict[str, str] = {
+    "payload_rows": """
+SELECT CAST(l_partkey AS VARCHAR) AS des, CAST(l_suppkey AS VARCHAR) AS orbit_id, strftime(l_shipdate, '%Y-%m-%d') AS cd,
+  '] "' || l_returnflag || '",[' || l_linestatus AS t_sigma_f,
+  CASE WHEN l_suppkey % 50 <> 0 THEN CAST(l_partkey % 160 AS VARCHAR) END AS h, CAST(NULL AS VARCHAR) AS fullname,
+  l_orderkey AS "order", CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
+    CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_shipdate, l_returnflag, l_linestatus) - 1 AS INTEGER) AS "row"
+FROM lineitem""",
+    "json_records": _q("SELECT des, CAST(NULL AS VARCHAR) AS fullname, cd, dist, h, approach_year FROM approaches"),
+    "as_of_times": _q(
+        """
+SELECT o_orderkey, o_orderdate AS time, version, coalesce(total, 0) AS records
+FROM orders ASOF LEFT JOIN history ON o_orderdate >= committed_at""",
+        "loads AS (SELECT *, CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THEN 2 ELSE 3 END AS version FROM approaches)",
+        """history AS (SELECT version, max(cd) AS committed_at, CAST(sum(count(*)) OVER (ORDER BY version) AS BIGINT) AS total
+  FROM loads GROUP BY version)""",
+    ),
+    "row_differences": _q(
+        """
+SELECT h, t_sigma_f, CAST(count(*) FILTER (approach_year = 1996) AS BIGINT) AS in_a,
+  CAST(count(*) FILTER (approach_year = 1997) AS BIGINT) AS in_b
+FROM approaches WHERE approach_year IN (1996, 1997) GROUP BY h, t_sigma_f HAVING in_a <> in_b"""
+    ),
+    "objects_by_sketch": _q(
+        """
+SELECT y AS first_year, CAST(2000 AS BIGINT) AS last_year, count(DISTINCT des) AS objects, true AS within_bound
+FROM approaches JOIN (SELECT DISTINCT approach_year AS y FROM approaches WHERE approach_year < 2001) ON approach_year BETWEEN y AND 2000
+GROUP BY y"""
+    ),
     "window_full": _source_window("2100-12-31", 0.5, 200_000),
     "window_limited": _source_window("2030-12-31", 0.2, 10_000),
     "partition_scan": _q(
@@ -585,6 +631,8 @@ GROUP BY 1, 2"""
     ),
     "histogram_dist": _histogram("approaches", "dist", 50),
     "histogram_h": _histogram("approaches", "h", 50),
+    "histogram_dist_round": _rounded_histogram("dist", 15),
+    "histogram_h_round": _rounded_histogram("h", 20),
     "histogram_risk": _histogram("risk_rows", "risk_score", 20, _BEST),
     "box_summary": _q(
         "SELECT risk_category, round(min(dist), 6) AS min,"

@@ -29,10 +29,11 @@ def save(df: DataFrame, fmt: str, path: str, mode: str = "overwrite", strict: bo
 def save_all(
     df: DataFrame, base_path: str, formats: Sequence[str] = FORMATS, mode: str = "overwrite"
 ) -> dict[str, str]:
-    """Write every format, computing the rows once.
+    """Write every format.
 
-    Parquet is written first and the other formats are copied from it, so nothing is
-    cached and a lost executor costs one file copy at most.
+    With Parquet among the formats the rows are computed once: it is written first and the others are copied from
+    it, so nothing is cached and a lost executor costs one file copy at most.  Without it each
+    format computes them again.
     """
     paths = {}
     rows = df

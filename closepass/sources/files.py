@@ -1,8 +1,9 @@
 """CSV, Parquet and JSON tables under a declared schema."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from closepass.schema import APPROACHES
 
@@ -43,14 +44,17 @@ def read_json(
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def json_array_texts(texts: DataFrame, text: str, schema: StructType = APPROACHES) -> DataFrame:
+    """Records of a table of texts, each one JSON array of records; a text that is none has no row."""
+    records = F.from_json(text, ArrayType(schema))
+    return texts.select(F.inline(records))
+
+
 READERS = {".csv": read_csv, ".parquet": read_parquet, ".json": read_json}
 
 
-def _status(spark: SparkSession, path: str):
-    """Whether a path exists, on whatever file system it names."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def load_table(
@@ -62,11 +66,15 @@ def load_table(
 ) -> DataFrame:
     """Read by file suffix and register a view of the result."""
     suffix = "." + path.rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2].lower()
-    if not _status(spark, path):
-        raise FileNotFoundError(f"Data file not found: {path}")
-    if suffix not in READERS:
-        raise ValueError(f"Unsupported file format: {suffix}")
-    rows = READERS[suffix](spark, path, schema, **options)
+    try:
+        if suffix not in READERS:
+            spark.read.text(path)  # a path that is not there is reported first
+            raise ValueError(f"Unsupported file format: {suffix}")
+        rows = READERS[suffix](spark, path, schema, **options)
+    except AnalysisException as error:
+        if _missing(error):
+            raise FileNotFoundError(f"Data file not found: {path}") from error
+        raise
     if view:
         rows.createOrReplaceTempView(view)
     return rows

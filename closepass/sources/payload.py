@@ -35,9 +35,24 @@ def parse_payload(
             raise ValueError("Invalid API response format")
         if checks["empty"]:
             raise ValueError("API returned empty dataset")
+    return _rows(documents.select(F.col("_metadata.file_path").alias("_file"), "fields", "data"), columns)
+
+
+def payload_texts(texts: DataFrame, text: str, key: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """Rows of a table of payload documents, one whole document a row: ``columns``, ``_file`` (its ``key``) and ``_row``.
+
+    A text that is no payload fails the job when its rows are computed; a NULL text has no row.
+    """
+    documents = texts.filter(F.col(text).isNotNull()).select(F.col(key).alias("_file"), F.from_json(text, PAYLOAD).alias("d"))
+    return _rows(documents.select("_file", "d.fields", "d.data"), columns)
+
+
+def _rows(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
+    malformed = F.col("fields").isNull() | F.col("data").isNull()
+    empty = F.size("data") == 0
     positions = F.struct(*[F.array_position("fields", c).alias(c) for c in columns])
     rows = documents.select(
-        F.col("_metadata.file_path").alias("_file"),
+        "_file",
         positions.alias("at"),
         F.posexplode(
             F.when(malformed, F.raise_error(F.lit("Invalid API response format")))

@@ -4,7 +4,7 @@ import pytest
 from conftest import SF_DIR
 
 from closepass.operators import aggregates as agg
-from closepass.operators import cleaning, ranking, reports
+from closepass.operators import cleaning, ranking, reports, sampling
 from closepass.plans import inputs
 from closepass.plans.catalog import QUERIES
 from closepass.sinks.files import save_by_year
@@ -56,7 +56,29 @@ def test_key_dedupe_limits_before_the_shuffle(stored):
 def test_percent_rank_has_no_global_sort_of_the_table(stored):
     text = plan(ranking.distance_rank_with_size_percentile(stored))
     assert "percent_rank" not in text and "rangepartitioning" not in text
-    assert text.count("TakeOrderedAndProject") == 2
+    ranked = ranking.distance_rank_with_size_percentile(stored)
+    ranked._jdf.collectToPython()
+    final = plan(ranked).split("== Initial Plan ==")[0]
+    assert final.count("TakeOrderedAndProject") == 1 and "ReusedSubquery" in final
+
+
+def nodes(logical) -> list[str]:
+    """Names of a plan's nodes, those of its subqueries left out."""
+    below = logical.children()
+    return [logical.nodeName(), *(n for i in range(below.size()) for n in nodes(below.apply(i)))]
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [lambda df: sampling.sample_random(df, 100), lambda df: reports.source_window(df, "1900-01-01", "2100-01-01", 0.5, 100)],
+)
+def test_rows_before_the_cut_off_leave_the_scan_untouched(stored, rows):
+    logical = rows(stored)._jdf.queryExecution().optimizedPlan()
+    while logical.nodeName() != "Union":
+        logical = logical.children().apply(0)
+    below, at_cut = (nodes(logical.children().apply(i)) for i in range(2))
+    assert set(below) <= {"Project", "Filter", "LogicalRelation"}
+    assert "Aggregate" in at_cut and "Window" in at_cut
 
 
 def test_lists_do_not_shuffle_for_names(spark):

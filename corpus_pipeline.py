@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the one before it kept; all but the last
 return the columns of documents.  Rows that share a doc_id are one document to the second and third stage: they
-stay or go together, except that of equal rows of a doc_id one stays.
+stay or go together, except that of rows equal in doc_id and text any one stays, with its other columns.  Other columns may have any names.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,13 @@ from closepass.llm.tokens import default_path
 ORACLE_SQL = None  # a fitted classifier, sketches and a tokenizer are not SQL
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """`name`, made longer until no column of `docs` has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below 0.5."""
     return toxicity.without_toxic(docs, toxicity.fit(toxicity.training_rows(spark, sf_dir)))
@@ -22,17 +29,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each class of near duplicates; a row without one is a document too."""
-    kept = near_duplicates.near_duplicates(docs).select(F.col("class_id").alias("_kept")).distinct()
-    named = docs.withColumn("_id", near_duplicates.document_id())
-    return named.join(kept, F.col("_id") == F.col("_kept"), "left_semi").drop("_id").dropDuplicates(["doc_id", "text"])
+    key = _unused(docs, "class_id")
+    kept = near_duplicates.near_duplicates(docs).select(F.col("class_id").alias(key)).distinct()
+    rows = docs.join(kept, near_duplicates.document_id() == F.col(key), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contamination(docs, items).where("n_hit > 0")
-    found = found.select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(F.col("_found")), "left_anti")
+    key = _unused(docs, "found")
+    found = found.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found[key]), "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from closepass.operators import charts, cleaning, ranking, reports, sampling, ve
 from closepass.operators.comparison import row_differences
 from closepass.plans import inputs
 from closepass.sources.files import json_array_texts
+from closepass.sources.footers import footer_summary
 from closepass.sources.payload import payload_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +203,10 @@ def _objects_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
     return by_sketch.join(exact, ["first_year", "last_year"]).select("first_year", "last_year", F.col("n").alias("objects"), near.alias("within_bound"))
 
 
+def _footer_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return footer_summary(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey"])
+
+
 QUERIES: dict[str, Query] = {
     # reading
     "payload_rows": _payload_rows,
@@ -215,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "partition_scan": _plain(agg.partition_scan, first_year=1996, last_year=1998),
     "limited_scan": _plain(reports.limited_scan, order=("cd", "des", "dist")),
     "table_stats": _plain(agg.table_stats),
+    "footer_summary": _footer_summary,
     # cleaning
     "clean": lambda spark, sf: cleaning.clean(inputs.raw_approaches(spark, sf)),
     "dedupe_key": _dedupe_key,

@@ -198,6 +198,9 @@ _VERSION = "CASE WHEN approach_year <= 1997 THEN 1 WHEN approach_year = 1998 THE
 _LIST_TIES = "des, h, dist, v_rel"
 
 ORACLE: dict[str, str] = {
+    "footer_summary": """
+SELECT count(*) AS n, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey,
+  min(l_partkey) AS min_l_partkey, max(l_partkey) AS max_l_partkey FROM lineitem""",
     "payload_rows": """
 SELECT CAST(l_partkey AS VARCHAR) AS des, CAST(l_suppkey AS VARCHAR) AS orbit_id, strftime(l_shipdate, '%Y-%m-%d') AS cd,
   '] "' || l_returnflag || '",[' || l_linestatus AS t_sigma_f,

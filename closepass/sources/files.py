@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from closepass.schema import APPROACHES
+from closepass.sources.arrays import read_json_array
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = APPROACHES) -> DataFrame:
@@ -38,9 +39,18 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType = APPROACHES
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: StructType = APPROACHES, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType = APPROACHES,
+    multi_line: bool = False,
+    split: bool = False,
 ) -> DataFrame:
-    """One record per line, or one array of records per file with ``multi_line``."""
+    """One record per line, or one array of records per file with ``multi_line``, which is one task a file.
+
+    ``split`` reads such arrays with many tasks a file; their records must be flat.
+    """
+    if split:
+        return read_json_array(spark, path, schema)
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 

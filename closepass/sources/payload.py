@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from closepass.functions.numeric import count_if
 from closepass.schema import PAYLOAD, RAW_COLUMNS
+from closepass.sources.arrays import parse_large_payload
 
 
 def parse_payload(
@@ -14,16 +15,19 @@ def parse_payload(
     path: str | Sequence[str],
     columns: Sequence[str] = RAW_COLUMNS,
     strict: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """Rows of one or many payload files, all columns text, absent columns NULL.
 
     Adds ``_file`` and ``_row``, the source order that ``dedupe_by_key`` needs.  Files
-    are read in parallel; one file is one document and cannot be split.  Column
-    positions are looked up once per document, not once per row.
+    are read in parallel; one file is one document and one task, unless ``split`` is set: then any number of
+    tasks read a file, and ``_row`` has gaps.  Column positions are looked up once per document, not once per row.
 
     ``strict`` checks all documents first and raises ValueError; without it a bad
     document fails the job when its rows are computed.
     """
+    if split:
+        return parse_large_payload(spark, path, columns, strict)
     documents = spark.read.schema(PAYLOAD).option("multiLine", True).json(path)
     malformed = F.col("fields").isNull() | F.col("data").isNull()
     empty = F.size("data") == 0

@@ -46,7 +46,7 @@ def test_payloads(spark, small_splits, tmp_path, odd_share, indent, data_first):
         data = {"data": rows_of(n, odd_share)}
         document = {"signature": {"version": '1 "]" '}, "count": str(n), **(data if data_first else fields), **(fields if data_first else data)}
         (tmp_path / f"{k}.json").write_text(json.dumps(document, indent=indent, ensure_ascii=bool(k % 2)))
-    got = parse_large_payload(spark, str(tmp_path))
+    got = parse_payload(spark, str(tmp_path), split=True)
     assert arrays._pieces(spark, str(tmp_path), "]").rdd.getNumPartitions() > 20
     same_rows(got, parse_payload(spark, str(tmp_path)))
 
@@ -60,7 +60,7 @@ def test_arrays_of_objects(spark, small_splits, tmp_path, odd_share):
     ]
     for k, indent in enumerate((None, 2)):
         (tmp_path / f"{k}.json").write_text(json.dumps(rows[k * 100 :], indent=indent))
-    got, want = read_json_array(spark, str(tmp_path)), read_json(spark, str(tmp_path), multi_line=True)
+    got, want = read_json(spark, str(tmp_path), split=True), read_json(spark, str(tmp_path), multi_line=True)
     assert got.schema == want.schema and arrays._pieces(spark, str(tmp_path), "}").rdd.getNumPartitions() > 20
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 700
 

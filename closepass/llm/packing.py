@@ -9,8 +9,10 @@ piece of what is left over and full pieces.  Packing depends on lengths only, an
   most tightly replaces it, if it fills more than the single piece did;
 * a bin is repeated as often as the numbers left allow.
 
-Pieces are numbered inside their length and read their place off the plan.  The numbering is dealt by length
-and a salt, so a length that a third of all pieces have is not one task's.
+Pieces are numbered inside their length and read their place off the plan.  Each task that encodes texts counts
+its own pieces of each length and writes these numbers with them; what earlier tasks have of a length is added from a
+table with one row for each task and length.  That table, cut where the plan goes on to another bin, says where its pieces stand.
+Pieces are joined with it by hash, so ids are shuffled once and pass through no sort, window or Python worker again.
 
 Defined cases: null text is empty and holds its end id only; rows of the same doc_id are packed each; an empty
 table gives no row; other columns are ignored.
@@ -20,16 +22,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closepass.llm import tokens as T
+from closepass.llm import words as W
 from closepass.llm.store import mapped, stored
 
 SIZE = 2048
-SALTED_ROWS = 50_000  # pieces of one length that a task numbers
 
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, number long, ids binary"
+PLACE_SCHEMA = "task int, length long, first long, end long, base long, offset long"
 
 
 def plan(counts: np.ndarray, size: int = SIZE) -> list[tuple[list[int], int]]:
@@ -86,15 +90,27 @@ class Places:
         self.keys, self.base, self.offset = table[:, 0], table[:, 1], table[:, 2]
         self.sequences = base
 
-    def __call__(self, length: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = (length << 44) + number
-        at = np.searchsorted(self.keys, key, "right") - 1
-        return self.base[at] + key - self.keys[at], self.offset[at]
+    def ranges(self, length: np.ndarray, before: np.ndarray, n: np.ndarray):
+        """Pieces before..before+n-1 of a length, cut into runs whose sequences follow each other.
+
+        (row, first, end, base, offset): its pieces first..end-1, counted from `before`, stand at `offset` of the sequences
+        from `base` on.
+        """
+        key = (length << 44) + before
+        a = np.searchsorted(self.keys, key, "right") - 1
+        b = np.searchsorted(self.keys, key + n, "left")
+        at = W.ragged(a, b - a)
+        row = np.repeat(np.arange(len(length)), b - a)
+        opens, closes = self.keys[at], np.append(self.keys, 1 << 62)[at + 1]
+        first = np.maximum(opens, key[row])
+        return row, first - key[row], np.minimum(closes, key[row] + n[row]) - key[row], self.base[at] + first - opens, self.offset[at]
 
 
 def _pieces(path: str, end_id: int, size: int):
     def run(batches):
         encoder = T.Encoder(path)
+        task = TaskContext.get().partitionId()
+        counts = np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
             for row, ids, bounds in encoder.column(batch.column("text"), end_id):
                 lengths = np.diff(bounds)
@@ -104,6 +120,13 @@ def _pieces(path: str, end_id: int, size: int):
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
                 start = np.where(piece == 0, 0, first[doc] + (piece - 1) * size)
                 length = np.where(piece == 0, first[doc], size)
+                # the place among the pieces of its length, here and in earlier blocks of the task
+                order = np.argsort(length, kind="stable")
+                kinds, opens, own = np.unique(length[order], return_index=True, return_counts=True)
+                among = np.empty(len(length), dtype=np.int64)
+                among[order] = np.arange(len(length)) - np.repeat(opens, own)
+                among += counts[length]
+                counts[kinds] += own
                 data = ids.astype("<u4")
                 a = bounds[doc] + start
                 # the pieces stand end to end, so the ids of the block are their bytes
@@ -115,20 +138,25 @@ def _pieces(path: str, end_id: int, size: int):
                         pa.array(start),
                         pa.array(length),
                         pa.array([zlib.crc32(data[i : i + n]) for i, n in zip(a, length)], pa.int64()),
+                        pa.array(np.full(len(a), task), pa.int32()),
+                        pa.array(among),
                         pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)]),
                     ],
-                    ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", "task", "number", "ids"],
                 )
 
     return run
 
 
-def _place(places: Places):
+def _ranges(places: Places):
     def run(batches):
         for batch in batches:
-            sequence, offset = places(batch.column("length").to_numpy(), batch.column("number").to_numpy())
-            kept = batch.drop_columns(["number"])
-            yield kept.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+            length, before, n = (batch.column(c).to_numpy() for c in ("length", "before", "n"))
+            row, first, end, base, offset = places.ranges(length, before, n)
+            task = batch.column("task").take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [task, *map(pa.array, (length[row], first, end, base, offset))], ["task", "length", "first", "end", "base", "offset"]
+            )
 
     return run
 
@@ -137,22 +165,17 @@ def packed(documents: DataFrame, path: str, end_id: int = 0, size: int = SIZE, i
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, unless told otherwise,
     ids (unsigned 32-bit, little-endian)."""
     pieces = stored(documents.select("doc_id", "text").transform(mapped, _pieces(path, end_id, size), PIECE_SCHEMA))
-    if not ids:
-        pieces = pieces.drop("ids")
+    groups = stored(pieces.groupBy("task", "length").agg(F.count("*").alias("n")))
     counts = np.zeros(size + 1, dtype=np.int64)
-    for length, n in pieces.groupBy("length").count().collect():  # at most `size` rows
+    for length, n in groups.groupBy("length").agg(F.sum("n")).collect():  # at most `size` rows
         counts[length] = n
-    places = Places(counts, size)
-    salts = int(max(1, -(-counts.max() // SALTED_ROWS)))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
-    group = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    before = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = before.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    numbered = salted.withColumn("number", F.row_number().over(group) - 1).join(before, ["length", "salt"])
-    numbered = numbered.select(*pieces.columns, (F.col("number") + F.col("before")).alias("number"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.transform(mapped, _place(places), f"{kinds}, sequence_id long, offset long")
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    groups = groups.select("*", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    places = groups.transform(mapped, _ranges(Places(counts, size)), PLACE_SCHEMA)
+    # the table grows with the tasks, so it is not broadcast; its part of a partition is small, so pieces need no sort
+    rows = pieces.join(places.hint("shuffle_hash"), ["task", "length"]).where("number >= first AND number < end")
+    kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])]
+    return rows.select(*kept, (F.col("base") + F.col("number") - F.col("first")).alias("sequence_id"), "offset")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -112,8 +112,9 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         .groupBy("level", "lang", "cell")
         .agg(F.sum("n").alias("n"))
     )
-    for level, lang, cell, n in cells.collect():  # at most 3 x languages x BINS
-        counts[level, lang, cell] = n
+    found = cells.toArrow()  # at most 3 x languages x BINS rows
+    level, lang, cell, n = (found[c].to_numpy() for c in ("level", "lang", "cell", "n"))
+    counts[level, lang, cell] = n
     return Model(languages, counts)
 
 

@@ -16,7 +16,8 @@ Documents are dealt by ranges of doc_id, which a sample of the ids balances; eac
 images of about `IMAGE_IDS` ids.  The place of an image in the whole is the sum of what stands before it,
 by range and inside the range.
 
-Defined cases: null text is empty and has its end id only; rows of the same doc_id are ordered by text; a
+Defined cases: null text is empty and has its end id only; rows of the same doc_id are ordered by
+a hash of their texts, then by text, however many ranges there are; a
 null doc_id comes first and is written as the least long; an empty table gives no image; other columns are
 ignored.
 """
@@ -172,8 +173,8 @@ def write_token_files(documents: DataFrame, path: str, end_id: int) -> DataFrame
 
     Texts are dealt and sorted before they are encoded, so that finding the ranges reads no token.
     """
-    documents = documents.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
-    ordered = documents.sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = documents.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return stored(ordered.transform(mapped, _write(path, end_id), FILE_SCHEMA))
 
 
@@ -210,7 +211,8 @@ def placed(files: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("part", "number", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("in_part"))
     starts = starts.join(parts, "part").select("part", "number", (F.col("before") + F.col("in_part")).alias("start"))
-    return files.join(starts, ["part", "number"])
+    # stored, so that its size is known: small, it is broadcast, and images are not shuffled
+    return files.join(stored(starts), ["part", "number"])
 
 
 def read_token_files(files: DataFrame, ids: bool = True) -> DataFrame:

@@ -1,7 +1,8 @@
 """Chat formatting of conversation tables with Spark expressions only.
 
-The rows of a conversation are collected as structs, sorted by turn, and merged by array aggregation:
-adjacent rows of one role become one message that keeps its texts apart.  The template is
+The rows of a conversation are collected as structs, sorted by turn, and merged by array functions:
+adjacent rows of one role become one message that keeps its texts apart.  Each step goes over a conversation
+once, so a long one takes time in proportion to its length.  The template is
 
     <|role|>ROLE<|text|>TEXT<|next|>TEXT...<|end|>   for each message
 
@@ -14,7 +15,7 @@ a null turn comes first; repeated rows are repeated turns; null conv_id is one c
 are ignored.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROLE, TEXT, NEXT, END = "<|role|>", "<|text|>", "<|next|>", "<|end|>"
@@ -31,62 +32,54 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
-def _merged(rows: Column) -> Column:
-    """Messages (role, texts) of sorted rows (role, text)."""
-    none = F.expr("CAST(array() AS array<struct<role: string, texts: array<string>>>)")
-
-    def add(messages: Column, row: Column) -> Column:
-        last = F.try_element_at(messages, F.lit(-1))
-        new = F.struct(row["role"].alias("role"), F.array(row["text"]).alias("texts"))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(row["text"])).alias("texts"))
-        return F.when(
-            (F.size(messages) > 0) & (last["role"] == row["role"]),
-            F.concat(F.slice(messages, 1, F.greatest(F.size(messages) - 1, F.lit(0))), F.array(longer)),
-        ).otherwise(F.concat(messages, F.array(new)))
-
-    return F.aggregate(rows, none, add)
-
-
-def formatted(conversations: DataFrame) -> DataFrame:
-    """Per conversation: conv_id, formatted, loss (start, end)."""
+def _messages(conversations: DataFrame) -> DataFrame:
+    """conv_id and its messages (role, texts): runs of rows of one role, cut out of the sorted array of rows."""
     row = F.struct(
         "turn",
         escaped(F.coalesce("role", F.lit(""))).alias("role"),
         escaped(F.coalesce("text", F.lit(""))).alias("text"),
     )
+    rows = F.col("rows")
+    opens = F.filter(
+        F.sequence(F.lit(1), F.size(rows)), lambda i: (i == 1) | (F.get(rows, i - 1)["role"] != F.get(rows, i - 2)["role"])
+    )
+    closes = F.concat(F.slice("opens", 2, F.size("opens")), F.array(F.size(rows) + 1))
+    runs = F.arrays_zip(F.col("opens"), closes.alias("closes"))
+    merged = F.transform(
+        runs,
+        lambda r: F.struct(
+            F.get(rows, r["opens"] - 1)["role"].alias("role"),
+            F.transform(F.slice(rows, r["opens"], r["closes"] - r["opens"]), lambda t: t["text"]).alias("texts"),
+        ),
+    )
     collected = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    messages = collected.select("conv_id", _merged(F.col("rows")).alias("messages"))
-
-    def shown(m: Column) -> Column:
-        return F.concat(F.lit(ROLE), m["role"], F.lit(TEXT), F.array_join(m["texts"], NEXT), F.lit(END))
-
-    spans = "array<struct<start: int, end: int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {spans})").alias("spans"))
-
-    def mark(state: Column, m: Column) -> Column:
-        """Goes over the messages with the place reached; the texts of a message are found by their lengths."""
-        head = state["at"] + len(ROLE) + F.length(m["role"]) + len(TEXT)
-        body = F.length(F.array_join(m["texts"], NEXT))
-        inner = F.aggregate(
-            m["texts"],
-            F.struct(head.alias("at"), state["spans"].alias("spans")),
-            lambda s, t: F.struct(
-                (s["at"] + F.length(t) + len(NEXT)).alias("at"),
-                F.concat(
-                    s["spans"], F.array(F.struct(s["at"].alias("start"), (s["at"] + F.length(t)).alias("end")))
-                ).alias("spans"),
-            ),
-        )
-        return F.struct(
-            (head + body + len(END)).alias("at"),
-            F.when(m["role"] == ASSISTANT, inner["spans"]).otherwise(state["spans"]).alias("spans"),
-        )
+    return collected.select("conv_id", "rows", opens.alias("opens")).select("conv_id", merged.alias("messages"))
 
-    return messages.select(
-        "conv_id",
-        F.array_join(F.transform("messages", shown), "").alias("formatted"),
-        F.aggregate("messages", zero, mark)["spans"].alias("loss"),
+
+def formatted(conversations: DataFrame) -> DataFrame:
+    """Per conversation: conv_id, formatted, loss (start, end).
+
+    The place of a text is the sum of the lengths before it.  Arrays have no running sum, so the texts of the messages
+    are spread and summed in a window; conversations stay where they are, there is one shuffle.
+    """
+    texts = (
+        _messages(conversations)
+        .select("conv_id", F.posexplode("messages").alias("message", "m"))
+        .select("conv_id", "message", "m.role", F.size("m.texts").alias("n"), F.posexplode("m.texts").alias("k", "text"))
+    )
+    lead = F.when(F.col("k") == 0, F.concat(F.lit(ROLE), "role", F.lit(TEXT))).otherwise(F.lit(NEXT))
+    tail = F.when(F.col("k") == F.col("n") - 1, F.lit(END)).otherwise(F.lit(""))
+    before = Window.partitionBy("conv_id").orderBy("message", "k").rowsBetween(Window.unboundedPreceding, -1)
+    parts = texts.select("*", lead.alias("lead"), tail.alias("tail"))
+    length = F.length("lead") + F.length("text") + F.length("tail")
+    parts = parts.select("*", (F.coalesce(F.sum(length).over(before), F.lit(0)) + F.length("lead")).cast("int").alias("start"))
+    piece = F.struct("start", F.concat("lead", "text", "tail").alias("piece"))
+    span = F.struct("start", (F.col("start") + F.length("text")).alias("end"))
+    whole = parts.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(piece)).alias("pieces"),
+        F.array_sort(F.collect_list(F.when(F.col("role") == ASSISTANT, span))).alias("loss"),
     )
+    return whole.select("conv_id", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("formatted"), "loss")
 
 
 def read_back(text: Column) -> Column:

@@ -5,12 +5,13 @@ query goes over the cells in the order of the summed distance of its halves to t
 centroid pairs, until the cells hold the share of all rows that finds `RECALL` of the neighbours; the rows of
 these cells are reranked by their exact distance.
 
-The centroids are fitted on about `FIT_ROWS` vectors and the share is measured there, by comparing with brute
-force for about `FIT_QUERIES` of them; every row is indexed.  Nearest rows of a larger table lie closer, so the share is on
-the safe side there.  The number of centroids grows with the square root of the rows, up to `MOST_CODES`.
+The centroids are fitted on about `FIT_ROWS` vectors, or 32 for each centroid; every row is indexed.  The share is measured on the
+whole index: about `FIT_QUERIES` of the fitted vectors are compared with all rows, once, and the share is what holds
+`RECALL` of the neighbours that they have.  So it falls as the table grows and neighbours come closer.  The number of
+centroids grows with the square root of the rows, up to `MOST_CODES`, which 4 million rows reach.
 
 Equal vectors are indexed as one, with their `k` + 1 least ids: no result can name more of them.  Cells are put
-together in `REGIONS` regions by their first centroid, so a query travels once to a region, with the cells it
+together in regions, of `REGION_CODES` first centroids each, so a query travels once to a region, with the cells it
 wants there, and returns `k` rows from it, however many cells there are.  Rows of a region are dealt in blocks, and
 so are its queries, so neither a full region nor a popular one is one task's.
 
@@ -34,8 +35,8 @@ FIT_ROWS = 12_000
 FIT_QUERIES = 200
 FIT_ROUNDS = 10
 RECALL = 0.97
-MOST_CODES = 64
-REGIONS = 16
+MOST_CODES = 512
+REGION_CODES = 4
 BLOCK_NUMBERS = 1 << 20  # vector components in a block of rows: 8 MB
 BLOCK_QUERIES = 2048
 
@@ -60,19 +61,19 @@ def centroids(rows: np.ndarray, codes: int, rounds: int = FIT_ROUNDS, seed: int
 class MultiIndex:
     """Centroids of both halves, how many rows each cell holds, and how many a query needs."""
 
-    def __init__(self, sample: np.ndarray, codes: int, k: int, recall: float):
+    def __init__(self, sample: np.ndarray, codes: int):
         self.half = max(1, sample.shape[1] // 2)
         self.first = centroids(sample[:, : self.half], codes)
         self.second = centroids(sample[:, self.half :], codes)
-        self.counts = np.bincount(self.cells(sample), minlength=len(self.first) * len(self.second))
-        self.share = self._measured(sample, k, recall)
+        self.counts = np.zeros(len(self.first) * len(self.second), dtype=np.int64)
+        self.share = 1.0
 
     def cells(self, rows: np.ndarray) -> np.ndarray:
         first = _squared(rows[:, : self.half], self.first).argmin(axis=1)
         return first * len(self.second) + _squared(rows[:, self.half :], self.second).argmin(axis=1)
 
     def region(self, cell):
-        return cell // len(self.second) * REGIONS // len(self.first)
+        return cell // len(self.second) // REGION_CODES
 
     def traversal(self, row: np.ndarray):
         """Cells by summed distance.  The heap holds the best pair not yet taken of each row of the sorted grid;
@@ -104,22 +105,47 @@ class MultiIndex:
                 held += n
         return out
 
-    def _measured(self, sample: np.ndarray, k: int, recall: float) -> float:
-        """The share of rows to go over so that `recall` of the neighbours of sampled queries are met."""
-        n = len(sample)
-        cells = self.cells(sample)
-        needed = []
-        for q in range(0, n, max(1, n // FIT_QUERIES)):
-            apart = ((sample - sample[q]) ** 2).sum(axis=1)
-            apart[q] = np.inf
-            near = np.argsort(apart)[: min(k, n - 1)]
-            before = np.zeros(len(self.counts))
-            held = 0
-            for cell in self.traversal(sample[q]):
+    def measure(self, queries: np.ndarray, near: dict[int, list[int]], recall: float) -> None:
+        """Sets the share of rows to go over so that `recall` of the neighbours of some queries are met.
+
+        near: the cells of the neighbours of each query.
+        """
+        total, needed = max(int(self.counts.sum()), 1), []
+        for q, cells in near.items():
+            missing, held = set(cells), 0
+            before = {}
+            for cell in self.traversal(queries[q]):
                 held += int(self.counts[cell])
-                before[cell] = held
-            needed.append(before[cells[near]] / n)
-        return float(np.quantile(np.concatenate(needed), recall)) if n > 1 else 1.0
+                if cell in missing:
+                    before[cell] = held
+                    missing.remove(cell)
+                    if not missing:
+                        break
+            needed += [before[c] / total for c in cells]
+        self.share = float(np.quantile(needed, recall)) if needed else 1.0
+
+
+def _closest(queries: np.ndarray, k: int):
+    """The `k` nearest entries of a task to each query, other than those equal to it: query, score, cell."""
+
+    def run(batches):
+        score = np.full((len(queries), k), np.inf)
+        cell = np.full((len(queries), k), -1, dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = _squared(queries, _matrix(batch.column("vector")))
+            own[own <= 1e-12 * (queries**2).sum(axis=1)[:, None]] = np.inf
+            every = np.append(score, own, axis=1)
+            cells = np.append(cell, np.broadcast_to(batch.column("cell").to_numpy(), own.shape), axis=1)
+            best = np.argpartition(every, k - 1, axis=1)[:, :k]
+            score, cell = np.take_along_axis(every, best, axis=1), np.take_along_axis(cells, best, axis=1)
+        query, at = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query), pa.array(score[query, at]), pa.array(cell[query, at])], ["query", "score", "cell"]
+        )
+
+    return run
 
 
 VECTOR = "vec_id long, vector array<double>"
@@ -207,15 +233,16 @@ def nearest(rows: DataFrame, is_query, k: int = K, recall: float = RECALL, fit_r
     vectors = stored(usable(rows).distinct())
     total = vectors.count()
     bucket = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000))
-    share = min(1_000_000, -(-fit_rows * 1_000_000 // max(total, 1)))
+    codes = int(np.clip(round((total / 16) ** 0.5), 2, MOST_CODES))
+    share = min(1_000_000, -(-max(fit_rows, 32 * codes) * 1_000_000 // max(total, 1)))
     fitted = vectors.where(bucket < share).orderBy("vec_id").select("vector").toArrow()["vector"].combine_chunks()
     if not len(fitted):
         fitted = vectors.limit(1).select("vector").toArrow()["vector"].combine_chunks()
     if not len(fitted):
         empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         return empty
-    codes = int(np.clip(round((total / 16) ** 0.5), 2, MOST_CODES))
-    index = MultiIndex(_matrix(fitted), codes, k, recall)
+    sample = _matrix(fitted)
+    index = MultiIndex(sample, codes)
     placing = spark.sparkContext.broadcast(index)
     # equal vectors are one entry with their least ids
     first = Window.partitionBy("vector").orderBy("vec_id")
@@ -224,11 +251,18 @@ def nearest(rows: DataFrame, is_query, k: int = K, recall: float = RECALL, fit_r
     schema = "vec_ids array<long>, vector array<double>, cell long, region long"
     entries = stored(entries.select("vec_ids", "vector").transform(mapped, _assign(placing), schema))
     held = entries.groupBy("region", "cell").agg(F.sum(F.size("vec_ids")).alias("n"), F.count("*").alias("rows"))
-    index.counts = np.zeros_like(index.counts)
-    rows_of = np.zeros(REGIONS, dtype=np.int64)
+    rows_of = np.zeros(index.region(len(index.counts) - 1) + 1, dtype=np.int64)
     for region, cell, n, m in held.collect():  # at most codes x codes rows
         index.counts[cell] = n
         rows_of[region] += m
+    # sampled queries against all entries, in blocks
+    probes = sample[:: max(1, len(sample) // FIT_QUERIES)]
+    near = entries.select("vector", "cell").transform(mapped, _closest(probes, k), "query long, score double, cell long")
+    nearer = F.row_number().over(Window.partitionBy("query").orderBy("score", "cell"))
+    cells_of: dict[int, list[int]] = {}
+    for q, cell in near.withColumn("r", nearer).where(F.col("r") <= k).select("query", "cell").collect():  # k a query
+        cells_of.setdefault(q, []).append(cell)
+    index.measure(probes, cells_of, recall)
     probing = spark.sparkContext.broadcast(index)
     schema = f"{VECTOR}, visits array<struct<region: long, cells: array<long>>>"
     queries = vectors.where(is_query).transform(mapped, _probe(probing, k + 1), schema)

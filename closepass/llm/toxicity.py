@@ -2,14 +2,16 @@
 
 A word's embedding is the sum of hashed cells for the word and for its beginnings of 4 to 6 bytes, so
 inflected forms share most of it.  Filters over one to
-three words are max-pooled over the whole text and weighed into one logit.  The network is fitted with
-Adam on about `FIT_ROWS` labelled documents of each label (a bounded sample of whole texts); one in four
-of them, by language and label, is kept apart to choose the threshold that errs least.  For thresholds by language there are added, of all
-labelled rows outside this sample, about `LANGUAGE_ROWS` of each pair of language and label.  A language with
-fewer than `LEAST_FOR_LANGUAGE` rows of a label among both takes the threshold of all; four times as many labelled rows
-of a language are enough at any size.  A score is the logistic
-of the logit less the threshold of the language that the text itself is most likely in, so 0.5 is the
-threshold everywhere.
+three words are max-pooled over the whole text and weighed into one logit.
+
+The network learns from three in four of all labelled rows, the thresholds from all the others; no row is left out.
+Rows are dealt by a hash into parts of about `PART_ROWS`.  In each of `ROUNDS` rounds every part starts from the
+network so far and goes over its rows with Adam, in a task of its own; then each parameter moves by the mean
+over the parts that moved it.  Rows of the rarer label weigh more, so both labels weigh the same in all.
+A threshold is that with the fewest errors on the rows kept for it, which are counted by language and cell of the
+logit (`GRID` cells a unit).  A language with fewer than `LEAST_FOR_LANGUAGE` such rows of a label takes the
+threshold of all.  A score is the logistic of the logit less the threshold of the language that the text itself is
+most likely in, so 0.5 is the threshold everywhere.
 
 Scoring adds up one precomputed table row for each word and filter place, so its memory does not depend on the
 corpus, and every text is scored whole.
@@ -21,15 +23,21 @@ with several label rows is learned from once for each; other columns are ignored
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closepass.llm import languages as L
 from closepass.llm import words as W
-from closepass.llm.samples import about, chosen
+from closepass.llm.samples import chosen
 from closepass.llm.store import give_back, mapped, stored
 
-FIT_ROWS = 1500
+PART_ROWS = 8192  # rows that one task learns from at a time
+PART_CHARS = 1 << 23  # or fewer, of long texts
+ROUNDS = 3  # of learning in parts; a single part needs one
+APART = 4  # one in so many rows is kept for the thresholds
+EXACT = 1 << 20  # moves are added up as integers of this fraction, so their order does not matter
+GRID = 256  # cells of a logit's unit
+FARTHEST = 128  # logits beyond share a cell
 CELLS = 1 << 15  # of each kind of hashed cell
 STEMS = (4, 5, 6)  # bytes
 WIDTH = 8  # of an embedding
@@ -38,9 +46,9 @@ LENGTHS = (1, 2, 3)
 EPOCHS = 8
 DROPPED = 0.3  # share of the words left out of a fitting step
 BATCH = 32
-LEAST_STEPS = 800  # small samples are gone over more often
+LEAST_STEPS = 800  # few rows are gone over more often
 RATE = 0.01
-LANGUAGE_ROWS = 200  # of each language and label, besides the sample; they meet in the driver
+LANGUAGE_ROWS = 200  # of each language and label, if a number of rows is asked for
 LEAST_FOR_LANGUAGE = 30  # documents of each label to give a language a threshold of its own
 
 
@@ -63,6 +71,20 @@ class Network:
         self.weights = random.normal(0, 0.3, total)
         self.bias = np.zeros(1)
 
+    def parameters(self) -> np.ndarray:
+        """All parameters in rows of WIDTH, those of the embeddings first."""
+        rest = np.concatenate([*(f.ravel() for f in self.filters), self.shift, self.weights, self.bias])
+        return np.concatenate([self.embed, np.append(rest, np.zeros(-len(rest) % WIDTH)).reshape(-1, WIDTH)])
+
+    def take(self, parameters: np.ndarray):
+        """Sets all parameters, given as `parameters` gives them."""
+        self.embed = parameters[: len(self.embed)].copy()
+        rest = parameters[len(self.embed) :].ravel()
+        at = 0
+        for values in (*self.filters, self.shift, self.weights, self.bias):
+            values[...] = rest[at : at + values.size].reshape(values.shape)
+            at += values.size
+
     def responses(self, rows: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
         """rows[j]: (words, filters) parts; a filter of length k at word i adds part m of word i + m."""
         n = bounds[-1]
@@ -84,9 +106,10 @@ class Network:
             out[full] = np.maximum(np.maximum.reduceat(self.responses(rows, bounds), bounds[:-1][full], axis=0), 0)
         return out
 
-    def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 2):
-        """texts: cells of the words of each document."""
+    def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed=2, weigh=(1.0, 1.0)):
+        """texts: cells of the words of each document; weigh: of a row of label 0 and of label 1."""
         random = np.random.default_rng(seed)
+        weight = np.asarray(weigh)[labels.astype(np.int64)]
         names = ["shift", "weights", "bias"]
         moments = {k: (np.zeros_like(getattr(self, k)), np.zeros_like(getattr(self, k))) for k in names}
         moments["embed"] = (np.zeros_like(self.embed), np.zeros_like(self.embed))
@@ -100,7 +123,7 @@ class Network:
             second[at] = 0.99 * second[at] + 0.01 * slope**2
             value[at] -= RATE * (first[at] / (1 - 0.9**step)) / (np.sqrt(second[at] / (1 - 0.99**step)) + 1e-8)
 
-        for _ in range(max(epochs, -(-LEAST_STEPS * BATCH // max(len(texts), 1)))):
+        for _ in range(epochs):
             order = random.permutation(len(texts))
             for i in range(0, len(order), BATCH):
                 step += 1
@@ -112,27 +135,25 @@ class Network:
                 bounds = np.append(0, np.cumsum([len(p) for p in parts]))
                 cells = np.concatenate(parts)
                 vectors = self.embed[cells].sum(axis=1)
-                rows = [vectors @ f[m] for f in self.filters for m in range(len(f))]
+                rows = [(vectors @ f[m]).astype(np.float32) for f in self.filters for m in range(len(f))]
                 response = self.responses(rows, bounds)
-                best = np.maximum.reduceat(response, bounds[:-1], axis=0)
+                # the first place of the largest response: of each document and filter
+                place = np.stack([i + response[i:j].argmax(axis=0) for i, j in zip(bounds[:-1], bounds[1:])])
+                best = np.take_along_axis(response, place, axis=0)
                 pooled = np.maximum(best, 0).astype(np.float64)
                 error = 1 / (1 + np.exp(-(pooled @ self.weights + self.bias))) - labels[chosen]
-                error /= len(chosen)
+                error *= weight[chosen] / len(chosen)
                 back = error[:, None] * self.weights * (best > 0)
                 slope = np.zeros_like(vectors)
                 d_filters = [np.zeros_like(f) for f in self.filters]
-                row = np.repeat(np.arange(len(chosen)), np.diff(bounds))
-                for c in range(response.shape[1]):
-                    at = np.flatnonzero(response[:, c] == best[row, c])
-                    docs, first = np.unique(row[at], return_index=True)
-                    f, j = self.filters[c // FILTERS], c % FILTERS
-                    g = back[docs, c]
+                for c, f in enumerate(self.filters):
+                    own = slice(c * FILTERS, (c + 1) * FILTERS)
                     for m in range(len(f)):
-                        place = at[first] + m
-                        inside = place < bounds[docs + 1]
-                        p, h = place[inside], g[inside]
-                        d_filters[c // FILTERS][m, :, j] += h @ vectors[p]
-                        np.add.at(slope, p, h[:, None] * f[m, :, j])
+                        p = place[:, own] + m
+                        g = np.where(p < bounds[1:, None], back[:, own], 0.0)
+                        p = np.minimum(p, len(vectors) - 1)
+                        d_filters[c][m] = np.einsum("dj,djw->wj", g, vectors[p])
+                        np.add.at(slope, p.ravel(), (g[:, :, None] * f[m].T).reshape(-1, WIDTH))
                 moved = np.flatnonzero(slope.any(axis=1))
                 touched, which = np.unique(cells[moved].ravel(), return_inverse=True)
                 d_embed = np.zeros((len(touched), WIDTH))
@@ -187,60 +208,157 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(logit - own, -30, 30)))
 
 
-def best_threshold(logit: np.ndarray, label: np.ndarray) -> float:
-    """The middle of the widest gap among the thresholds with the fewest errors."""
-    order = np.argsort(logit)
-    x, y = logit[order], label[order]
-    errors = np.append(0, np.cumsum(y)) + np.append(np.cumsum((1 - y)[::-1])[::-1], 0)
-    edges = np.concatenate([[x[0] - 2], x, [x[-1] + 2]])
-    low, high = edges[:-1], edges[1:]
-    ties = np.flatnonzero(errors == errors[high > low].min())
-    k = ties[np.argmax((high - low)[ties])]
-    return float(low[k] + high[k]) / 2
-
-
-def _calibration(rows: DataFrame, taken_before: Column, score) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(logit, language, label) of labelled rows outside the sample, drawn by language and label."""
-    rest = rows.where(~taken_before).withColumn("pair", F.concat_ws(" ", F.col("toxic").cast("string"), "lang"))
-    drawn = about(rest, "pair", LANGUAGE_ROWS, "doc_id", "text", "pair")
-    taken = drawn.select(F.coalesce("text", F.lit("")).alias("text"), "toxic").toArrow()
-    column = taken["text"].combine_chunks()
-    parts = [score(d, b) for _, b, d in W.blocks(column)]
-    logit, language = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
-    return logit, language, taken["toxic"].to_numpy().astype(np.float64)
-
-
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Classifier:
-    """`rows`: doc_id, text, lang, toxic to learn from; the sample is bounded, so it may meet in the driver."""
-    labelled = rows.where("toxic in (0, 1)")
-    in_sample = chosen(labelled, "toxic", fit_rows, "doc_id", "text")
-    sample = labelled.where(in_sample)
-    taken = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "toxic").orderBy("doc_id", "text").toArrow()
-    labels = taken["toxic"].to_numpy().astype(np.float64)
-    if not len(labels) or labels.min() == labels.max():
-        return Classifier(None)
-    texts = []
-    column = taken["text"].combine_chunks()
-    for _, bounds, data in W.blocks(column):
-        w = W.words_of(data, bounds)
-        cells = _cells(data, w, np.arange(len(w.hash)))
-        texts += [cells[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:])]
-    # one in four of each language and label
-    apart = np.zeros(len(texts), dtype=bool)
-    apart[np.lexsort((labels, np.array([x or "" for x in taken["lang"].to_pylist()])))[3::4]] = True
-    network = Network()
-    network.fit([t for t, a in zip(texts, apart) if not a], labels[~apart])
-    classifier = Classifier(network, L.fit(rows.select("doc_id", "text", "lang"), fit_rows // 2))
-    score = classifier.scorer()
-    logit, language = (np.concatenate(x) for x in zip(*(score(d, b) for _, b, d in W.blocks(column))))
-    classifier.threshold = best_threshold(logit[apart], labels[apart])
-    more = _calibration(labelled, in_sample, score)
-    logit, language, labels = (np.append(x[apart], y) for x, y in zip((logit, language, labels), more))
+def best_threshold(low: np.ndarray, high: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> float:
+    """The middle of the widest gap among the thresholds with the fewest errors.
+
+    low, high: the bounds of ascending cells of the logit; zeros, ones: the rows of each label in them.
+    """
+    errors = np.append(0, np.cumsum(ones)) + np.append(np.cumsum(zeros[::-1])[::-1], 0)
+    begins, ends = np.append(low[0] - 2, high), np.append(low, high[-1] + 2)
+    ties = np.flatnonzero(errors == errors.min())
+    k = ties[np.argmax((ends - begins)[ties])]
+    return float(begins[k] + ends[k]) / 2
+
+
+def _learned(shared, epochs: int, turn: int, weigh):
+    """How far each part moves each row of parameters, by its rows (part, draw, text, toxic), which lie together."""
+
+    def learn(part: int, texts: list[np.ndarray], labels: list[np.ndarray]) -> pa.RecordBatch:
+        network, before = Network(), shared.value
+        network.take(before)
+        network.fit(texts, np.concatenate(labels), epochs, [turn, part], weigh)
+        moved = network.parameters() - before
+        at = np.flatnonzero(moved.any(axis=1))
+        moved = np.rint(moved[at] * EXACT).astype(np.int64)
+        names = ["cell", *(f"m{k}" for k in range(WIDTH))]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (at, *moved.T)], names)
+
+    def run(batches):
+        part, texts, labels = None, [], []
+        for batch in batches:
+            parts, toxic = batch.column("part").to_numpy(), batch.column("toxic").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for i, j in zip(edges[:-1], edges[1:]):
+                if i == j:
+                    continue
+                if texts and parts[i] != part:
+                    yield learn(part, texts, labels)
+                    texts, labels = [], []
+                part = int(parts[i])
+                labels.append(toxic[i:j])
+                for _, bounds, data in W.blocks(batch.column("text").slice(i, j - i)):
+                    w = W.words_of(data, bounds)
+                    cells = _cells(data, w, np.arange(len(w.hash)))
+                    texts += [cells[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:])]
+        if texts:
+            yield learn(part, texts, labels)
+
+    return run
+
+
+def _network(rows: DataFrame, counts: dict[int, int], chars: int) -> Network:
+    """The network learned from all `rows` (doc_id, text, toxic); counts: rows of each label."""
+    network, n = Network(), sum(counts.values())
+    if not n:
+        return network
+    parts = max(1, -(-n // PART_ROWS), -(-chars // PART_CHARS))
+    turns = ROUNDS if parts > 1 else 1
+    # about LEAST_STEPS steps of each part in all
+    epochs = max(1, round(LEAST_STEPS * BATCH * parts / (turns * n))) if parts > 1 else max(EPOCHS, -(-LEAST_STEPS * BATCH // n))
+    weigh = tuple(n / (2 * max(counts[label], 1)) for label in (0, 1))
+    draw = F.xxhash64("doc_id", "text")
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(parts))
+    # written in order of parts, so each lies whole in a file and texts move once for all rounds
+    dealt = stored(
+        rows.select(part.alias("part"), draw.alias("draw"), "text", "toxic")
+        .repartition(parts, "part")
+        .sortWithinPartitions("part", "draw", "toxic")
+    )
+    for turn in range(turns):
+        before = network.parameters()
+        shared = rows.sparkSession.sparkContext.broadcast(before)  # of fixed size
+        moves = (
+            dealt.transform(
+                mapped, _learned(shared, epochs, turn, weigh), "cell long, " + ", ".join(f"m{k} long" for k in range(WIDTH))
+            )
+            .groupBy("cell")
+            .agg(F.count("*").alias("n"), *(F.sum(f"m{k}").alias(f"m{k}") for k in range(WIDTH)))
+            .toArrow()  # at most a row for each row of parameters
+        )
+        total = np.stack([moves[f"m{k}"].to_numpy() for k in range(WIDTH)], axis=1)
+        before[moves["cell"].to_numpy()] += total / EXACT / moves["n"].to_numpy()[:, None]
+        network.take(before)
+        shared.destroy()
+    return network
+
+
+def _logits(classifier):
+    """Language index and cell of the logit of each text."""
+
+    def run(batches):
+        score = classifier.value.scorer()
+        for batch in batches:
+            for row, bounds, data in W.blocks(batch.column("text")):
+                logit, language = score(data, bounds)
+                cell = np.floor(np.clip(logit, -FARTHEST, FARTHEST) * GRID).astype(np.int64)
+                toxic = batch.column("toxic").slice(row, len(cell))
+                yield pa.RecordBatch.from_arrays([pa.array(language), pa.array(cell), toxic], ["language", "cell", "toxic"])
+
+    return run
+
+
+def _calibrate(classifier: Classifier, rows: DataFrame):
+    """Sets the thresholds by all `rows` (text, toxic), of each language and of all."""
+    shared = rows.sparkSession.sparkContext.broadcast(classifier)
+    cells = (
+        rows.select("text", "toxic")
+        .transform(mapped, _logits(shared), "language long, cell long, toxic int")
+        .groupBy("language", "cell")
+        .agg(F.sum(1 - F.col("toxic")).alias("zeros"), F.sum("toxic").alias("ones"))
+        .orderBy("cell")
+        .toArrow()  # at most a row for each language and cell
+    )
+    language, cell, zeros, ones = (cells[c].to_numpy() for c in ("language", "cell", "zeros", "ones"))
+    if len(cell):
+        distinct, which = np.unique(cell, return_inverse=True)
+        all_zeros, all_ones = (np.bincount(which, weights=x) for x in (zeros, ones))
+        classifier.threshold = best_threshold(distinct / GRID, (distinct + 1) / GRID, all_zeros, all_ones)
     for k in range(len(classifier.thresholds)):
         own = language == k
-        enough = min(labels[own].sum(), (1 - labels[own]).sum()) >= LEAST_FOR_LANGUAGE if own.any() else False
-        classifier.thresholds[k] = best_threshold(logit[own], labels[own]) if enough else classifier.threshold
-        classifier.calibrated[k] = enough
+        low = cell[own] / GRID
+        enough = min(zeros[own].sum(), ones[own].sum()) >= LEAST_FOR_LANGUAGE
+        found = best_threshold(low, low + 1 / GRID, zeros[own], ones[own]) if enough else classifier.threshold
+        classifier.thresholds[k], classifier.calibrated[k] = found, enough
+    shared.destroy()
+
+
+def fit(rows: DataFrame, fit_rows: int | None = None) -> Classifier:
+    """`rows`: doc_id, text, lang, toxic to learn from, all of them.
+
+    With `fit_rows` the network learns from about so many rows of each label, the thresholds from all others.
+    """
+    labelled = rows.where("toxic in (0, 1)").withColumn("toxic", F.col("toxic").cast("int"))
+    learns = F.pmod(F.xxhash64(F.lit("apart"), "doc_id", "text"), F.lit(APART)) != 0
+    if fit_rows is not None:
+        learns = learns & chosen(labelled, "toxic", fit_rows, "doc_id", "text")
+    counts = {
+        r["toxic"]: r
+        for r in labelled.groupBy("toxic")
+        .agg(
+            F.count_if(learns).alias("n"),
+            F.coalesce(F.sum(F.when(learns, F.length("text"))), F.lit(0)).alias("chars"),
+        )
+        .collect()
+    }
+    if len(counts) < 2:
+        return Classifier(None)
+    network = _network(
+        labelled.where(learns).select("doc_id", "text", "toxic"),
+        {label: counts[label]["n"] for label in (0, 1)},
+        sum(r["chars"] for r in counts.values()),
+    )
+    classifier = Classifier(network, L.fit(rows.select("doc_id", "text", "lang")))
+    _calibrate(classifier, labelled.where(~learns))
     give_back()
     return classifier
 
@@ -282,26 +400,27 @@ def without_toxic(documents: DataFrame, classifier: Classifier) -> DataFrame:
     return documents.transform(mapped, run, documents.schema)
 
 
-def labelled(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows to fit from: doc_id, text, lang, toxic of about `fit_rows` of each label, twice `LANGUAGE_ROWS` of each
-    language and label, and `fit_rows` of each language.
+def labelled(documents: DataFrame, labels: DataFrame, fit_rows: int | None = None) -> DataFrame:
+    """The rows to fit from: doc_id, text, lang, toxic of all labelled documents, stored.
 
-    They are chosen by ids and digests of texts alone; the texts of the chosen few are fetched once.
+    With `fit_rows` they are about `fit_rows` of each label, twice `LANGUAGE_ROWS` of each language and label, and
+    `fit_rows` of each language.
     """
-    named = documents.select("doc_id", "text", "lang", F.xxhash64("text").alias("text_hash"))
-    rows = named.drop("text").distinct().join(labels.select("doc_id", "toxic").where("toxic in (0, 1)"), "doc_id")
-    rows = stored(rows.withColumn("pair", F.concat_ws(" ", F.col("toxic").cast("string"), "lang")))
-    draw = (F.lit("draw"), "doc_id", "text_hash")  # not the hash that `fit` draws by
+    marks = labels.select("doc_id", "toxic").where("toxic in (0, 1)")
+    # merged at any size, so a small run moves texts as a large one does
+    rows = stored(documents.select("doc_id", "text", "lang").join(marks.hint("merge"), "doc_id"))
+    if fit_rows is None:
+        return rows
+    rows = rows.withColumn("pair", F.concat_ws(" ", F.col("toxic").cast("string"), "lang"))
     taken = F.lit(False)
     for label, most in (("toxic", fit_rows), ("pair", 2 * LANGUAGE_ROWS), ("lang", fit_rows)):
-        taken = taken | F.coalesce(chosen(rows, label, most, *draw), F.lit(False))
-    wanted = stored(rows.where(taken).drop("pair"))
-    keys = [named[c].eqNullSafe(wanted[c]) for c in ("doc_id", "text_hash", "lang")]
-    return stored(named.join(wanted, keys).select(named["doc_id"], "text", named["lang"], "toxic"))
+        # not the hash that `fit` draws by
+        taken = taken | F.coalesce(chosen(rows, label, most, F.lit("draw"), "doc_id", "text"), F.lit(False))
+    return rows.where(taken).drop("pair")
 
 
 def training_rows(spark, sf_dir: str) -> DataFrame:
-    """Labelled documents outside the held-out fold, as many as `fit` needs."""
+    """All labelled documents outside the held-out fold."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0

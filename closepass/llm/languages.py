@@ -5,8 +5,8 @@ comes from one language, with the likelihood of its trigrams.  Expectation-maxim
 proportions.  The language set is chosen by penalised likelihood: from all languages, the least is
 dropped as long as half the log-likelihood lost is below the penalty for a language.
 
-The models are fitted on about `FIT_ROWS` whole documents of each language (a bounded sample of the rows
-that may be learned from); n-grams are hashed into `BINS` cells, so a model's size is fixed.
+The models count the n-grams of all rows that may be learned from, of every language in them; n-grams are hashed
+into `BINS` cells, so the size of a language's model is fixed.
 
 Defined cases: null text, and text without a letter, is `und` with score 0; without any labelled document
 everything is `und`; repeated rows each get a row; other columns are ignored.
@@ -18,10 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closepass.llm import words as W
-from closepass.llm.samples import about
 from closepass.llm.store import mapped
 
-FIT_ROWS = 1500
 BINS = 1 << 15
 PENALTY = 3.0
 ROUNDS = 12
@@ -60,12 +58,13 @@ def _count(languages: list[str]):
                 _, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
                 if not len(first):
                     continue
-                times = np.zeros((len(languages), len(first)))
-                np.add.at(times, (langs[row + w.row], which), 1)
+                present, own = np.unique(langs[row : row + len(bounds) - 1], return_inverse=True)
+                times = np.zeros((len(present), len(first)))
+                np.add.at(times, (own[w.row], which), 1)
                 word, cells = _grams(_spelt(data, w, first))
                 for level in range(3):
-                    for k in np.unique(langs[row : row + len(bounds) - 1]):
-                        total[level, k] += np.bincount(cells[level], weights=times[k][word], minlength=BINS)
+                    for k, counts in zip(present, times):
+                        total[level, k] += np.bincount(cells[level], weights=counts[word], minlength=BINS)
         level, lang, cell = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [level, lang, cell, total[level, lang, cell].astype(np.int64)], ["level", "lang", "cell", "n"]
@@ -101,9 +100,9 @@ class Model:
         return out
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """`rows`: doc_id, text, lang to learn from."""
-    rows = about(rows.where("lang is not null and text is not null"), "lang", fit_rows, "doc_id", "text")
+def fit(rows: DataFrame) -> Model:
+    """`rows`: text, lang to learn from, all of them."""
+    rows = rows.where("lang is not null and text is not null")
     languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
     counts = np.zeros((3, len(languages), BINS), dtype=np.int64)
     cells = (
@@ -236,6 +235,6 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
 def op3_mixture_language(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
-    model = fit(documents.where(F.coalesce(fold, F.lit(0)) != 1).select("doc_id", "text", "lang"))
+    model = fit(documents.where(F.coalesce(fold, F.lit(0)) != 1).select("text", "lang"))
     held_out = F.coalesce(fold == 1, F.lit(False))
     return identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "mixture")

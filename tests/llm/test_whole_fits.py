@@ -1,8 +1,9 @@
 """Fits learn from every row that they may learn from."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from closepass.llm import toxicity
+from closepass.llm import languages, toxicity
 
 
 def marked(spark, n, words=6):
@@ -38,3 +39,10 @@ def test_thresholds_count_all_rows():
     low = np.array([-1.0, 0.0, 2.0])
     zeros, ones = np.array([5, 1, 1]), np.array([1, 0, 9])
     assert toxicity.best_threshold(low, low + 0.5, zeros, ones) == 1.25
+
+
+def test_languages_count_all_rows(spark):
+    rows = spark.range(4000).select(F.lit("ab cd").alias("text"), F.lit("xx").alias("lang"))
+    assert languages.fit(rows).words.tolist() == [8000]
+    many = spark.range(120).select(F.lit("ab").alias("text"), F.format_string("l%03d", "id").alias("lang"))
+    assert len(languages.fit(many).languages) == 120

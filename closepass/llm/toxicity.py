@@ -52,13 +52,21 @@ LANGUAGE_ROWS = 200  # of each language and label, if a number of rows is asked
 LEAST_FOR_LANGUAGE = 30  # documents of each label to give a language a threshold of its own
 
 
-def _cells(data: np.ndarray, w: W.Words, at: np.ndarray) -> np.ndarray:
+def _cells(w: W.Words, at: np.ndarray) -> np.ndarray:
     """The cells of the words `at`: of the word and of its beginnings, each kind in a table of its own."""
-    values = W.BYTE_VALUES[data]
-    start, end = w.start[at], w.end[at]
-    hashes = [w.hash[at], *(W.span_hashes(values, start, np.minimum(end, start + k)) for k in STEMS)]
-    mask = np.uint64(CELLS - 1)
-    return np.stack([(h & mask) + np.uint64(k * CELLS) for k, h in enumerate(hashes)], axis=1).astype(np.int32)
+    out = np.empty((len(at), 1 + len(STEMS)), dtype=np.int32)
+    for k, h in enumerate([w.hash[at], *W.beginnings(w, at, STEMS)]):
+        out[:, k] = h & np.uint64(CELLS - 1)
+        out[:, k] += k * CELLS
+    return out
+
+
+def _looked_up(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The sum of the table rows of the cells of each word."""
+    total = table.take(cells[:, 0], axis=0)
+    for k in range(1, cells.shape[1]):
+        total += table.take(cells[:, k], axis=0)
+    return total
 
 
 class Network:
@@ -86,24 +94,28 @@ class Network:
             at += values.size
 
     def responses(self, rows: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
-        """rows[j]: (words, filters) parts; a filter of length k at word i adds part m of word i + m."""
+        """(filters, words); rows[j]: (words, filters) parts; a filter of length k at word i adds part m of word i + m."""
         n = bounds[-1]
         left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)  # words up to the end of the text
-        out, j = np.empty((n, self.shift.size), dtype=np.float32), 0
+        out, j = np.empty((self.shift.size, n), dtype=np.float32), 0
         for c, k in enumerate(LENGTHS):
-            own = rows[j].copy()
+            own = out[c * FILTERS : (c + 1) * FILTERS]
+            own[...] = rows[j].T
             for m in range(1, k):
-                own[: n - m] += rows[j + m][m:] * (left[: n - m] > m)[:, None]
-            out[:, c * FILTERS : (c + 1) * FILTERS] = own
+                edge = np.flatnonzero(left[: n - m] <= m)  # the word m places on is of another text
+                held = own[:, edge]
+                own[:, : n - m] += rows[j + m].T[:, m:]
+                own[:, edge] = held
             j += k
-        return out + self.shift.astype(np.float32)
+        out += self.shift.astype(np.float32)[:, None]
+        return out
 
     def pooled(self, rows: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
         """The largest response of each filter in each text, 0 if none is above; also for empty texts."""
         out = np.zeros((len(bounds) - 1, self.shift.size))
         full = np.flatnonzero(np.diff(bounds))
         if len(full):
-            out[full] = np.maximum(np.maximum.reduceat(self.responses(rows, bounds), bounds[:-1][full], axis=0), 0)
+            out[full] = np.maximum(np.maximum.reduceat(self.responses(rows, bounds), bounds[:-1][full], axis=1), 0).T
         return out
 
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed=2, weigh=(1.0, 1.0)):
@@ -134,12 +146,12 @@ class Network:
                 parts = [p if len(p) else texts[k] for p, k in zip(parts, chosen)]
                 bounds = np.append(0, np.cumsum([len(p) for p in parts]))
                 cells = np.concatenate(parts)
-                vectors = self.embed[cells].sum(axis=1)
-                rows = [(vectors @ f[m]).astype(np.float32) for f in self.filters for m in range(len(f))]
+                vectors = _looked_up(self.embed, cells)
+                rows = [(f[m].T @ vectors.T).astype(np.float32).T for f in self.filters for m in range(len(f))]
                 response = self.responses(rows, bounds)
                 # the first place of the largest response: of each document and filter
-                place = np.stack([i + response[i:j].argmax(axis=0) for i, j in zip(bounds[:-1], bounds[1:])])
-                best = np.take_along_axis(response, place, axis=0)
+                place = np.stack([i + response[:, i:j].argmax(axis=1) for i, j in zip(bounds[:-1], bounds[1:])])
+                best = np.take_along_axis(response.T, place, axis=0)
                 pooled = np.maximum(best, 0).astype(np.float64)
                 error = 1 / (1 + np.exp(-(pooled @ self.weights + self.bias))) - labels[chosen]
                 error *= weight[chosen] / len(chosen)
@@ -189,16 +201,15 @@ class Classifier:
         def run(data, bounds):
             w = W.words_of(data, bounds)
             n = len(bounds) - 1
-            distinct, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
-            cells = _cells(data, w, first)
-            parts = sum(self.table[cells[:, k]] for k in range(cells.shape[1]))
-            rows = [parts[which, j : j + FILTERS] for j in range(0, parts.shape[1], FILTERS)]
+            distinct, first, which = W.distinct(w.hash)
+            parts = np.ascontiguousarray(_looked_up(self.table, _cells(w, first)).T).take(which, axis=1)
+            rows = [parts[j : j + FILTERS].T for j in range(0, len(parts), FILTERS)]
             pooled = self.network.pooled(rows, w.bounds)
             language = np.full(n, -1)
             full = np.flatnonzero(np.diff(w.bounds))
             if words and len(full):
                 log_p, _ = words.look_up(distinct, lambda k: L._spelt(data, w, first[k]))
-                language[full] = np.add.reduceat(log_p[which], w.bounds[:-1][full], axis=0).argmax(axis=1)
+                language[full] = np.add.reduceat(log_p.take(which, axis=0), w.bounds[:-1][full], axis=0).argmax(axis=1)
             return pooled @ self.network.weights + self.network.bias, language
 
         return run
@@ -248,7 +259,7 @@ def _learned(shared, epochs: int, turn: int, weigh):
                 labels.append(toxic[i:j])
                 for _, bounds, data in W.blocks(batch.column("text").slice(i, j - i)):
                     w = W.words_of(data, bounds)
-                    cells = _cells(data, w, np.arange(len(w.hash)))
+                    cells = _cells(w, np.arange(len(w.hash)))
                     texts += [cells[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:])]
         if texts:
             yield learn(part, texts, labels)

@@ -108,7 +108,7 @@ class Places:
 
 def _pieces(path: str, end_id: int, size: int):
     def run(batches):
-        encoder = T.Encoder(path)
+        encoder = T.encoder(path)
         task = TaskContext.get().partitionId()
         counts = np.zeros(size + 1, dtype=np.int64)
         for batch in batches:

@@ -49,17 +49,18 @@ def _lanes(width: int):
 def pack(values: np.ndarray, width: int) -> np.ndarray:
     """(blocks, 128) values of at most `width` bits -> (blocks, 16 * width) bytes."""
     out = np.zeros((2 * width, len(values)), dtype=np.uint64)
-    lanes = np.ascontiguousarray(values.T.astype(np.uint64))
+    lanes = np.ascontiguousarray(values.T)
     for i, word, shift in _lanes(width):
-        out[word] |= lanes[i] << np.uint64(shift)
+        lane = lanes[i].astype(np.uint64)
+        out[word] |= lane << np.uint64(shift)
         if shift + width > 64:
-            out[word + 1] |= lanes[i] >> np.uint64(64 - shift)
+            out[word + 1] |= lane >> np.uint64(64 - shift)
     return np.ascontiguousarray(out.T).view(np.uint8)
 
 
 def unpack(data: np.ndarray, width: int) -> np.ndarray:
     words = np.ascontiguousarray(np.ascontiguousarray(data).view(np.uint64).T)
-    out = np.zeros((BLOCK, len(data)), dtype=np.uint64)
+    out = np.zeros((BLOCK, len(data)), dtype=np.uint32)
     mask = np.uint64((1 << width) - 1)
     for i, word, shift in _lanes(width):
         value = words[word] >> np.uint64(shift)
@@ -73,34 +74,41 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _anywhere(body: np.ndarray, dtype) -> np.ndarray:
+    """The value of `dtype` that begins at each byte; writing into it writes the bytes."""
+    size = np.dtype(dtype).itemsize
+    return np.ndarray(max(len(body) - size + 1, 0), dtype, body, strides=(1,))
+
+
 def write_image(doc_ids: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> bytes:
     blocks = -(-len(ids) // BLOCK)
-    padded = np.zeros(blocks * BLOCK, dtype=np.int64)
+    padded = np.zeros(blocks * BLOCK, dtype=np.uint32)
     padded[: len(ids)] = ids
     if len(padded) > len(ids):
         padded[len(ids) :] = padded[(blocks - 1) * BLOCK]
     table = padded.reshape(blocks, BLOCK)
-    least = table.min(axis=1) if blocks else np.zeros(0, np.int64)
+    least = table.min(axis=1)
     values = table - least[:, None]
-    bits = _bits(values)
-    width = np.sort(bits, axis=1)[:, BLOCK * PERCENT // 100 - 1] if blocks else np.zeros(0, np.int64)
-    outlier = bits > width[:, None]
-    exceptions = outlier.sum(axis=1)
+    rank = BLOCK * PERCENT // 100 - 1
+    width = _bits(np.partition(values, rank, axis=1)[:, rank])
+    above = values >> width.astype(np.uint32)[:, None]
+    block, place = np.nonzero(above)
+    exceptions = np.bincount(block, minlength=blocks)
     size = 6 + 16 * width + 5 * exceptions
     start = np.cumsum(size) - size
     body = np.zeros(int(size.sum()), dtype=np.uint8)
-    body[start[:, None] + np.arange(4)] = least.astype(np.uint32)[:, None].view(np.uint8).reshape(-1, 4)
+    numbers = _anywhere(body, "<u4")
+    numbers[start] = least
     body[start + 4] = width
     body[start + 5] = exceptions
     for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        body[start[own][:, None] + 6 + np.arange(16 * w)] = pack(values[own] & ((1 << w) - 1), w)
-    block, place = np.nonzero(outlier)
+        low = pack(values[own] & np.uint32((1 << w) - 1), w)
+        _anywhere(body, f"V{16 * w}")[start[own] + 6] = low.view(f"V{16 * w}").ravel()
     rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
     after = start[block] + 6 + 16 * width[block]
     body[after + rank] = place
-    high = (values[block, place] >> width[block]).astype(np.uint32)
-    body[(after + exceptions[block] + 4 * rank)[:, None] + np.arange(4)] = high[:, None].view(np.uint8).reshape(-1, 4)
+    numbers[after + exceptions[block] + 4 * rank] = above[block, place]
     counts = np.array([len(doc_ids), len(ids), blocks], dtype="<u8")
     head = MAGIC + counts.tobytes() + doc_ids.astype("<i8").tobytes() + ends.astype("<u8").tobytes()
     offset = len(head) + 8 * blocks
@@ -116,20 +124,20 @@ def read_image(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.frombuffer(image, "<u8", docs, 28 + 8 * docs).astype(np.int64)
     start = np.frombuffer(image, "<u8", blocks, 28 + 16 * docs).astype(np.int64)
     body = np.frombuffer(image, np.uint8)
-    least = np.ascontiguousarray(body[start[:, None] + np.arange(4)]).view("<u4").ravel().astype(np.int64)
+    numbers = _anywhere(body, "<u4")
     width, exceptions = body[start + 4].astype(np.int64), body[start + 5].astype(np.int64)
-    values = np.zeros((blocks, BLOCK), dtype=np.int64)
+    values = np.zeros((blocks, BLOCK), dtype=np.uint32)
     for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        values[own] = unpack(body[start[own][:, None] + 6 + np.arange(16 * w)], w)
+        low = _anywhere(body, f"V{16 * w}")[start[own] + 6]
+        values[own] = unpack(low.view(np.uint8).reshape(-1, 16 * w), w)
     block = np.repeat(np.arange(blocks), exceptions)
     rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
     after = start[block] + 6 + 16 * width[block]
-    place = body[after + rank]
-    at = (after + exceptions[block] + 4 * rank)[:, None] + np.arange(4)
-    high = np.ascontiguousarray(body[at]).view("<u4").ravel().astype(np.int64)
-    values[block, place] |= high << width[block]
-    return doc_ids, ends, (values + least[:, None]).ravel()[:n]
+    high = numbers[after + exceptions[block] + 4 * rank]
+    values[block, body[after + rank]] |= high << width[block].astype(np.uint32)
+    values += numbers[start][:, None]
+    return doc_ids, ends, values.ravel()[:n]
 
 
 FILE_SCHEMA = "part int, number int, n_ids long, image binary"
@@ -140,7 +148,7 @@ def _write(path: str, end_id: int):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encoder = T.Encoder(path)
+        encoder = T.encoder(path)
         docs, parts, ends, total = [], [], [], 0
 
         def image():
@@ -178,29 +186,35 @@ def write_token_files(documents: DataFrame, path: str, end_id: int) -> DataFrame
     return stored(ordered.transform(mapped, _write(path, end_id), FILE_SCHEMA))
 
 
-def _read(batches):
+def _images(batches):
+    """For each image: the digest columns of its documents, their bounds, its ids."""
     for batch in batches:
         for start, image in zip(batch.column("start").to_pylist(), batch.column("image")):
-            doc_ids, ends, ids = read_image(image.as_py())
-            begins = np.append(0, ends[:-1])
-            data = ids.astype("<u4")
-            crc = [zlib.crc32(data[a:b]) for a, b in zip(begins, ends)]
-            ids_of = pa.LargeListArray.from_arrays(np.append(0, ends), data.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc_ids, mask=doc_ids == NO_ID),
-                    pa.array(start + begins),
-                    pa.array(ends - begins),
-                    pa.array(crc, pa.int64()),
-                    ids_of.cast(pa.list_(pa.int32())),
-                ],
-                ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-            )
+            doc_ids, ends, ids = read_image(image.as_buffer())
+            bounds = np.append(0, ends)
+            data = ids.astype("<u4", copy=False)
+            crc = [zlib.crc32(data[a:b]) for a, b in zip(bounds.tolist(), ends.tolist())]
+            columns = [
+                pa.array(doc_ids, mask=doc_ids == NO_ID),
+                pa.array(start + bounds[:-1]),
+                pa.array(np.diff(bounds)),
+                pa.array(crc, pa.int64()),
+            ]
+            yield columns, bounds, data
+
+
+DIGESTS = ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def _read(batches):
+    for columns, bounds, ids in _images(batches):
+        ids_of = pa.LargeListArray.from_arrays(bounds, ids.astype(np.int32)).cast(pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([*columns, ids_of], [*DIGESTS, "ids"])
 
 
 def _read_digests(batches):
-    for batch in _read(batches):
-        yield batch.select(["doc_id", "start", "n_tokens", "ids_crc32"])
+    for columns, _, _ in _images(batches):
+        yield pa.RecordBatch.from_arrays(columns, DIGESTS)
 
 
 def placed(files: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ holds an added token such as <|endoftext|>, which the library cuts out before it
 """
 
 import functools
+import itertools
 import os
 import unicodedata
 
@@ -74,8 +75,18 @@ def piece_starts(code: np.ndarray, kinds: np.ndarray, begins: np.ndarray) -> np.
     return start
 
 
+@functools.cache
+def encoder(path: str) -> "Encoder":
+    """One for each Python worker: Spark runs one task after the other in it, so what it remembers serves them all."""
+    return Encoder(path)
+
+
 class Encoder:
-    """One for each task; remembers the ids of distinct pieces and forgets them when they grow many."""
+    """Remembers the ids of distinct pieces and forgets them when they grow many.
+
+    The pieces known are found by an open hash table: `slots` holds the index of a piece, or -1, at the low bits of its
+    hash or the next free place after it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
@@ -85,45 +96,92 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         # pieces of a space and letters, end to end, could spell such a token
         self.spelt = any(all(c == " " or c.isalpha() for c in t) for t in self.added)
+        size = self.tokenizer.get_vocab_size()
+        # the byte-level alphabet spells a space so; in a piece of a space and letters only the first id begins with it
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self._clear()
 
     def _clear(self):
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.start = np.zeros(0, dtype=np.int64)
-        self.count = np.zeros(0, dtype=np.int64)
+        self.slots = np.full(1 << 16, -1, dtype=np.int32)
+        self.pieces = 0
+        self.known = np.zeros(1 << 15, dtype=np.uint64)
+        self.start = np.zeros(1 << 15, dtype=np.int64)
+        self.count = np.zeros(1 << 15, dtype=np.int64)
         self.pool = np.zeros(1 << 16, dtype=np.int32)
         self.used = 0
 
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The index of the piece of each hash, or -1."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left, last = np.arange(len(hashes)), len(self.slots) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        while len(left):
+            piece = self.slots[at]
+            same = (piece >= 0) & (self.known[piece] == hashes[left])
+            out[left[same]] = piece[same]
+            on = (piece >= 0) & ~same
+            left, at = left[on], at[on] + 1 & last
+        return out
+
+    def _place(self, pieces: np.ndarray):
+        """Enters pieces that are in no slot yet."""
+        last = len(self.slots) - 1
+        at = (self.known[pieces] & np.uint64(last)).astype(np.int64)
+        while len(pieces):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = pieces[free]  # of several at one place one stays, the others go on
+            on = self.slots[at] != pieces
+            pieces, at = pieces[on], at[on] + 1 & last
+
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        own = np.arange(self.pieces, self.pieces + len(hashes))
+        self.pieces += len(hashes)
+        while self.pieces > len(self.known):
+            self.known, self.start, self.count = (np.append(x, np.zeros_like(x)) for x in (self.known, self.start, self.count))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.append(self.pool, np.zeros_like(self.pool))
+        self.known[own] = hashes
+        self.start[own] = self.used + np.cumsum(counts) - counts
+        self.count[own] = counts
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        size = len(self.slots)
+        while 2 * self.pieces > size:
+            size *= 2
+        if size > len(self.slots):
+            self.slots = np.full(size, -1, dtype=np.int32)
+            own = np.arange(self.pieces)
+        self._place(own)
+
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.fromiter((i for x in found for i in x), np.int32), np.array([len(x) for x in found], dtype=np.int64)
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
 
     def _encode_pieces(self, pieces: list[str], joins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for each piece.  Pieces of a space and letters (`joins`) are sent many to a text:
-        each space begins a new piece, and the library says which piece an id belongs to."""
+        each space begins a new piece, and the ids that begin with a space begin the pieces."""
         counts = np.zeros(len(pieces), dtype=np.int64)
         parts: list[np.ndarray] = [np.zeros(0, np.int32)] * 2
         for kind in (True, False):
             own = np.flatnonzero(joins == kind)
             if not len(own):
                 continue
+            texts = [pieces[k] for k in own.tolist()]
             if kind:
-                groups = [own[i : i + 256] for i in range(0, len(own), 256)]
-                texts = ["".join([pieces[k] for k in g.tolist()]) for g in groups]
-            else:
-                groups, texts = own[:, None], [pieces[k] for k in own.tolist()]
-            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-            ids: list[int] = []
-            for g, e in zip(groups, found):
-                ids += e.ids
-                if kind:
-                    n = np.bincount(e.word_ids)
-                    if len(n) != len(g):
-                        raise ValueError("pieces were cut in another way than the tokenizer does")
-                    counts[g] = n
-                else:
-                    counts[g] = len(e.ids)
-            parts[kind] = np.array(ids, dtype=np.int32)
+                groups = [texts[i : i + 256] for i in range(0, len(texts), 256)]
+                texts = ["".join(g) for g in groups]
+            found, sizes = self._library(texts)
+            parts[kind] = found
+            if not kind:
+                counts[own] = sizes
+                continue
+            first = np.flatnonzero(self.spaced[found])
+            ends = np.cumsum(sizes)
+            begun = np.searchsorted(first, ends) - np.searchsorted(first, ends - sizes)
+            if (begun != [len(g) for g in groups]).any():
+                raise ValueError("pieces were cut in another way than the tokenizer does")
+            counts[own] = np.diff(np.append(first, len(found)))
         out = np.zeros(int(counts.sum()), dtype=np.int32)
         at = np.cumsum(counts) - counts
         for kind in (True, False):
@@ -132,25 +190,15 @@ class Encoder:
         return out, counts
 
     def _pieces(self, hashes: np.ndarray, spell) -> tuple[np.ndarray, np.ndarray]:
-        """(start in the pool, number of ids) of distinct sorted pieces."""
-        if len(self.known) > KEPT_PIECES:
+        """(start in the pool, number of ids) of distinct pieces."""
+        if self.pieces > KEPT_PIECES:
             self._clear()
-        at = np.searchsorted(self.known, hashes)
-        held = np.zeros(len(hashes), dtype=bool)
-        low = at < len(self.known)
-        held[low] = self.known[at[low]] == hashes[low]
-        new = np.flatnonzero(~held)
+        found = self._find(hashes)
+        new = np.flatnonzero(found < 0)
         if len(new):
-            ids, counts = self._encode_pieces(*spell(new))
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.start = np.insert(self.start, at[new], self.used + np.cumsum(counts) - counts)
-            self.count = np.insert(self.count, at[new], counts)
-            self.known = np.insert(self.known, at[new], hashes[new])
-            self.used += len(ids)
-            at = np.searchsorted(self.known, hashes)
-        return self.start[at], self.count[at]
+            found[new] = np.arange(self.pieces, self.pieces + len(new))
+            self._add(hashes[new], *self._encode_pieces(*spell(new)))
+        return self.start[found], self.count[found]
 
     def _with_added(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Flags of the texts of a block that hold an added token."""
@@ -187,9 +235,7 @@ class Encoder:
         if len(code):
             start = np.flatnonzero(piece_starts(code, kinds, own[:-1][np.diff(own) > 0]))
             end = np.append(start[1:], len(code))
-            distinct, first, which = np.unique(
-                W.span_hashes(values[code], start, end), return_index=True, return_inverse=True
-            )
+            distinct, first, which = W.coded(W.span_hashes(values[code], start, end))
 
             def spell(k):
                 text = code.tobytes().decode("utf-32-le")
@@ -200,8 +246,8 @@ class Encoder:
             place, size = self._pieces(distinct, spell)
             sizes = size[which]
             ids = self.pool[W.ragged(place[which], sizes)]
-            row = np.searchsorted(own, start, "right") - 1
-            counts += np.bincount(row, weights=sizes, minlength=rows).astype(np.int64)
+            before = np.append(0, np.cumsum(sizes))
+            counts += np.diff(before[np.searchsorted(start, own)])
         if odd.any():
             more, more_counts = self._library(whole)
             plain = np.split(ids, np.cumsum(counts)[:-1])

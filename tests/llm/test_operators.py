@@ -296,6 +296,44 @@ def test_added_tokens_are_the_librarys(spark, tmp_path):
     assert ids_of(str(tmp_path / "other.json")) == library(str(tmp_path / "other.json"))
 
 
+def test_a_worker_encodes_a_piece_once_for_all_its_tasks(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    sent = []
+    encode = tokens.Encoder._encode_pieces
+    monkeypatch.setattr(
+        tokens.Encoder, "_encode_pieces", lambda self, pieces, joins: sent.extend(pieces) or encode(self, pieces, joins)
+    )
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["ozzle wuzzle 1", "wuzzle, ozzle"]})
+    tasks = [list(token_files._write(tokens.default_path(), 2)(iter([batch]))) for _ in range(3)]
+    assert tasks[0] == tasks[1] == tasks[2] and sent.count(" wuzzle") == sent.count(" ozzle") == 1
+
+
+def test_pieces_known_and_forgotten(monkeypatch):
+    import pyarrow as pa
+
+    encoder = tokens.Encoder(tokens.default_path())
+    low = np.arange(1, 40_001, dtype=np.uint64) << np.uint64(40)  # all begin at one slot of a small table
+    hashes = np.concatenate([low[:300], np.random.default_rng(9).integers(1, 1 << 63, 40_000).astype(np.uint64)])
+    assert (encoder._find(hashes) == -1).all()
+    for at in range(0, len(hashes), 8060):  # grows while it is filled
+        part = hashes[at : at + 8060]
+        encoder._add(part, np.arange(2 * len(part), dtype=np.int32), np.full(len(part), 2))
+    assert (encoder._find(hashes) == np.arange(len(hashes))).all()
+    assert (encoder._find(low[300:]) == -1).all() and (np.diff(encoder.start[: encoder.pieces]) == 2).all()
+
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 50)
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 400)
+    encoder._clear()
+    texts = [" ".join(words(k, 60)) + f" x{k}, été!  \n{k}" for k in range(40)]
+    found = []
+    for _, ids, bounds in encoder.column(pa.array(texts), 2):
+        found += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    assert found == [[*e.ids, 2] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_images_round_trip():
     random = np.random.default_rng(6)
     for n in (0, 1, 127, 128, 1000):
